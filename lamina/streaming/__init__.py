@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The catalogue job is a batch full refresh: it has no watermark, windowed
+aggregate, stateful or late-data operator, so this package is intentionally
+empty. The batch operators in ``lamina.operators`` are plain DataFrame
+compositions and run unchanged on a streaming DataFrame where Spark allows
+the same operator (projections, filters, stream-static left joins).
+"""

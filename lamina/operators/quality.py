@@ -62,12 +62,20 @@ def unique_keys(r: Row) -> str | None:
     return f"{r['duplicate_keys']} repeated keys" if r["duplicate_keys"] else None
 
 
-def check(metrics_df: DataFrame | Row, rules: Mapping[str, Rule], what: str = "table") -> Row:
+def check(
+    metrics_df: DataFrame | Row | Mapping, rules: Mapping[str, Rule], what: str = "table"
+) -> Row:
     """Evaluate ``rules`` on the metrics row; raise ``DataQualityError`` on failure.
 
-    Returns the metrics row so callers can publish or log the counts.
+    Accepts the metrics DataFrame, a collected Row, or the dict of an
+    ``Observation``. Returns the metrics row so callers can publish the counts.
     """
-    row = metrics_df.first() if isinstance(metrics_df, DataFrame) else metrics_df
+    if isinstance(metrics_df, DataFrame):
+        row = metrics_df.first()
+    elif isinstance(metrics_df, Mapping):
+        row = Row(**metrics_df)
+    else:
+        row = metrics_df
     failures = [f"{name}: {msg}" for name, rule in rules.items() if (msg := rule(row))]
     if failures:
         raise DataQualityError(f"{what}: " + "; ".join(failures))

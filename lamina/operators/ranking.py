@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.sources.tables import stage
+
 _METHODS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
 
@@ -109,6 +111,7 @@ def global_rank(
     buckets: int | None = None,
     rel_err: float = 0.001,
     seed: int = 17,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add ``out`` = the global ``method`` rank of each row under ``order``.
 
@@ -116,12 +119,19 @@ def global_rank(
     the order should end in a unique column, otherwise tied rows may swap
     numbers between runs (as with any window). ``buckets`` defaults to the
     session's shuffle partition count.
+
+    The input is read three times (bounds, local ranks, bucket widths). With
+    ``materialize`` (default) it is first written once to the shared scratch
+    folder, so an upstream aggregate runs once and lineage is cut; pass
+    ``False`` when ``df`` is already a plain scan.
     """
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
     if not order:
         raise ValueError("order needs at least one SortKey")
     spark = df.sparkSession
+    if materialize:
+        df = stage(df, "rank_input")
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket_col, local_col, off_col = "__lamina_bucket", "__lamina_local", "__lamina_offset"
 

@@ -23,8 +23,8 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (an upper bound for file scans), or None."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return size if isinstance(size, int) else int(size.toString())
     except Exception:  # Spark Connect or an unexpected plan: no estimate
         return None
 

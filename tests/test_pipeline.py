@@ -69,3 +69,18 @@ def test_silver_gate_rejects_fanout(spark, raw_paths):
     spark.table("fan_bronze.poster_dup").write.saveAsTable("fan_bronze.poster_path")
     with pytest.raises(DataQualityError, match="repeated keys"):
         cat.run_silver(spark, prefix)
+
+
+def test_run_pipeline_records_metrics(spark, raw_paths):
+    paths, _ = raw_paths
+    out = cat.run_pipeline(spark, paths, "full", RUN)
+    assert set(out) == {"bronze", "silver", "golden"}
+    m = spark.table("full_ops.run_metrics")
+    assert m.filter("step = 'golden'").count() == 4
+    assert m.filter("table_name = 'peliculas'").first()["row_count"] == out["silver"]["peliculas"]
+
+
+def test_environment_prefix():
+    assert cat.environment_prefix(" Dev ") == "peliculas_dev"
+    with pytest.raises(ValueError):
+        cat.environment_prefix("qa")

@@ -8,6 +8,7 @@ rule fails. Nothing but the metrics row reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -80,3 +81,27 @@ def check(
     if failures:
         raise DataQualityError(f"{what}: " + "; ".join(failures))
     return row
+
+
+def key_report(tables: Mapping[str, DataFrame], key: str = "id") -> DataFrame:
+    """Per table: rows, NULL keys and repeated (non-NULL) keys -- one job for all.
+
+    Only the key column of each table is read; the result has one row per
+    table, so collecting it is bounded.
+    """
+    parts = [df.select(F.lit(name).alias("source"), F.col(key).alias("k")) for name, df in tables.items()]
+    keys = reduce(DataFrame.unionByName, parts)
+    return keys.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("k").isNull()).alias("null_keys"),
+        (F.count("k") - F.count_distinct("k")).alias("duplicate_keys"),
+    )
+
+
+def check_unique_keys(tables: Mapping[str, DataFrame], key: str = "id", what: str = "tables") -> list[Row]:
+    """Raise ``DataQualityError`` if any table repeats a non-NULL ``key``."""
+    rows = key_report(tables, key).collect()
+    bad = [f"{r['source']}: {r['duplicate_keys']} repeated keys" for r in rows if r["duplicate_keys"]]
+    if bad:
+        raise DataQualityError(f"{what}: " + "; ".join(sorted(bad)))
+    return rows

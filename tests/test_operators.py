@@ -134,3 +134,13 @@ def test_global_rank_string_key_and_nulls_first(spark):
 def test_global_rank_empty_input(spark):
     df = spark.createDataFrame([], "id int, a double")
     assert global_rank(df, [desc("a")], "dense_rank", "r").count() == 0
+
+
+def test_key_report_one_row_per_table(spark):
+    a = spark.createDataFrame([(1,), (1,), (None,)], "id int")
+    b = spark.createDataFrame([(1,), (2,)], "id int")
+    rows = {r["source"]: r for r in Q.key_report({"a": a, "b": b}).collect()}
+    assert (rows["a"]["rows"], rows["a"]["null_keys"], rows["a"]["duplicate_keys"]) == (3, 1, 1)
+    assert rows["b"]["duplicate_keys"] == 0
+    with pytest.raises(Q.DataQualityError, match="a: 1 repeated keys"):
+        Q.check_unique_keys({"a": a, "b": b})

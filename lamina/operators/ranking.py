@@ -68,7 +68,7 @@ def _bounds(df: DataFrame, key: str, n_buckets: int, rel_err: float, seed: int)
         values = df.approxQuantile(key, probs, rel_err)
     else:
         # Orderable non-numeric key: spread bounds over a bounded random sample.
-        target = 64 * n_buckets
+        target = 8 * n_buckets
         col = F.col(key)
         total = df.filter(col.isNotNull()).count()
         if total == 0:
@@ -88,19 +88,33 @@ def _bounds(df: DataFrame, key: str, n_buckets: int, rel_err: float, seed: int)
 
 
 def bucket_of(key: SortKey, bounds: list) -> Column:
-    """Deterministic bucket index of the leading key, in the requested order."""
+    """Deterministic bucket index of the leading key, in the requested order.
+
+    Bucket = number of bounds that sort strictly before the value, so equal
+    values share a bucket and buckets follow the sort order. Built as a
+    balanced CASE tree: log2(len(bounds)) comparisons per row, all codegen'd.
+    NULLs go to the first or last bucket, as the key's NULL order says.
+    """
     c = F.col(key.name)
-    null_bucket = F.lit(len(bounds) if key.nulls_go_last else 0)
     if not bounds:
         return F.lit(0)
-    if key.descending:
-        steps = [(c >= F.lit(b), i) for i, b in enumerate(reversed(bounds))]
-    else:
-        steps = [(c <= F.lit(b), i) for i, b in enumerate(bounds)]
-    out = F.when(c.isNull(), null_bucket)
-    for pred, i in steps:
-        out = out.when(pred, F.lit(i))
-    return out.otherwise(F.lit(len(bounds)))
+    ordered = list(reversed(bounds)) if key.descending else list(bounds)
+
+    def before_or_at(b) -> Column:  # value sorts at or before bound b
+        return c >= F.lit(b) if key.descending else c <= F.lit(b)
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(before_or_at(ordered[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    null_bucket = F.lit(len(bounds) if key.nulls_go_last else 0)
+    return F.when(c.isNull(), null_bucket).otherwise(tree(0, len(bounds)))
+
+
+# Default cap on the number of range buckets (bounds sent to the driver).
+MAX_BUCKETS = 1024
 
 
 def global_rank(
@@ -118,7 +132,7 @@ def global_rank(
     ``method`` is ``row_number``, ``rank`` or ``dense_rank``. For ``row_number``
     the order should end in a unique column, otherwise tied rows may swap
     numbers between runs (as with any window). ``buckets`` defaults to the
-    session's shuffle partition count.
+    session's shuffle partition count, capped at ``MAX_BUCKETS``.
 
     The input is read three times (bounds, local ranks, bucket widths). With
     ``materialize`` (default) it is first written once to the shared scratch
@@ -132,7 +146,7 @@ def global_rank(
     spark = df.sparkSession
     if materialize:
         df = stage(df, "rank_input")
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bucket_col, local_col, off_col = "__lamina_bucket", "__lamina_local", "__lamina_offset"
 
     bounds = _bounds(df, order[0].name, n, rel_err, seed)

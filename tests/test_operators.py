@@ -144,3 +144,17 @@ def test_key_report_one_row_per_table(spark):
     assert rows["b"]["duplicate_keys"] == 0
     with pytest.raises(Q.DataQualityError, match="a: 1 repeated keys"):
         Q.check_unique_keys({"a": a, "b": b})
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("nulls_last", [True, False])
+def test_global_rank_null_orders_many_buckets(spark, descending, nulls_last):
+    from lamina.operators.ranking import SortKey
+
+    random.seed(23)
+    rows = [(i, None if i % 5 == 0 else random.random() * 100) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, x double")
+    order = [SortKey("x", descending, nulls_last), asc("id")]
+    got = global_rank(df, order, "row_number", "r", buckets=37, materialize=False)
+    exp = _single_partition(df, [k.column() for k in order], F.row_number)
+    assert got.join(exp.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0

@@ -3,15 +3,19 @@
 ``Window.orderBy(...)`` with no ``partitionBy`` makes Spark move every row to
 a single task. ``global_rank`` computes the same numbers in parallel:
 
-1. Range bounds on the leading sort key: ``approxQuantile`` for numeric keys,
-   an evenly spaced pick from a bounded sample otherwise. The driver receives
-   at most ``buckets - 1`` values.
-2. Bucket = position of the leading key among the bounds: a deterministic,
-   order-preserving Column, so equal leading keys share a bucket.
-3. ``row_number`` / ``rank`` / ``dense_rank`` within each bucket (hash
-   partitioned on the bucket, sorted by the full order).
-4. Per bucket: row count and the largest local dense rank; a running sum over
-   these <= ``buckets`` rows gives each bucket's offset, broadcast back.
+1. Range bounds on the full sort key: evenly spaced tuples from a bounded
+   random sample, sorted by Spark. The driver receives at most
+   ``buckets - 1`` tuples. A hot leading value is split on the next keys.
+2. Bucket = position of the row's sort key among the bounds: a
+   deterministic, order-preserving Column, so equal sort keys share a bucket.
+3. A running count (or sum) within each bucket (hash partitioned on the
+   bucket, sorted by the full order).
+4. Per bucket: its total; a running sum over these <= ``buckets`` rows gives
+   each bucket's offset, broadcast back.
+
+``rank`` and ``dense_rank`` run this over one row per distinct sort key (a
+map-side pre-aggregation) and join the result back, so tied rows never
+concentrate in one task.
 
 The result equals the single-partition window for any bounds; the bounds only
 decide how evenly the work spreads.
@@ -24,12 +28,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from lamina.sources.tables import stage
-
-_METHODS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
+from lamina.sources.tables import stage, stage_counted
 
 @dataclass(frozen=True)
 class SortKey:
@@ -58,63 +58,126 @@ def desc(name: str, nulls_last: bool | None = None) -> SortKey:
     return SortKey(name, True, nulls_last)
 
 
-def _bounds(df: DataFrame, key: str, n_buckets: int, rel_err: float, seed: int) -> list:
-    """At most ``n_buckets - 1`` sorted, distinct range bounds of ``key``."""
+def _bounds(
+    df: DataFrame,
+    order: Sequence[SortKey],
+    n_buckets: int,
+    seed: int,
+    total: int | None = None,
+    single_task_rows: int = 0,
+) -> list[tuple]:
+    """At most ``n_buckets - 1`` distinct full sort-key tuples, in sort order.
+
+    Taken at even steps from a bounded random sample (about ``16 * n_buckets``
+    rows) sorted by Spark. Because the bounds are whole sort keys, a leading
+    value that holds a large share of the rows is split on the next keys.
+    Correctness never depends on the bounds, only the balance does.
+    """
     if n_buckets <= 1:
         return []
-    dtype = df.schema[key].dataType
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if isinstance(dtype, T.NumericType):
-        values = df.approxQuantile(key, probs, rel_err)
-    else:
-        # Orderable non-numeric key: spread bounds over a bounded random sample.
-        target = 8 * n_buckets
-        col = F.col(key)
-        total = df.filter(col.isNotNull()).count()
-        if total == 0:
-            return []
-        frac = min(1.0, 2.0 * target / total)
-        row = (
-            df.select(col.alias("k")).filter(col.isNotNull())
-            .sample(fraction=frac, seed=seed)
-            .agg(F.sort_array(F.collect_list("k")).alias("s"))
-            .first()
-        )
-        sample = row["s"] if row and row["s"] else []
+    if total is None:
+        total = df.count()
+    if total == 0 or total <= single_task_rows:
+        return []  # empty, or proven small: one bucket and no sampling job
+    frac = min(1.0, 16.0 * n_buckets / total)
+    names = [k.name for k in order]
+    sample = (
+        df.select(*names).sample(fraction=frac, seed=seed)
+        .orderBy(*[k.column() for k in order]).collect()
+    )
+    picks: list[tuple] = []
+    for i in range(1, n_buckets):
         if not sample:
-            return []
-        values = [sample[min(len(sample) - 1, int(p * len(sample)))] for p in probs]
-    return sorted(set(v for v in values if v is not None))
+            break
+        t = tuple(sample[min(len(sample) - 1, i * len(sample) // n_buckets)])
+        if not picks or t != picks[-1]:
+            picks.append(t)
+    return picks
+
+
+def _strictly_before(key: SortKey, b) -> Column:
+    """Non-NULL predicate: the row's value sorts strictly before ``b``."""
+    c = F.col(key.name)
+    if b is None:
+        # only non-NULL values precede a NULL, and only when NULLs go last
+        return c.isNotNull() if key.nulls_go_last else F.lit(False)
+    cmp = F.coalesce(c > F.lit(b) if key.descending else c < F.lit(b), F.lit(False))
+    return cmp if key.nulls_go_last else (c.isNull() | cmp)
 
 
-def bucket_of(key: SortKey, bounds: list) -> Column:
-    """Deterministic bucket index of the leading key, in the requested order.
+def _at_or_before(order: Sequence[SortKey], bound: tuple) -> Column:
+    """Lexicographic: the row's full sort key sorts at or before ``bound``."""
+    out = F.col(order[-1].name).eqNullSafe(F.lit(bound[-1])) | _strictly_before(order[-1], bound[-1])
+    for key, b in zip(reversed(order[:-1]), reversed(bound[:-1])):
+        out = _strictly_before(key, b) | (F.col(key.name).eqNullSafe(F.lit(b)) & out)
+    return out
 
-    Bucket = number of bounds that sort strictly before the value, so equal
-    values share a bucket and buckets follow the sort order. Built as a
-    balanced CASE tree: log2(len(bounds)) comparisons per row, all codegen'd.
-    NULLs go to the first or last bucket, as the key's NULL order says.
+
+def bucket_of(order: Sequence[SortKey], bounds: list[tuple]) -> Column:
+    """Bucket = number of bounds that sort strictly before the row.
+
+    A monotone function of the full sort key: equal keys share a bucket and
+    buckets follow the sort order. Built as a balanced CASE tree, so each row
+    makes log2(len(bounds)) tuple comparisons, all in generated code.
     """
-    c = F.col(key.name)
     if not bounds:
         return F.lit(0)
-    ordered = list(reversed(bounds)) if key.descending else list(bounds)
-
-    def before_or_at(b) -> Column:  # value sorts at or before bound b
-        return c >= F.lit(b) if key.descending else c <= F.lit(b)
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(before_or_at(ordered[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(_at_or_before(order, bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(bounds))
 
-    null_bucket = F.lit(len(bounds) if key.nulls_go_last else 0)
-    return F.when(c.isNull(), null_bucket).otherwise(tree(0, len(bounds)))
 
+# Default cap on the number of range buckets (bound tuples sent to the driver).
+MAX_BUCKETS = 256
+# Inputs with at most this many rows are ranked in one bucket (one task).
+SINGLE_TASK_ROWS = 50_000
 
-# Default cap on the number of range buckets (bounds sent to the driver).
-MAX_BUCKETS = 1024
+
+_BUCKET, _LOCAL, _OFFSET, _BEFORE = "__lamina_bucket", "__lamina_local", "__lamina_offset", "__lamina_before"
+_TIEBREAK, _WEIGHT = "__lamina_tiebreak", "__lamina_weight"
+
+
+def prefix_sum(
+    df: DataFrame,
+    order: Sequence[SortKey],
+    weight: str | None,
+    out: str,
+    buckets: int,
+    seed: int = 17,
+    total: int | None = None,
+    single_task_rows: int = 0,
+) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` (1 when None) over all rows that come
+    strictly earlier in ``order`` -- a global running sum, computed in parallel.
+
+    Rows are range-bucketed on sampled sort-key bounds; each bucket runs a
+    local running sum, and each bucket's offset is the total of the earlier
+    buckets (a window over at most ``buckets`` rows, broadcast back). Rows
+    tied on the full sort key share a bucket, so ties are ordered as in a
+    single-partition window with the same order.
+    """
+    w = F.col(weight) if weight else F.lit(1)
+    bounds = _bounds(df, order, buckets, seed, total, single_task_rows)
+    local = Window.partitionBy(_BUCKET).orderBy(*[k.column() for k in order]).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    x = df.withColumn(_BUCKET, bucket_of(order, bounds)).withColumn(
+        _LOCAL, F.coalesce(F.sum(w).over(local), F.lit(0))
+    )
+    per_bucket = df.withColumn(_BUCKET, bucket_of(order, bounds)).groupBy(_BUCKET).agg(F.sum(w).alias("w"))
+    # <= len(bounds) + 1 rows: the one place a global window is allowed.
+    earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(_BUCKET, F.coalesce(F.sum("w").over(earlier), F.lit(0)).alias(_OFFSET))
+    return (
+        x.join(F.broadcast(offsets), on=_BUCKET, how="inner")
+        .withColumn(out, F.col(_LOCAL) + F.col(_OFFSET))
+        .drop(_BUCKET, _LOCAL, _OFFSET)
+    )
 
 
 def global_rank(
@@ -123,47 +186,64 @@ def global_rank(
     method: str = "row_number",
     out: str = "rank",
     buckets: int | None = None,
-    rel_err: float = 0.001,
     seed: int = 17,
     materialize: bool = True,
 ) -> DataFrame:
     """Add ``out`` = the global ``method`` rank of each row under ``order``.
 
-    ``method`` is ``row_number``, ``rank`` or ``dense_rank``. For ``row_number``
-    the order should end in a unique column, otherwise tied rows may swap
-    numbers between runs (as with any window). ``buckets`` defaults to the
-    session's shuffle partition count, capped at ``MAX_BUCKETS``.
-
-    The input is read three times (bounds, local ranks, bucket widths). With
-    ``materialize`` (default) it is first written once to the shared scratch
-    folder, so an upstream aggregate runs once and lineage is cut; pass
-    ``False`` when ``df`` is already a plain scan.
+    Same numbers as ``method().over(Window.orderBy(order))`` without sending
+    every row to one task:
+
+    * ``row_number``: 1 + the number of earlier rows (``prefix_sum``). With
+      ``materialize`` a hidden tiebreak column is written with the staged
+      input, so even rows tied on the whole order can be split across tasks.
+      End ``order`` in a unique column for numbers that are stable across runs.
+    * ``rank``: 1 + the number of rows with a smaller sort key, computed over
+      one row per distinct key (with its row count), then joined back.
+    * ``dense_rank``: 1 + the number of smaller distinct keys, likewise.
+
+    For ``rank`` and ``dense_rank`` a key held by a third of all rows becomes
+    a single row after a map-side pre-aggregation, so no task sorts the tie.
+    ``materialize`` (default) first writes the input once to the shared
+    scratch folder: the input is read several times, and an upstream
+    aggregate should run once. ``buckets`` defaults to the session's shuffle
+    partition count, capped at ``MAX_BUCKETS``; left at the default, an input
+    of at most ``SINGLE_TASK_ROWS`` rows (counted exactly while staging) is
+    ranked in a single bucket.
     """
-    if method not in _METHODS:
-        raise ValueError(f"method must be one of {sorted(_METHODS)}")
+    if method not in ("row_number", "rank", "dense_rank"):
+        raise ValueError("method must be one of ['dense_rank', 'rank', 'row_number']")
     if not order:
         raise ValueError("order needs at least one SortKey")
     spark = df.sparkSession
-    if materialize:
-        df = stage(df, "rank_input")
     n = buckets or min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bucket_col, local_col, off_col = "__lamina_bucket", "__lamina_local", "__lamina_offset"
+    small = SINGLE_TASK_ROWS if buckets is None else 0
+
+    total = None
+    if method == "row_number":
+        order = list(order)
+        if materialize:
+            tagged = df.withColumn(_TIEBREAK, F.monotonically_increasing_id())
+            df, total = stage_counted(tagged, "rank_input")
+            order.append(SortKey(_TIEBREAK))
+        ranked = prefix_sum(df, order, None, _BEFORE, n, seed, total, small)
+        return ranked.withColumn(out, (F.col(_BEFORE) + 1).cast("int")).drop(_BEFORE, _TIEBREAK)
 
-    bounds = _bounds(df, order[0].name, n, rel_err, seed)
-    local_w = Window.partitionBy(bucket_col).orderBy(*[k.column() for k in order])
-    ranked = (
-        df.withColumn(bucket_col, bucket_of(order[0], bounds))
-        .withColumn(local_col, _METHODS[method]().over(local_w))
-    )
-    width = F.max(local_col) if method == "dense_rank" else F.count(F.lit(1))
-    per_bucket = ranked.groupBy(bucket_col).agg(width.alias("w"))
-    # <= len(bounds)+1 rows: the one place a global window is allowed.
-    before = Window.orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        bucket_col, F.coalesce(F.sum("w").over(before), F.lit(0)).alias(off_col)
-    )
-    return (
-        ranked.join(F.broadcast(offsets), on=bucket_col, how="inner")
-        .withColumn(out, (F.col(local_col) + F.col(off_col)).cast("int"))
-        .drop(bucket_col, local_col, off_col)
+    if materialize:
+        df = stage(df, "rank_input")
+    names = [k.name for k in order]
+    if method == "rank":
+        keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    else:
+        keys = df.select(*names).distinct()
+    if materialize:
+        keys, total = stage_counted(keys, "rank_keys")
+    weight = _WEIGHT if method == "rank" else None
+    ranked = prefix_sum(keys, order, weight, _BEFORE, n, seed, total, small)
+    aliases = [f"__lamina_k{i}" for i in range(len(names))]
+    lookup = ranked.select(
+        *[F.col(n_).alias(a) for n_, a in zip(names, aliases)],
+        (F.col(_BEFORE) + 1).cast("int").alias(out),
     )
+    cond = [df[n_].eqNullSafe(lookup[a]) for n_, a in zip(names, aliases)]
+    return df.join(lookup, cond, "inner").drop(*aliases)

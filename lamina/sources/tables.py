@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +78,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
+    """``stage`` that also returns the row count, observed during the write
+    (no second job)."""
+    obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    staged = stage(df.observe(obs, F.count(F.lit(1)).alias("rows")), name)
+    return staged, int(obs.get["rows"])
+
+
 def preview(df: DataFrame, n: int = 10, order: Sequence[Column | str] | None = None) -> DataFrame:
     """First ``n`` rows, optionally in ``order`` (a top-n, not a full sort)."""
     return (df.orderBy(*order) if order else df).limit(n)

@@ -158,3 +158,21 @@ def test_global_rank_null_orders_many_buckets(spark, descending, nulls_last):
     got = global_rank(df, order, "row_number", "r", buckets=37, materialize=False)
     exp = _single_partition(df, [k.column() for k in order], F.row_number)
     assert got.join(exp.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
+
+
+def test_global_rank_splits_hot_leading_value(spark):
+    from lamina.operators.ranking import _bounds, bucket_of
+
+    random.seed(31)
+    rows = [(i, 50 if i % 3 == 0 else random.randint(0, 100), random.randint(0, 10**6)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id int, a int, b int")
+    order = [desc("a"), desc("b"), asc("id")]
+    bounds = _bounds(df, order, 16, 17)
+    sizes = [r["count"] for r in df.groupBy(bucket_of(order, bounds).alias("k")).count().collect()]
+    assert max(sizes) < 2000 / 2  # the 2000 rows with a = 50 are spread over several buckets
+    got = global_rank(df, order, "row_number", "r", buckets=16)
+    exp = _single_partition(df, [k.column() for k in order], F.row_number)
+    assert got.join(exp.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
+    dense = global_rank(df, [desc("a")], "dense_rank", "r", buckets=16)
+    exp_d = _single_partition(df, [desc("a").column()], F.dense_rank)
+    assert dense.join(exp_d.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0

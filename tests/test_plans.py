@@ -29,7 +29,8 @@ def test_window_group_limit_before_shuffle(spark, sf_small):
 
 def test_global_rank_has_no_single_partition_window_over_data(spark, sf_small):
     li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
-    ranked = global_rank(li, [desc("l_extendedprice"), asc("l_orderkey"), asc("l_linenumber")], "row_number", "r")
+    order = [desc("l_extendedprice"), asc("l_orderkey"), asc("l_linenumber")]
+    ranked = global_rank(li, order, "row_number", "r", buckets=8)
     plan = physical(ranked)
     # the only SinglePartition exchange is the one over the per-bucket widths
     assert plan.count("SinglePartition") <= 1

@@ -98,10 +98,15 @@ def key_report(tables: Mapping[str, DataFrame], key: str = "id") -> DataFrame:
     )
 
 
+def check_unique_keys_report(report: Mapping[str, Row], what: str = "tables") -> None:
+    """Raise ``DataQualityError`` if any row of a ``key_report`` repeats keys."""
+    bad = [f"{src}: {r['duplicate_keys']} repeated keys" for src, r in report.items() if r["duplicate_keys"]]
+    if bad:
+        raise DataQualityError(f"{what}: " + "; ".join(sorted(bad)))
+
+
 def check_unique_keys(tables: Mapping[str, DataFrame], key: str = "id", what: str = "tables") -> list[Row]:
     """Raise ``DataQualityError`` if any table repeats a non-NULL ``key``."""
     rows = key_report(tables, key).collect()
-    bad = [f"{r['source']}: {r['duplicate_keys']} repeated keys" for r in rows if r["duplicate_keys"]]
-    if bad:
-        raise DataQualityError(f"{what}: " + "; ".join(sorted(bad)))
+    check_unique_keys_report({r["source"]: r for r in rows}, what)
     return rows

@@ -163,6 +163,11 @@ def prefix_sum(
     """
     w = F.col(weight) if weight else F.lit(1)
     bounds = _bounds(df, order, buckets, seed, total, single_task_rows)
+    if not bounds:
+        # Proven small (exact count <= single_task_rows), empty, or a single
+        # distinct sort key: one ordered window, no offsets and no join.
+        whole = Window.orderBy(*[k.column() for k in order]).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(w).over(whole), F.lit(0)))
     local = Window.partitionBy(_BUCKET).orderBy(*[k.column() for k in order]).rowsBetween(
         Window.unboundedPreceding, -1
     )

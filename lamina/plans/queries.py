@@ -24,7 +24,7 @@ from lamina.plans import catalogue as cat
 from lamina.plans.fixtures import raw_tables
 from lamina.session import scratch_path
 from lamina.sources.csv import read_csv, with_audit
-from lamina.sources.tables import conform, preview, read_layer, write_layer
+from lamina.sources.tables import conform, preview, read_layer, stage, write_layer
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -333,6 +333,11 @@ def _silver(spark, sf_dir):
     return cat.silver_films(raw["movies"], raw["film_details"], raw["more_info"], raw["poster_path"])
 
 
+def _silver_staged(spark, sf_dir):
+    """Silver written once to the shared scratch folder, as the pipeline reads it."""
+    return stage(_silver(spark, sf_dir), "silver_for_golden")
+
+
 def _compared(df: DataFrame) -> DataFrame:
     return df.drop(RUN_TS)
 
@@ -346,19 +351,19 @@ def film_genre_rows(spark, sf_dir):
 
 
 def film_kpi_genre(spark, sf_dir):
-    return _compared(cat.kpi_by_genre(cat.genre_rows(_silver(spark, sf_dir))))
+    return _compared(cat.kpi_by_genre(cat.genre_rows(_silver_staged(spark, sf_dir))))
 
 
 def film_kpi_year(spark, sf_dir):
-    return _compared(cat.kpi_by_year(_silver(spark, sf_dir)))
+    return _compared(cat.kpi_by_year(_silver_staged(spark, sf_dir)))
 
 
 def film_top_directors(spark, sf_dir):
-    return _compared(cat.top_directors(_silver(spark, sf_dir)))
+    return _compared(cat.top_directors(_silver_staged(spark, sf_dir)))
 
 
 def film_top_films(spark, sf_dir):
-    films = _silver(spark, sf_dir)
+    films = _silver_staged(spark, sf_dir)
     return _compared(cat.top_films_by_genre(cat.genre_rows(films), films))
 
 

@@ -84,3 +84,13 @@ def test_environment_prefix():
     assert cat.environment_prefix(" Dev ") == "peliculas_dev"
     with pytest.raises(ValueError):
         cat.environment_prefix("qa")
+
+
+def test_ordered_outputs(spark, sf_small):
+    from lamina.plans import queries as Qm
+
+    years = [r["anio_estreno"] for r in Qm.film_kpi_year(spark, sf_small).collect()]
+    assert years == sorted(years) and len(years) == len(set(years))
+    top = Qm.ordered_limit(spark, sf_small).collect()
+    prices = [r["o_totalprice"] for r in top]
+    assert len(top) == 10 and prices == sorted(prices, reverse=True)

@@ -95,6 +95,21 @@ def _bounds(
     return picks
 
 
+def shortest_prefix(bounds: list[tuple]) -> tuple[list[tuple], int]:
+    """Cut every bound to the shortest common key prefix that keeps them
+    strictly increasing. A prefix comparison coarsens the full order, so the
+    bucket function stays monotone; the bucket expression gets much smaller
+    (one key when the leading key alone separates the bounds)."""
+    if not bounds:
+        return bounds, 0
+    width = len(bounds[0])
+    for n in range(1, width + 1):
+        cut = [b[:n] for b in bounds]
+        if all(cut[i] != cut[i + 1] for i in range(len(cut) - 1)):
+            return cut, n
+    return bounds, width
+
+
 def _strictly_before(key: SortKey, b) -> Column:
     """Non-NULL predicate: the row's value sorts strictly before ``b``."""
     c = F.col(key.name)
@@ -162,7 +177,7 @@ def prefix_sum(
     single-partition window with the same order.
     """
     w = F.col(weight) if weight else F.lit(1)
-    bounds = _bounds(df, order, buckets, seed, total, single_task_rows)
+    bounds, width = shortest_prefix(_bounds(df, order, buckets, seed, total, single_task_rows))
     if not bounds:
         # Proven small (exact count <= single_task_rows), empty, or a single
         # distinct sort key: one ordered window, no offsets and no join.
@@ -171,10 +186,11 @@ def prefix_sum(
     local = Window.partitionBy(_BUCKET).orderBy(*[k.column() for k in order]).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    x = df.withColumn(_BUCKET, bucket_of(order, bounds)).withColumn(
+    bucket = bucket_of(order[:width], bounds)
+    x = df.withColumn(_BUCKET, bucket).withColumn(
         _LOCAL, F.coalesce(F.sum(w).over(local), F.lit(0))
     )
-    per_bucket = df.withColumn(_BUCKET, bucket_of(order, bounds)).groupBy(_BUCKET).agg(F.sum(w).alias("w"))
+    per_bucket = df.withColumn(_BUCKET, bucket).groupBy(_BUCKET).agg(F.sum(w).alias("w"))
     # <= len(bounds) + 1 rows: the one place a global window is allowed.
     earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(_BUCKET, F.coalesce(F.sum("w").over(earlier), F.lit(0)).alias(_OFFSET))

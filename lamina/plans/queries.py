@@ -279,6 +279,24 @@ def global_row_number(spark, sf_dir):
     return global_rank(per_part, order, "row_number", "part_rank")
 
 
+LINEITEM_ORDER = [desc("l_extendedprice"), asc("l_orderkey"), asc("l_linenumber")] + [
+    asc(c) for c in LINEITEM_REST if c != "l_extendedprice"
+]
+
+
+def global_row_number_rows(spark, sf_dir):
+    """Row number of every line item by price (desc), then all other columns."""
+    li = table(spark, sf_dir, "lineitem")
+    ranked = global_rank(li, LINEITEM_ORDER, "row_number", "price_rank")
+    return ranked.select("l_orderkey", "l_linenumber", "l_extendedprice", "price_rank")
+
+
+def global_dense_rank_rows(spark, sf_dir):
+    """Dense rank of every line item by quantity (few values, each a hot key)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return global_rank(li, [desc("l_quantity")], "dense_rank", "qty_rank")
+
+
 def top_k_per_group(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     top = top_k(
@@ -388,6 +406,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_first": dedupe_first_q,
     "global_dense_rank": global_dense_rank,
     "global_row_number": global_row_number,
+    "global_row_number_rows": global_row_number_rows,
+    "global_dense_rank_rows": global_dense_rank_rows,
     "top_k_per_group": top_k_per_group,
     "explode_list": explode_list_q,
     "ordered_limit": ordered_limit,

@@ -1,24 +1,21 @@
 """Global ranking without funnelling all rows through one partition.
 
 ``Window.orderBy(...)`` with no ``partitionBy`` makes Spark move every row to
-a single task. ``global_rank`` computes the same numbers in parallel:
-
-1. Range bounds on the full sort key: evenly spaced tuples from a bounded
-   random sample, sorted by Spark. The driver receives at most
-   ``buckets - 1`` tuples. A hot leading value is split on the next keys.
-2. Bucket = position of the row's sort key among the bounds: a
-   deterministic, order-preserving Column, so equal sort keys share a bucket.
-3. A running count (or sum) within each bucket (hash partitioned on the
-   bucket, sorted by the full order).
-4. Per bucket: its total; a running sum over these <= ``buckets`` rows gives
-   each bucket's offset, broadcast back.
-
-``rank`` and ``dense_rank`` run this over one row per distinct sort key (a
-map-side pre-aggregation) and join the result back, so tied rows never
-concentrate in one task.
-
-The result equals the single-partition window for any bounds; the bounds only
-decide how evenly the work spreads.
+a single task. ``global_rank`` computes the same numbers in parallel, by one
+path at every size:
+
+1. A hidden tiebreak ends the order, so no two rows are equal and a value held
+   by most rows still splits across ranges.
+2. ``repartitionByRange`` on the full order, sorted within each range and
+   written once. ``monotonically_increasing_id`` of that write holds the range
+   number and the row's place in it; from then on both are plain columns.
+3. One summary row per range (rows, distinct keys, its first and last key).
+   A running sum over these rows gives each range's offset, broadcast back.
+
+``row_number`` is offset + place. ``rank`` and ``dense_rank`` also count the
+key changes within each range (a window over the range number) and look at the
+neighbouring summaries for a key that runs on from the range before; nothing is
+joined on the sort key itself.
 """
 
 from __future__ import annotations
@@ -31,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lamina.sources.tables import stage, stage_counted
 
+
 @dataclass(frozen=True)
 class SortKey:
     """One sort key. ``nulls_last`` defaults to Spark's rule (asc: first, desc: last)."""
@@ -58,146 +56,105 @@ def desc(name: str, nulls_last: bool | None = None) -> SortKey:
     return SortKey(name, True, nulls_last)
 
 
-def _bounds(
-    df: DataFrame,
-    order: Sequence[SortKey],
-    n_buckets: int,
-    seed: int,
-    total: int | None = None,
-    single_task_rows: int = 0,
-) -> list[tuple]:
-    """At most ``n_buckets - 1`` distinct full sort-key tuples, in sort order.
-
-    Taken at even steps from a bounded random sample (about ``16 * n_buckets``
-    rows) sorted by Spark. Because the bounds are whole sort keys, a leading
-    value that holds a large share of the rows is split on the next keys.
-    Correctness never depends on the bounds, only the balance does.
+METHODS = ("row_number", "rank", "dense_rank")
+# Rows a range holds at most on average; more rows make more ranges.
+RANGE_ROWS = 2_000_000
+
+_TIE, _AT, _RANGE, _PLACE = "__lamina_tie", "__lamina_at", "__lamina_range", "__lamina_place"
+_NEW, _DENSE, _START = "__lamina_new", "__lamina_dense", "__lamina_start"
+_PLACE_BITS = 33  # monotonically_increasing_id: partition number above, place below
+
+
+def ranged(
+    df: DataFrame, order: Sequence[SortKey], ranges: int | None = None, staged_rows: int | None = None
+) -> tuple[DataFrame, int]:
+    """``df`` written once in ``order`` with ``_RANGE`` and ``_PLACE`` (from 0),
+    and the number of ranges.
+
+    The input is staged first, since the range sampling and the shuffle both
+    read it; pass ``staged_rows`` (its row count) when it is a plain file scan.
     """
-    if n_buckets <= 1:
-        return []
-    if total is None:
-        total = df.count()
-    if total == 0 or total <= single_task_rows:
-        return []  # empty, or proven small: one bucket and no sampling job
-    frac = min(1.0, 16.0 * n_buckets / total)
-    names = [k.name for k in order]
-    sample = (
-        df.select(*names).sample(fraction=frac, seed=seed)
-        .orderBy(*[k.column() for k in order]).collect()
+    if staged_rows is None:
+        df, staged_rows = stage_counted(df.withColumn(_TIE, F.monotonically_increasing_id()), "rank_input")
+    else:
+        df = df.withColumn(_TIE, F.monotonically_increasing_id())
+    n = ranges or max(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-staged_rows // RANGE_ROWS)
     )
-    picks: list[tuple] = []
-    for i in range(1, n_buckets):
-        if not sample:
-            break
-        t = tuple(sample[min(len(sample) - 1, i * len(sample) // n_buckets)])
-        if not picks or t != picks[-1]:
-            picks.append(t)
-    return picks
-
-
-def shortest_prefix(bounds: list[tuple]) -> tuple[list[tuple], int]:
-    """Cut every bound to the shortest common key prefix that keeps them
-    strictly increasing. A prefix comparison coarsens the full order, so the
-    bucket function stays monotone; the bucket expression gets much smaller
-    (one key when the leading key alone separates the bounds)."""
-    if not bounds:
-        return bounds, 0
-    width = len(bounds[0])
-    for n in range(1, width + 1):
-        cut = [b[:n] for b in bounds]
-        if all(cut[i] != cut[i + 1] for i in range(len(cut) - 1)):
-            return cut, n
-    return bounds, width
-
-
-def _strictly_before(key: SortKey, b) -> Column:
-    """Non-NULL predicate: the row's value sorts strictly before ``b``."""
-    c = F.col(key.name)
-    if b is None:
-        # only non-NULL values precede a NULL, and only when NULLs go last
-        return c.isNotNull() if key.nulls_go_last else F.lit(False)
-    cmp = F.coalesce(c > F.lit(b) if key.descending else c < F.lit(b), F.lit(False))
-    return cmp if key.nulls_go_last else (c.isNull() | cmp)
-
-
-def _at_or_before(order: Sequence[SortKey], bound: tuple) -> Column:
-    """Lexicographic: the row's full sort key sorts at or before ``bound``."""
-    out = F.col(order[-1].name).eqNullSafe(F.lit(bound[-1])) | _strictly_before(order[-1], bound[-1])
-    for key, b in zip(reversed(order[:-1]), reversed(bound[:-1])):
-        out = _strictly_before(key, b) | (F.col(key.name).eqNullSafe(F.lit(b)) & out)
-    return out
-
-
-def bucket_of(order: Sequence[SortKey], bounds: list[tuple]) -> Column:
-    """Bucket = number of bounds that sort strictly before the row.
-
-    A monotone function of the full sort key: equal keys share a bucket and
-    buckets follow the sort order. Built as a balanced CASE tree, so each row
-    makes log2(len(bounds)) tuple comparisons, all in generated code.
-    """
-    if not bounds:
-        return F.lit(0)
+    by = [*(k.column() for k in order), F.col(_TIE).asc()]
+    placed = (
+        df.repartitionByRange(n, *by).sortWithinPartitions(*by).drop(_TIE)
+        .withColumn(_AT, F.monotonically_increasing_id())
+    )
+    at = F.col(_AT)
+    return (
+        stage(placed, "rank_ranges")
+        .withColumn(_RANGE, F.shiftright(at, _PLACE_BITS).cast("int"))
+        .withColumn(_PLACE, at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
+        .drop(_AT)
+    ), n
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_at_or_before(order, bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return tree(0, len(bounds))
+def _earlier():
+    """All earlier rows of the range summary (one row per range, so one task is right)."""
+    return Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-# Default cap on the number of range buckets (bound tuples sent to the driver).
-MAX_BUCKETS = 256
-# Inputs with at most this many rows are ranked in one bucket (one task).
-SINGLE_TASK_ROWS = 50_000
+def _row_number(x: DataFrame, out: str) -> DataFrame:
+    per_range = x.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n"))
+    offsets = per_range.select(_RANGE, F.coalesce(F.sum("n").over(_earlier()), F.lit(0)).alias("before"))
+    return x.join(F.broadcast(offsets), _RANGE).withColumn(out, F.col("before") + F.col(_PLACE) + 1).drop("before")
 
 
-_BUCKET, _LOCAL, _OFFSET, _BEFORE = "__lamina_bucket", "__lamina_local", "__lamina_offset", "__lamina_before"
-_TIEBREAK, _WEIGHT = "__lamina_tiebreak", "__lamina_weight"
+def _range_summary(x: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per range: rows and distinct keys before it, whether its first key runs on
+    from the range before, and where that run began."""
+    key = F.struct(*names)
+    ends = x.groupBy(_RANGE).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by(key, _PLACE).alias("first_key"), F.max_by(key, _PLACE).alias("last_key"),
+    )
+    runs = (
+        x.groupBy(_RANGE, *names).agg(F.min(_PLACE).alias("start"))
+        .groupBy(_RANGE).agg(F.count(F.lit(1)).alias("keys"), F.max("start").alias("last_start"))
+    )
+    by_range = Window.orderBy(_RANGE)
+    s = ends.join(runs, _RANGE).select(
+        _RANGE, "keys", "last_start",
+        F.coalesce(F.sum("n").over(_earlier()), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("keys").over(_earlier()), F.lit(0)).alias("keys_before"),
+        ((F.lag(F.lit(1)).over(by_range) == 1) & F.lag("last_key").over(by_range).eqNullSafe(F.col("first_key")))
+        .alias("runs_on"),
+    ).withColumn("runs_on", F.coalesce("runs_on", F.lit(False)))
+    own_start = F.when(
+        ~(F.col("runs_on") & (F.col("keys") == 1)), F.col("rows_before") + F.col("last_start")
+    )
+    return s.select(
+        _RANGE, "rows_before", "runs_on",
+        (F.col("keys_before") - F.sum(F.col("runs_on").cast("long")).over(by_range)).alias("dense_before"),
+        F.last(own_start, ignorenulls=True).over(_earlier()).alias("run_start"),
+    )
 
 
-def prefix_sum(
-    df: DataFrame,
-    order: Sequence[SortKey],
-    weight: str | None,
-    out: str,
-    buckets: int,
-    seed: int = 17,
-    total: int | None = None,
-    single_task_rows: int = 0,
-) -> DataFrame:
-    """Add ``out`` = sum of ``weight`` (1 when None) over all rows that come
-    strictly earlier in ``order`` -- a global running sum, computed in parallel.
-
-    Rows are range-bucketed on sampled sort-key bounds; each bucket runs a
-    local running sum, and each bucket's offset is the total of the earlier
-    buckets (a window over at most ``buckets`` rows, broadcast back). Rows
-    tied on the full sort key share a bucket, so ties are ordered as in a
-    single-partition window with the same order.
-    """
-    w = F.col(weight) if weight else F.lit(1)
-    bounds, width = shortest_prefix(_bounds(df, order, buckets, seed, total, single_task_rows))
-    if not bounds:
-        # Proven small (exact count <= single_task_rows), empty, or a single
-        # distinct sort key: one ordered window, no offsets and no join.
-        whole = Window.orderBy(*[k.column() for k in order]).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(w).over(whole), F.lit(0)))
-    local = Window.partitionBy(_BUCKET).orderBy(*[k.column() for k in order]).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    bucket = bucket_of(order[:width], bounds)
-    x = df.withColumn(_BUCKET, bucket).withColumn(
-        _LOCAL, F.coalesce(F.sum(w).over(local), F.lit(0))
+def _tied_rank(x: DataFrame, ranges: int, names: list[str], method: str, out: str) -> DataFrame:
+    key = F.struct(*names)
+    row = Window.partitionBy(_RANGE).orderBy(_PLACE)
+    so_far = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    new = F.when(F.col(_PLACE) == 0, F.lit(True)).otherwise(~F.lag(key).over(row).eqNullSafe(key))
+    local = (
+        x.repartitionByRange(ranges, _RANGE).withColumn(_NEW, new)
+        .withColumn(_DENSE, F.sum(F.col(_NEW).cast("long")).over(so_far))
+        .withColumn(_START, F.max(F.when(F.col(_NEW), F.col(_PLACE))).over(so_far))
     )
-    per_bucket = df.withColumn(_BUCKET, bucket).groupBy(_BUCKET).agg(F.sum(w).alias("w"))
-    # <= len(bounds) + 1 rows: the one place a global window is allowed.
-    earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(_BUCKET, F.coalesce(F.sum("w").over(earlier), F.lit(0)).alias(_OFFSET))
-    return (
-        x.join(F.broadcast(offsets), on=_BUCKET, how="inner")
-        .withColumn(out, F.col(_LOCAL) + F.col(_OFFSET))
-        .drop(_BUCKET, _LOCAL, _OFFSET)
+    joined = local.join(F.broadcast(_range_summary(x, names)), _RANGE)
+    if method == "dense_rank":
+        rank = F.col("dense_before") + F.col(_DENSE)
+    else:
+        rank = 1 + F.when(
+            F.col("runs_on") & (F.col(_DENSE) == 1), F.col("run_start")
+        ).otherwise(F.col("rows_before") + F.col(_START))
+    return joined.withColumn(out, rank).drop(
+        _NEW, _DENSE, _START, "rows_before", "runs_on", "dense_before", "run_start"
     )
 
 
@@ -206,65 +163,24 @@ def global_rank(
     order: Sequence[SortKey],
     method: str = "row_number",
     out: str = "rank",
-    buckets: int | None = None,
-    seed: int = 17,
-    materialize: bool = True,
+    ranges: int | None = None,
+    staged_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``out`` = the global ``method`` rank of each row under ``order``.
+    """Add ``out`` (BIGINT) = the global ``method`` rank of each row under ``order``.
 
     Same numbers as ``method().over(Window.orderBy(order))`` without sending
-    every row to one task:
-
-    * ``row_number``: 1 + the number of earlier rows (``prefix_sum``). With
-      ``materialize`` a hidden tiebreak column is written with the staged
-      input, so even rows tied on the whole order can be split across tasks.
-      End ``order`` in a unique column for numbers that are stable across runs.
-    * ``rank``: 1 + the number of rows with a smaller sort key, computed over
-      one row per distinct key (with its row count), then joined back.
-    * ``dense_rank``: 1 + the number of smaller distinct keys, likewise.
-
-    For ``rank`` and ``dense_rank`` a key held by a third of all rows becomes
-    a single row after a map-side pre-aggregation, so no task sorts the tie.
-    ``materialize`` (default) first writes the input once to the shared
-    scratch folder: the input is read several times, and an upstream
-    aggregate should run once. ``buckets`` defaults to the session's shuffle
-    partition count, capped at ``MAX_BUCKETS``; left at the default, an input
-    of at most ``SINGLE_TASK_ROWS`` rows (counted exactly while staging) is
-    ranked in a single bucket.
+    every row to one task; see the module text. End ``order`` in a unique
+    column for row numbers that are stable across runs. ``ranges`` defaults to
+    the session's shuffle partitions, more when a range would hold over
+    ``RANGE_ROWS`` rows; it decides the balance, never the result.
     """
-    if method not in ("row_number", "rank", "dense_rank"):
-        raise ValueError("method must be one of ['dense_rank', 'rank', 'row_number']")
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {sorted(METHODS)}")
     if not order:
         raise ValueError("order needs at least one SortKey")
-    spark = df.sparkSession
-    n = buckets or min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    small = SINGLE_TASK_ROWS if buckets is None else 0
-
-    total = None
+    x, n = ranged(df, order, ranges, staged_rows)
     if method == "row_number":
-        order = list(order)
-        if materialize:
-            tagged = df.withColumn(_TIEBREAK, F.monotonically_increasing_id())
-            df, total = stage_counted(tagged, "rank_input")
-            order.append(SortKey(_TIEBREAK))
-        ranked = prefix_sum(df, order, None, _BEFORE, n, seed, total, small)
-        return ranked.withColumn(out, (F.col(_BEFORE) + 1).cast("int")).drop(_BEFORE, _TIEBREAK)
-
-    if materialize:
-        df = stage(df, "rank_input")
-    names = [k.name for k in order]
-    if method == "rank":
-        keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias(_WEIGHT))
+        ranked = _row_number(x, out)
     else:
-        keys = df.select(*names).distinct()
-    if materialize:
-        keys, total = stage_counted(keys, "rank_keys")
-    weight = _WEIGHT if method == "rank" else None
-    ranked = prefix_sum(keys, order, weight, _BEFORE, n, seed, total, small)
-    aliases = [f"__lamina_k{i}" for i in range(len(names))]
-    lookup = ranked.select(
-        *[F.col(n_).alias(a) for n_, a in zip(names, aliases)],
-        (F.col(_BEFORE) + 1).cast("int").alias(out),
-    )
-    cond = [df[n_].eqNullSafe(lookup[a]) for n_, a in zip(names, aliases)]
-    return df.join(lookup, cond, "inner").drop(*aliases)
+        ranked = _tied_rank(x, n, list(dict.fromkeys(k.name for k in order)), method, out)
+    return ranked.select(*[c for c in df.columns if c != _TIE], out)

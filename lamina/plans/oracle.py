@@ -266,12 +266,12 @@ select * from lineitem
 qualify row_number() over (partition by l_orderkey, l_linenumber
   order by {', '.join(c.strip() + ' asc nulls first' for c in LINEITEM_REST.split(','))}) = 1""",
     "global_dense_rank": f"""
-select l_suppkey, avg_disc, cast(dense_rank() over (order by avg_disc desc nulls last) as int) as disc_rank
+select l_suppkey, avg_disc, cast(dense_rank() over (order by avg_disc desc nulls last) as bigint) as disc_rank
 from (select l_suppkey, {R('avg(l_discount)', 4)} as avg_disc from lineitem group by l_suppkey) t""",
     "global_row_number": f"""
 select l_partkey, avg_disc, total_qty,
   cast(row_number() over (order by avg_disc desc nulls last, total_qty desc nulls last,
-       l_partkey asc nulls first) as int) as part_rank
+       l_partkey asc nulls first) as bigint) as part_rank
 from (select l_partkey, {R('avg(l_discount)', 4)} as avg_disc, {R('sum(l_quantity)', 2)} as total_qty
       from lineitem group by l_partkey) t""",
     "global_row_number_rows": f"""
@@ -279,11 +279,11 @@ select l_orderkey, l_linenumber, l_extendedprice,
   cast(row_number() over (order by l_extendedprice desc nulls last, l_orderkey asc nulls first,
        l_linenumber asc nulls first,
        {', '.join(c.strip() + ' asc nulls first' for c in LINEITEM_REST.split(',') if c.strip() != 'l_extendedprice')}
-  ) as int) as price_rank
+  ) as bigint) as price_rank
 from lineitem""",
     "global_dense_rank_rows": """
 select l_orderkey, l_linenumber, l_quantity,
-  cast(dense_rank() over (order by l_quantity desc nulls last) as int) as qty_rank
+  cast(dense_rank() over (order by l_quantity desc nulls last) as bigint) as qty_rank
 from lineitem""",
     "top_k_per_group": """
 select t.event_id, t.event_type, t.user_id, t.value, t.ranking, e.props

@@ -8,6 +8,7 @@ command-line runs only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,11 +50,16 @@ def build_session(
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """The session names no folder that driver and executors share."""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local tests) is a private
-    folder created and registered as the checkpoint directory.
+    Only a local master (one machine, so any folder is shared) may leave it
+    unset: a private folder is then created and registered. On a cluster the
+    executors would each write to their own disk, so an unset folder raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -63,6 +69,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir appends a per-application uuid folder; use its parent
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise NoSharedFolder(f"set spark.checkpoint.dir to a shared folder (master is {sc.master})")
     root = tempfile.mkdtemp(prefix="lamina-ckpt-")
     sc.setCheckpointDir(root)
     return root
@@ -71,10 +79,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/lamina-scratch/{uuid.uuid4().hex}/{name}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable: register the shared root if needed."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(f"{checkpoint_root(spark)}/lamina-checkpoints")

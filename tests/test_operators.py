@@ -114,7 +114,7 @@ def test_global_rank_equals_single_partition(spark, method, fn, null_every):
     ]
     df = spark.createDataFrame(rows, "id int, a int, b int")
     order = [desc("a"), asc("b"), asc("id")] if method == "row_number" else [desc("a"), asc("b")]
-    got = global_rank(df, order, method, "r", buckets=6)
+    got = global_rank(df, order, method, "r", ranges=6)
     exp = _single_partition(df, [k.column() for k in order], fn)
     joined = got.join(exp.select("id", "expected"), ["id"])
     assert joined.count() == 1500
@@ -126,7 +126,7 @@ def test_global_rank_string_key_and_nulls_first(spark):
     rows = [(i, None if i % 9 == 0 else random.choice(["ab", "b", "c", "dd", "e"])) for i in range(400)]
     df = spark.createDataFrame(rows, "id int, s string")
     order = [asc("s"), asc("id")]
-    got = global_rank(df, order, "row_number", "r", buckets=4)
+    got = global_rank(df, order, "row_number", "r", ranges=4)
     exp = _single_partition(df, [k.column() for k in order], F.row_number)
     assert got.join(exp, ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
 
@@ -155,25 +155,32 @@ def test_global_rank_null_orders_many_buckets(spark, descending, nulls_last):
     rows = [(i, None if i % 5 == 0 else random.random() * 100) for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, x double")
     order = [SortKey("x", descending, nulls_last), asc("id")]
-    got = global_rank(df, order, "row_number", "r", buckets=37, materialize=False)
+    got = global_rank(df, order, "row_number", "r", ranges=37)
     exp = _single_partition(df, [k.column() for k in order], F.row_number)
     assert got.join(exp.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
 
 
 def test_global_rank_splits_hot_leading_value(spark):
-    from lamina.operators.ranking import _bounds, bucket_of, shortest_prefix
+    from lamina.operators.ranking import ranged
 
     random.seed(31)
-    rows = [(i, 50 if i % 3 == 0 else random.randint(0, 100), random.randint(0, 10**6)) for i in range(6000)]
+    rows = [(i, 50 if i % 5 else random.randint(0, 100), random.randint(0, 9)) for i in range(6000)]
     df = spark.createDataFrame(rows, "id int, a int, b int")
-    order = [desc("a"), desc("b"), asc("id")]
-    bounds, width = shortest_prefix(_bounds(df, order, 16, 17))
-    assert width == 2  # the hot leading value needs the second key to split
-    sizes = [r["count"] for r in df.groupBy(bucket_of(order[:width], bounds).alias("k")).count().collect()]
-    assert max(sizes) < 2000 / 2  # the 2000 rows with a = 50 are spread over several buckets
-    got = global_rank(df, order, "row_number", "r", buckets=16)
-    exp = _single_partition(df, [k.column() for k in order], F.row_number)
-    assert got.join(exp.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
-    dense = global_rank(df, [desc("a")], "dense_rank", "r", buckets=16)
-    exp_d = _single_partition(df, [desc("a").column()], F.dense_rank)
-    assert dense.join(exp_d.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
+    placed, n = ranged(df, [desc("a")], 16)
+    sizes = [r["count"] for r in placed.groupBy("__lamina_range").count().collect()]
+    assert n == 16 and len(sizes) == 16 and max(sizes) < 1200  # 4800 rows tie on a = 50
+    for method, fn in [("row_number", F.row_number), ("rank", F.rank), ("dense_rank", F.dense_rank)]:
+        order = [desc("a"), desc("b")] + ([asc("id")] if method == "row_number" else [])
+        got = global_rank(df, order, method, "r", ranges=16)
+        exp = _single_partition(df, [k.column() for k in order], fn)
+        assert got.join(exp.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
+    one_value = global_rank(df, [desc("a")], "rank", "r", ranges=16)
+    exp = _single_partition(df, [desc("a").column()], F.rank)
+    assert one_value.join(exp.select("id", "expected"), ["id"]).filter(F.col("r") != F.col("expected")).count() == 0
+
+
+def test_global_rank_is_bigint_and_keeps_columns(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "x")], "id int, s string")
+    for method in ("row_number", "rank", "dense_rank"):
+        got = global_rank(df, [asc("s")], method, "r")
+        assert got.columns == ["id", "s", "r"] and got.schema["r"].dataType.simpleString() == "bigint"

@@ -1,8 +1,11 @@
 """Plan shape: scale properties the operators promise."""
 
+import re
+
 import __spark_entry__ as E
 from lamina.operators.ranking import asc, desc, global_rank
 from lamina.operators.relational import dedupe_first, top_k
+from lamina.plans.queries import QUERIES
 from pyspark.sql import functions as F
 
 
@@ -12,7 +15,7 @@ def physical(df):
 
 
 def test_no_python_udf_in_any_query(spark, sf_small):
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         plan = q(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert node not in plan, (name, node)
@@ -30,11 +33,17 @@ def test_window_group_limit_before_shuffle(spark, sf_small):
 def test_global_rank_has_no_single_partition_window_over_data(spark, sf_small):
     li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
     order = [desc("l_extendedprice"), asc("l_orderkey"), asc("l_linenumber")]
-    ranked = global_rank(li, order, "row_number", "r", buckets=8)
-    plan = physical(ranked)
-    # the only SinglePartition exchange is the one over the per-bucket widths
-    assert plan.count("SinglePartition") <= 1
-    assert "hashpartitioning(__lamina_bucket" in plan
+    plan = physical(global_rank(li, order, "row_number", "r"))
+    # the only SinglePartition exchange is the one over the per-range counts
+    assert plan.split("== Initial Plan ==")[0].count("SinglePartition") <= 1
+    assert "SortMergeJoin" not in plan
+    for method in ("rank", "dense_rank"):
+        plan = physical(global_rank(li.select("l_orderkey", "l_quantity"), [desc("l_quantity")], method, "r"))
+        final = plan.split("== Initial Plan ==")[0]
+        # rows are windowed by range; nothing is joined on the sort key
+        assert "rangepartitioning(__lamina_range" in final
+        keys = re.findall(r"Join \[([^\]]*)\]", final)
+        assert keys and all(k.startswith("__lamina_range") for k in keys)
 
 
 def test_parquet_scans_are_pruned(spark, sf_small):

@@ -2,9 +2,9 @@
 
 1. Split: each document is cut into pre-tokens ("words") inside Spark tasks;
    neighbouring rows form a block of bounded text.
-2. Distinct words: every block states its distinct words once, numbered in
-   text order. Sorted by word across blocks, equal words meet, and each is
-   encoded a single time.
+2. Distinct words: every block states its distinct words once, numbered, and
+   dealt into shares by a hash of the word. Equal words of all blocks meet in
+   one share, where each is encoded a single time.
 3. Join back by position: the (block, word number) -> ids rows return to their
    block, where a document is its list of word numbers in text order.
 4. Decode through an id -> piece table (the vocabulary, of fixed size).
@@ -20,18 +20,21 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import batches, table
 
 # Code points of text that close a block (a longer text is a block of its own).
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
+# Documents that one output frame of the decoder holds.
+DECODE_ROWS = 500
 
 # The classes of the tokenizer's split pattern, spelled out for
 # code points below U+0250, where they never change. Other texts are split by
@@ -127,72 +130,88 @@ def read_tokenizer(path: str) -> str:
 class _Blocks:
     """Cuts the rows of a task into blocks and numbers each block's distinct words.
 
-    A block is named by the row number of its first document. Numbering follows
-    the text, so both passes over the documents give the same numbers.
+    A block is named by the row number of its first document. Words are numbered
+    share by share (a hash of the word names its share), within a share in text
+    order, so both passes over the documents give the same numbers.
     """
 
-    def __init__(self, tokenizer_json: str, block_chars: int):
+    def __init__(self, tokenizer_json: str, block_chars: int, shares: int):
         self.splitter = Splitter(tokenizer_json)
-        self.block_chars = block_chars
+        self.block_chars, self.shares = block_chars, shares
 
-    def __call__(self, pdf: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame, dict[str, int], list[int], list[int]]]:
+    def __call__(self, pdf: pd.DataFrame) -> Iterator[tuple]:
+        """Per block: name, ids, words by number, first number of each share, numbers in text order, lengths."""
         chars = pdf["text"].map(lambda t: len(t) if t else 0).to_numpy()
         for _, at in pd.Series(range(len(pdf))).groupby(chars.cumsum() // self.block_chars):
             part = pdf.iloc[at.to_numpy()]
-            number: dict[str, int] = {}
-            flat: list[int] = []
-            lengths: list[int] = []
+            seen: dict[str, int] = {}
+            flat: list[np.ndarray] = []
             for text in part["text"]:
-                words = self.splitter(text)
-                lengths.append(len(words))
-                for w in words:
-                    flat.append(number.setdefault(w, len(number)))
-            yield int(part["row"].iloc[0]), part, number, flat, lengths
+                flat.append(np.asarray([seen.setdefault(w, len(seen)) for w in self.splitter(text)], dtype="<u4"))
+            words = list(seen)
+            share = np.asarray([xxhash.xxh32_intdigest(w) % self.shares for w in words], dtype=np.int64)
+            order = np.argsort(share, kind="stable")
+            number = np.empty(len(words), dtype="<u4")
+            number[order] = np.arange(len(words), dtype="<u4")
+            numbers = number[np.concatenate(flat)] if words else number
+            firsts = np.searchsorted(share[order], np.arange(self.shares + 1))
+            yield (int(part["row"].iloc[0]), list(part["id"]), [words[i] for i in order], firsts, numbers,
+                   np.asarray([len(f) for f in flat], dtype="<u4"))
 
 
 def encode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text",
            block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``(id_col, ids binary)``: little-endian unsigned 32-bit token ids of each row's whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+    """``(id_col, ids binary)``: little-endian unsigned 32-bit token ids of each row's whole text.
+
+    The distinct words are dealt over the session's shuffle partitions by hash.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(tokenizer_json)
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "row", F.monotonically_increasing_id())
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def distinct_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cut = _Blocks(shared.value, block_chars)
+        cut = _Blocks(shared.value, block_chars, shares)
         for pdf in batches(frames):
-            for block, _, number, _, _ in cut(pdf):
-                yield pd.DataFrame({"block": np.int64(block), "number": np.arange(len(number), dtype=np.int32),
-                                    "word": list(number)})
+            for block, _, words, firsts, _, _ in cut(pdf):
+                some = np.flatnonzero(np.diff(firsts))
+                yield pd.DataFrame({
+                    "share": some.astype(np.int32), "block": np.int64(block), "first": firsts[some],
+                    "words": [_pack("\n".join(words[firsts[s]:firsts[s + 1]]).encode()) for s in some],
+                })
 
     def sequences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cut = _Blocks(shared.value, block_chars)
+        cut = _Blocks(shared.value, block_chars, shares)
         for pdf in batches(frames):
-            for block, part, _, flat, lengths in cut(pdf):
-                yield pd.DataFrame({
-                    "block": [block], "ids": [list(part["id"])],
-                    "lengths": [np.asarray(lengths, dtype="<u4").tobytes()],
-                    "numbers": [zlib.compress(np.asarray(flat, dtype="<u4").tobytes(), 1)],
-                })
+            for block, ids, _, _, numbers, lengths in cut(pdf):
+                yield pd.DataFrame({"block": [block], "ids": [ids], "lengths": [lengths.tobytes()],
+                                    "numbers": [_pack(numbers.tobytes())]})
 
-    def encode_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows come sorted by word: every run of one word is encoded once
-        code, last, last_ids = WordEncoder(shared.value), None, b""
+    def encode_shares(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a share's words all come here: its part of the distinct-word table
+        code, known, share = WordEncoder(shared.value), {}, None
         for pdf in batches(frames):
-            words = pdf["word"].to_numpy(dtype=object)
-            starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-            runs = [str(w) for w in words[starts]]
-            ids = code(runs[1:] if runs[0] == last else runs)
-            ids = [last_ids, *ids] if runs[0] == last else ids
-            last, last_ids = runs[-1], ids[-1]
-            of_row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
-            yield pd.DataFrame({"block": pdf["block"], "number": pdf["number"], "code": [ids[i] for i in of_row]})
+            for row in pdf.itertuples(index=False):
+                if row.share != share:
+                    known, share = {}, row.share
+                words = _unpack(row.words).decode().split("\n")
+                new = [w for w in words if w not in known]
+                known.update(zip(new, code(new)))
+                codes = [known[w] for w in words]
+                sizes = np.asarray([len(c) for c in codes], dtype="<u4").tobytes()
+                yield pd.DataFrame({"block": [row.block], "first": [row.first], "sizes": [_pack(sizes)],
+                                    "codes": [_pack(b"".join(codes))]})
 
     def by_position(seq: pd.DataFrame, coded: pd.DataFrame) -> pd.DataFrame:
-        code = np.empty(len(coded), dtype=object)
-        code[coded["number"].to_numpy()] = coded["code"].to_numpy()
-        code = code.tolist()
-        numbers = np.frombuffer(zlib.decompress(seq["numbers"].iloc[0]), dtype="<u4")
+        code: list[bytes] = []
+        for row in coded.sort_values("first").itertuples(index=False):
+            joined, at = _unpack(row.codes), 0
+            for size in np.frombuffer(_unpack(row.sizes), dtype="<u4").tolist():
+                code.append(joined[at : at + size])
+                at += size
+        numbers = np.frombuffer(_unpack(seq["numbers"].iloc[0]), dtype="<u4")
         ends = np.cumsum(np.frombuffer(seq["lengths"].iloc[0], dtype="<u4"), dtype=np.int64)
         out, start = [], 0
         for end in ends.tolist():
@@ -201,9 +220,9 @@ def encode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_co
         return pd.DataFrame({"id": pd.Series(list(seq["ids"].iloc[0]), dtype=object), "ids": out})
 
     coded = (
-        rows.mapInPandas(distinct_words, "block long, number int, word string")
-        .repartition("word").sortWithinPartitions("word")
-        .mapInPandas(encode_runs, "block long, number int, code binary")
+        rows.mapInPandas(distinct_words, "share int, block long, first long, words binary")
+        .repartition(shares, "share").sortWithinPartitions("share")
+        .mapInPandas(encode_shares, "block long, first long, sizes binary, codes binary")
     )
     blocks = rows.mapInPandas(sequences, f"block long, ids array<{id_type}>, lengths binary, numbers binary")
     joined = blocks.groupBy("block").cogroup(coded.groupBy("block")).applyInPandas(
@@ -211,6 +230,14 @@ def encode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_co
     return joined.select(F.col("id").alias(id_col), "ids")
 
 
+def _pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data) if data else b""
+
+
 def decode(encoded: DataFrame, tokenizer_json: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """Add ``out``: the pieces of the ids joined by a space, as the tokenizer's own ``decode`` gives.
 
@@ -221,8 +248,10 @@ def decode(encoded: DataFrame, tokenizer_json: str, ids_col: str = "ids", out: s
     def lookup(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         piece = shared.value.__getitem__
         for pdf in batches(frames):
-            yield pdf.assign(**{out: [
-                " ".join(map(piece, np.frombuffer(b, dtype="<u4").tolist())) for b in pdf[ids_col]]})
+            for at in range(0, len(pdf), DECODE_ROWS):
+                part = pdf.iloc[at : at + DECODE_ROWS]
+                yield part.assign(**{out: [
+                    " ".join(map(piece, np.frombuffer(b, dtype="<u4").tolist())) for b in part[ids_col]]})
 
     kept = [f for f in encoded.schema if f.name != out]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)

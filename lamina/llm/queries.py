@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from lamina.llm.bpe import op9_bpe
+from lamina.llm.lsh_forest import OP3_SQL, op3_lsh_forest
 from lamina.llm.packing import op5_best_fit_packing
+from lamina.llm.quality import OP2_SQL, op2_line_cleaning
 from lamina.llm.sharding import op10_hilbert_sharding
+from lamina.llm.substring import op1_paragraph_minhash
 
 QUERIES = {
+    "op1_paragraph_minhash": op1_paragraph_minhash,
+    "op2_line_cleaning": op2_line_cleaning,
+    "op3_lsh_forest": op3_lsh_forest,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_bpe": op9_bpe,
     "op10_hilbert_sharding": op10_hilbert_sharding,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op2_line_cleaning": OP2_SQL, "op3_lsh_forest": OP3_SQL}

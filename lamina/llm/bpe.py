@@ -160,13 +160,17 @@ class _Blocks:
 
 
 def encode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text",
-           block_chars: int = BLOCK_CHARS) -> DataFrame:
+           decoded: str | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``(id_col, ids binary)``: little-endian unsigned 32-bit token ids of each row's whole text.
 
     The distinct words are dealt over the session's shuffle partitions by hash.
+    ``decoded`` adds the decoded text under that name: the ids of each distinct
+    word of a block are joined with their pieces there and then, in the same
+    task, rather than the ids of every occurrence later (``decode``).
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json)
+    pieces = spark.sparkContext.broadcast(pieces_of(tokenizer_json))  # the vocabulary: of fixed size
     shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "row", F.monotonically_increasing_id())
@@ -211,13 +215,18 @@ def encode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_co
             for size in np.frombuffer(_unpack(row.sizes), dtype="<u4").tolist():
                 code.append(joined[at : at + size])
                 at += size
+        texts = None if decoded is None else _word_texts(code, pieces.value)
         numbers = np.frombuffer(_unpack(seq["numbers"].iloc[0]), dtype="<u4")
         ends = np.cumsum(np.frombuffer(seq["lengths"].iloc[0], dtype="<u4"), dtype=np.int64)
-        out, start = [], 0
+        ids, plain, start = [], [], 0
         for end in ends.tolist():
-            out.append(b"".join([code[i] for i in numbers[start:end].tolist()]))
+            at = numbers[start:end].tolist()
+            ids.append(b"".join([code[i] for i in at]))
+            if texts is not None:
+                plain.append(" ".join([texts[i] for i in at]))
             start = end
-        return pd.DataFrame({"id": pd.Series(list(seq["ids"].iloc[0]), dtype=object), "ids": out})
+        out = {"id": pd.Series(list(seq["ids"].iloc[0]), dtype=object), "ids": ids}
+        return pd.DataFrame(out if texts is None else out | {"text": plain})
 
     coded = (
         rows.mapInPandas(distinct_words, "share int, block long, first long, words binary")
@@ -226,8 +235,14 @@ def encode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_co
     )
     blocks = rows.mapInPandas(sequences, f"block long, ids array<{id_type}>, lengths binary, numbers binary")
     joined = blocks.groupBy("block").cogroup(coded.groupBy("block")).applyInPandas(
-        by_position, f"id {id_type}, ids binary")
-    return joined.select(F.col("id").alias(id_col), "ids")
+        by_position, f"id {id_type}, ids binary" + ", text string" * (decoded is not None))
+    more = [] if decoded is None else [F.col("text").alias(decoded)]
+    return joined.select(F.col("id").alias(id_col), "ids", *more)
+
+
+def _word_texts(code: list[bytes], piece: list[str | None]) -> list[str]:
+    """The pieces of each word's ids, joined by a space."""
+    return [" ".join([piece[i] for i in np.frombuffer(c, dtype="<u4").tolist()]) for c in code]
 
 
 def _pack(data: bytes) -> bytes:
@@ -261,8 +276,7 @@ def decode(encoded: DataFrame, tokenizer_json: str, ids_col: str = "ids", out: s
 def op9_bpe(spark, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     """Digest of every document's ids and of their decoded text."""
     spec = read_tokenizer(tokenizer_path or default_tokenizer())
-    coded = encode(table(spark, sf_dir, "documents"), spec)
-    return decode(coded, spec, out="decoded").select(
+    return encode(table(spark, sf_dir, "documents"), spec, decoded="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -69,7 +69,7 @@ def minhash_bytes(items: np.ndarray, mult: np.ndarray, add: np.ndarray, step: in
 
 
 def signatures(docs: DataFrame, forest: Forest, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n_shingles, node, sig)`` per row; node and sig are null for an empty set."""
+    """``(id, text_hash, n_shingles, node, sig)`` per row; node and sig are null for an empty set."""
     rng = np.random.default_rng(forest.seed)
     mult = rng.integers(0, 1 << 63, forest.trees * forest.depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     add = rng.integers(0, 1 << 63, forest.trees * forest.depth, dtype=np.uint64)
@@ -79,14 +79,15 @@ def signatures(docs: DataFrame, forest: Forest, id_col: str, text_col: str) -> D
         for pdf in batches(frames):
             sets = [text_set(t, hashes, forest.shingle) for t in pdf["text"]]
             yield pd.DataFrame({
-                "id": pdf["id"], "n_shingles": [len(s) for s in sets],
+                "id": pdf["id"], "text_hash": pdf["text_hash"], "n_shingles": [len(s) for s in sets],
                 "node": [set_node(s) if len(s) else None for s in sets],
                 "sig": [minhash_bytes(s, mult, add) if len(s) else None for s in sets],
             })
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
-        sign, f"id {id_type}, n_shingles long, node binary, sig binary")
+    return docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")
+    ).mapInPandas(sign, f"id {id_type}, text_hash long, n_shingles long, node binary, sig binary")
 
 
 class _Tree:
@@ -151,15 +152,19 @@ class _Tree:
         return out
 
 
+def _candidate_frame(rows: list[tuple]) -> Iterator[pd.DataFrame]:
+    if rows:
+        yield pd.DataFrame(rows, columns=["a", "b", "region"], dtype=object)
+
+
 def forest_candidates(nodes: DataFrame, forest: Forest) -> DataFrame:
     """``(a, b, region)``: candidate pairs, and the members (a) of regions dense at full depth."""
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree = _Tree(forest)
         for pdf in batches(frames):
-            yield pd.DataFrame(tree.add(list(pdf["tree"]), list(pdf["key"]), list(pdf["node"])),
-                               columns=["a", "b", "region"], dtype=object)
-        yield pd.DataFrame(tree.close(), columns=["a", "b", "region"], dtype=object)
+            yield from _candidate_frame(tree.add(list(pdf["tree"]), list(pdf["key"]), list(pdf["node"])))
+        yield from _candidate_frame(tree.close())
 
     rows = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")).select(
         "node", "tree", F.expr(f"substring(sig, tree * {forest.depth} + 1, {forest.depth})").alias("key"))
@@ -203,7 +208,7 @@ def node_sets(docs: DataFrame, wanted: DataFrame, forest: Forest, id_col: str, t
 
 def near_duplicates(docs: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``(id_col, n_shingles, component_id, kept)`` for every row of ``docs``."""
+    """``(id_col, text_hash, n_shingles, component_id, kept)`` for every row of ``docs``."""
     signed = stage(signatures(docs, forest, id_col, text_col), "forest_signatures")
     nodes = stage(
         signed.filter("node is not null").groupBy("node")
@@ -222,14 +227,25 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest(), id_col: str = "d
         of_node.select("node", F.coalesce("component_id", "own").alias("component_id")), "node", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
+        F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, component.isNull()).alias("kept"),
     )
 
 
+def keep_one(docs: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of every group of near-duplicates; rows that are
+    equal in id and text count as one document."""
+    kept = near_duplicates(docs, forest, id_col, text_col).filter("kept").select(
+        F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    names = docs.columns
+    own = docs.withColumn("__own", F.xxhash64(text_col))
+    one = own.dropDuplicates([id_col, "__own"])
+    return one.join(kept, one[id_col].eqNullSafe(kept["__id"]) & (one["__own"] == kept["__hash"]), "left_semi").select(*names)
+
+
 def op3_lsh_forest(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return near_duplicates(docs, Forest(shingle=3, num=85))
+    return near_duplicates(docs, Forest(shingle=3, num=85)).drop("text_hash")
 
 
 OP3_SQL = r"""

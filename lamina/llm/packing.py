@@ -8,12 +8,13 @@ pieces' lengths alone:
    groups of about ``group_pieces`` pieces, and each group is packed by
    best-fit decreasing in one task.
 2. A dual-feasible-function lower bound certifies each group: when it equals
-   the number of bins, no packing of that group can be better, and its bins
-   are final.
-3. Groups with a gap give up their bins that are not full. Their pieces are
-   dealt anew, by another hash and into fewer groups, and packed again. Each
-   round is written to the shared folder and kept only if it needs no more
-   bins than before.
+   the number of bins, no packing of that group alone can be better. Such a
+   group, if its free space is under one sequence, is settled.
+3. The other groups exchange their pieces: these are dealt anew, by another hash
+   and into fewer, larger groups, and packed again; a round that would need more
+   bins than before is dropped. The exchange ends
+   when the bound of all lengths together (from their histogram) is reached, or
+   after ``rounds`` rounds. Rounds are written to the shared folder.
 
 Null and empty texts are one piece holding just the separator. Repeated rows
 are packed as separate documents. Other input columns are not read. An empty
@@ -37,6 +38,7 @@ CAPACITY = 4096
 SEPARATOR = 1
 GROUP_PIECES = 20_000
 ROUNDS = 4
+GROWTH = 4  # by which a group may be larger in each further round; the last bounds what a task holds
 # Distinct words whose ids a task remembers.
 WORD_MEMORY = 300_000
 
@@ -92,25 +94,30 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY,
 
 # --- bounds and best-fit decreasing (helpers inside a task) ---------------
 
-def dual_feasible_bound(lengths: np.ndarray, capacity: int) -> int:
+def dual_feasible_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
     """A proven lower bound on the bins: the best of two families of dual feasible functions.
 
+    ``counts`` says how often each length occurs (once if not given).
+
     The threshold family treats items over ``capacity - a`` as whole bins and
     drops items under ``a``; the rounding family scales to k + 1 parts. The
     identity is a member, so the bound is never below the plain volume bound.
     """
     if len(lengths) == 0:
         return 0
-    x = np.sort(lengths.astype(np.int64))
-    best = -(-int(x.sum()) // capacity)
-    sums = np.concatenate([[0], np.cumsum(x)])
+    n = np.ones(len(lengths), dtype=np.int64) if counts is None else counts.astype(np.int64)
+    order = np.argsort(lengths, kind="stable")
+    x, n = lengths[order].astype(np.int64), n[order]
+    items = np.concatenate([[0], np.cumsum(n)])
+    sums = np.concatenate([[0], np.cumsum(x * n)])
+    best = -(-int(sums[-1]) // capacity)
     for a in np.unique(x[x <= capacity // 2]):
         low, high = np.searchsorted(x, a), np.searchsorted(x, capacity - a, side="right")
-        best = max(best, (len(x) - high) - (-int(sums[high] - sums[low]) // capacity))
+        best = max(best, int(items[-1] - items[high]) + -(-int(sums[high] - sums[low]) // capacity))
     for k in range(1, 101):
         scaled, exact = np.divmod(x * (k + 1), capacity)
         u = np.where(exact == 0, x * k, scaled * capacity)  # in units of capacity * k
-        best = max(best, -(-int(u.sum()) // (capacity * k)))
+        best = max(best, -(-int((u * n).sum()) // (capacity * k)))
     return best
 
 
@@ -141,18 +148,18 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
 # --- the packing jobs -----------------------------------------------------
 
 def _pack_groups(pieces: DataFrame, groups: int, seed: int, capacity: int) -> DataFrame:
-    """``uid, length, bin, open``: best fit within hash groups; ``open`` marks the bins
-    that a group with a gap over its certified bound gives up."""
+    """``uid, length, bin, open``: best fit within hash groups; ``open`` marks the
+    pieces of groups that are not settled."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("uid")
         lengths = pdf["length"].to_numpy()
         local = best_fit_decreasing(lengths, capacity)
         used = np.bincount(local, weights=lengths)
-        gap = len(used) > dual_feasible_bound(lengths, capacity)
+        gap = len(used) * capacity - lengths.sum() >= capacity or len(used) > dual_feasible_bound(lengths, capacity)
         lead = pd.Series(pdf["uid"].to_numpy()).groupby(local).min().to_numpy()  # a bin is named by a piece
         return pd.DataFrame({"uid": pdf["uid"].to_numpy(), "length": lengths, "bin": lead[local],
-                             "open": gap & (used[local] < capacity)})
+                             "open": gap})
 
     group = F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(groups))
     return pieces.withColumn("group", group).groupBy("group").applyInPandas(
@@ -166,29 +173,34 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     held = stage(pieces.select(F.struct(*names).alias("row"), F.col("length").cast("long").alias("length"))
                  .withColumn("uid", F.monotonically_increasing_id()), "pack_pieces")
     sizes = held.select("uid", "length")
-    final = [sizes.filter(F.col("length") >= capacity).select("uid", "length", F.col("uid").alias("bin"))]
-    todo, before = sizes.filter(F.col("length") < capacity), None
+    # at most one row per length up to the capacity
+    lengths = held.filter(F.col("length") < capacity).groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    left = np.asarray([r["n"] for r in lengths], dtype=np.int64)
+    bound = dual_feasible_bound(np.asarray([r["length"] for r in lengths], dtype=np.int64), capacity, left)
+    bins = sizes.filter(F.col("length") >= capacity).select("uid", "length", F.col("uid").alias("bin"))
+    todo, n, best = sizes.filter(F.col("length") < capacity), int(left.sum()), None
+    settled = 0
     for turn in range(rounds):
-        n = todo.count()
         if n == 0:
-            todo = None
             break
-        groups = max(1, -(-n // group_pieces))
+        groups = max(1, -(-n // (group_pieces * GROWTH**turn)))
         packed = stage(_pack_groups(todo, groups, turn, capacity), "pack_round")
-        if before is not None and packed.select("bin").distinct().count() > before:
-            break  # the earlier bins were as good: keep them
-        final.append(packed.filter(~F.col("open")).select("uid", "length", "bin"))
-        opened = packed.filter("open")
-        todo = opened.select("uid", "length")
-        kept = opened.select("uid", "length", "bin")
-        before = opened.select("bin").distinct().count()
-        if groups == 1:
+        made = {r["open"]: r for r in packed.groupBy("open").agg(
+            F.count_distinct("bin").alias("bins"), F.count(F.lit(1)).alias("pieces")).collect()}
+        total = sum(r["bins"] for r in made.values())
+        if best is not None and total > best[1]:
+            break  # the bins of the round before stay
+        shut = packed.filter(~F.col("open")).drop("open")
+        bins, best = bins.unionByName(shut), None
+        if True not in made:
+            break
+        opened = packed.filter("open").drop("open")
+        settled += made[False]["bins"] if False in made else 0
+        best, n, todo = (opened, made[True]["bins"]), made[True]["pieces"], opened.select("uid", "length")
+        if groups == 1 or settled + best[1] <= bound:
             break
-    if todo is not None:
-        final.append(kept)
-    bins = final[0]
-    for part in final[1:]:
-        bins = bins.unionByName(part)
+    if best is not None:
+        bins = bins.unionByName(best[0])
     place = Window.partitionBy("bin").orderBy(F.col("length").desc(), "uid")
     placed = bins.select(
         "uid", F.col("bin").alias("sequence_id"),

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.common import batches, mix64, shingle_hashes, stage, table
 from lamina.llm.links import linked_components
-from lamina.llm.lsh_forest import Forest, _Tree
+from lamina.llm.lsh_forest import Forest, _candidate_frame, _Tree
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,7 @@ class Cutter:
         over = np.arange(n) + k > np.repeat(stop, stop - start)  # the shingle leaves its paragraph
         out = []
         for band in range(self.rules.bands):
-            v = mix64(acc + np.uint64(band + 1) * _SHIFT)
+            v = mix64(acc + np.uint64((band + 1) * int(_SHIFT) % (1 << 64)))
             v[over] = np.iinfo(np.uint64).max
             out.append(np.minimum.reduceat(v, start).view(np.int64))
         return out
@@ -166,9 +166,8 @@ def band_candidates(docs: DataFrame, rules: Paragraphs, text_col: str) -> DataFr
             new[0] = (band[0], value[0], cls[0]) != last
             last = (band[-1], value[-1], cls[-1])
             band, cls = band[new].tolist(), cls[new].tolist()
-            yield pd.DataFrame(tree.add(band, [v.tobytes() for v in value[new].astype(">i8")], cls),
-                               columns=["a", "b", "region"], dtype=object)
-        yield pd.DataFrame(tree.close(), columns=["a", "b", "region"], dtype=object)
+            yield from _candidate_frame(tree.add(band, [v.tobytes() for v in value[new].astype(">i8")], cls))
+        yield from _candidate_frame(tree.close())
 
     return (
         docs.select(F.col(text_col).alias("text")).mapInPandas(bands, "band int, value long, class long")
@@ -193,7 +192,8 @@ def class_sets(docs: DataFrame, wanted: DataFrame, rules: Paragraphs, id_col: st
                     cls, want = cutter.classes(h, start, stop), np.asarray(nodes, dtype=np.int64)
                     for i in np.flatnonzero(np.isin(cls, want)):
                         out.append((int(cls[i]), shingle_hashes(h[start[i]:stop[i]], rules.shingle).tobytes()))
-            yield pd.DataFrame(out, columns=["node", "items"])
+            if out:
+                yield pd.DataFrame(out, columns=["node", "items"])
 
     return texts.mapInPandas(build, "node long, items binary").dropDuplicates(["node"])
 

@@ -48,6 +48,7 @@ class Learning:
     min_docs: int = 3
     min_share: float = 0.01  # of the toxic sample
     min_log_odds: float = 2.3
+    min_evidence: float = 30.0  # log-likelihood ratio statistic of a term
     stems: tuple[int, int] = (3, 8)  # lengths of word beginnings
     window: int = 6
     ridge: float = 0.05
@@ -310,16 +311,28 @@ def _term_counts(sample: DataFrame, stems: tuple[int, int], only: frozenset | No
                 for text in pdf["text"].iloc[at : at + 500]:
                     terms = _doc_terms(text, stems)
                     seen.update(terms if only is None else terms & only)
-                yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+                if seen:
+                    yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
 
     return sample.select("text").mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def likelihood_ratio(k1: int, n1: int, k0: int, n0: int) -> float:
+    """G statistic of a term's document counts in two classes; many terms are tried, so chance finds must fall."""
+    both, out = (k1 + k0) / (n1 + n0), 0.0
+    for k, n in ((k1, n1), (k0, n0)):
+        for seen, expected in ((k, n * both), (n - k, n * (1 - both))):
+            if seen:
+                out += 2 * seen * math.log(seen / expected)
+    return out
+
+
 def choose_terms(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int, learning: Learning) -> list[Term]:
     """Lexicon: frequent, telling words; stems where no single word carries the stem."""
     floor = max(learning.min_docs, math.ceil(learning.min_share * n1))
     odds = {t: math.log((c + 0.5) / (n1 + 1)) - math.log((clean.get(t, 0) + 0.5) / (n0 + 1)) for t, c in toxic.items()}
-    good = [t for t, c in toxic.items() if c >= floor and odds[t] >= learning.min_log_odds]
+    good = [t for t, c in toxic.items() if c >= floor and odds[t] >= learning.min_log_odds
+            and likelihood_ratio(c, n1, clean.get(t, 0), n0) >= learning.min_evidence]
     words = {t for t in good if not t.endswith("*")}
     carried: dict[str, int] = {}  # support of the best word below each stem
     for w in words:
@@ -360,7 +373,8 @@ def learn(docs: DataFrame, labels: DataFrame, learning: Learning = Learning(), i
             for text in pdf["text"]:
                 tokens, hits = scorer.hits(text)
                 seen.update({plain(tokens[i]) for i, _, e in hits if e})
-            yield pd.DataFrame({"form": list(seen), "n": list(seen.values())})
+            if seen:
+                yield pd.DataFrame({"form": list(seen), "n": list(seen.values())})
 
     forms = (
         sample.filter("y = 0").select("text").mapInPandas(near_forms, "form string, n long")

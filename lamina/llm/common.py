@@ -7,13 +7,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.sources.tables import stage
-
-__all__ = ["table", "stage", "WordHashes", "shingle_hashes", "jaccard_counts", "connected_components"]
+from lamina.sources.tables import stage, stage_counted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,39 +86,70 @@ def text_words(text: str | None) -> list[bytes]:
 
 # --- connected components -------------------------------------------------
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+# Links that one task contracts at a time.
+LOCAL_LINKS = 200_000
+
+
+def _contracted(edges: DataFrame, parts: int) -> tuple[DataFrame, int]:
+    """Star forests ``(u, v)``, v the smaller, of the links that each of ``parts`` tasks holds."""
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parent: dict = {}
+
+        def root(x):
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = p = parent[p]
+                x = p
+            return x
+
+        for pdf in frames:
+            for a, b in zip(pdf["u"], pdf["v"]):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        stars = [(x, root(x)) for x in parent if root(x) != x]
+        if stars:
+            yield pd.DataFrame(stars, columns=["u", "v"])
+
+    return stage_counted(edges.repartition(parts).mapInPandas(forest, f"u {kind}, v {kind}"), "cc_edges")
+
+
+def _star_round(e: DataFrame) -> DataFrame:
+    """A large-star and a small-star step: every node is hung below its smallest
+    neighbour. Aggregations combine map-side; AQE may split the joins on a hot node."""
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+    large = stage(
+        both.join(low, both["u"] == low["k"]).filter(F.col("v") > F.col("u"))
+        .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "cc_large")
+    low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
+    return (
+        large.join(low, large["u"] == low["k"]).filter(F.col("v") > F.col("m"))
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .unionByName(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
+    )
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60, local_links: int = LOCAL_LINKS) -> DataFrame:
     """``(node, component)`` for every node of ``edges(u, v)``; component = smallest node.
 
-    Alternating large-star and small-star steps: every node is hung below the
-    smallest neighbour, until the edges form stars. Each round is two
-    aggregations (combined map-side) and two joins that AQE may split on a hot
-    node, written to the shared folder; no link or label reaches the driver.
+    Each task contracts the links it holds (``local_links`` on average) to stars;
+    alternating large-star and small-star steps then join the stars of all tasks,
+    until nothing changes. One task's stars need no such step. Every step is
+    written to the shared folder; no link or label reaches the driver.
     """
-    e = stage(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .filter("u <> v").distinct(), "cc_edges",
-    )
-    for _ in range(max_rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = (
-            both.join(low, both["u"] == low["k"]).filter(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        )
-        large = stage(large, "cc_large")
-        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        joined = large.join(low, large["u"] == low["k"])
-        small = (
-            joined.filter(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
-        )
-        new = stage(small, "cc_edges")
+    links, n = stage_counted(edges.select("u", "v").filter("u <> v").distinct(), "cc_edges")
+    parts = max(1, -(-n // local_links))
+    e, _ = _contracted(links, parts)
+    for _ in range(max_rounds if parts > 1 else 0):
+        new = stage(_star_round(e), "cc_edges")
         if _same_edges(e, new):
             break
         e = new
     else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        if parts > 1:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

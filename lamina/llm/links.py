@@ -53,7 +53,7 @@ def linked_components(pairs: DataFrame, sets: DataFrame, num: int, den: int,
 
     ``regions(region, node)`` names dense buckets of which ``pairs`` holds only
     some pairs. Where such a bucket still spans several components afterwards,
-    its pairs across components are confirmed too, so no link is lost there.
+    these are compared too, so no link is lost there.
     """
     spark = pairs.sparkSession
     node = sets.schema["node"].dataType.simpleString()
@@ -81,26 +81,62 @@ def linked_components(pairs: DataFrame, sets: DataFrame, num: int, den: int,
             "link_pairs")
     if regions is None:
         return labels
-    apart = stage(_across_components(regions, labels), "link_regions")
-    if not apart.isEmpty():
-        edges = stage(edges.unionByName(confirm(apart, sets, num, den)), "link_edges")
+    more = stage(_links_across(regions, labels, sets, num, den), "link_region_edges")
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
         labels = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
     return labels
 
 
-def _across_components(regions: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs across components within a region: the members outside the region's
-    largest component against all others of it."""
-    member = (
-        regions.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct()
-    )
-    per = member.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = per.groupBy("region").agg(
-        F.max_by("component", "n").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    member = member.join(largest.drop("parts"), "region")
-    small = member.filter("component <> main").select("region", F.col("node").alias("p"), F.col("component").alias("cp"))
-    rest = member.select("region", F.col("node").alias("q"), F.col("component").alias("cq"))
-    return (
-        small.join(rest, "region").filter("cp <> cq")
-        .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    )
+# Nodes of a block of a dense group, on average.
+BLOCK_NODES = 256
+
+
+def _links_across(regions: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` between components within dense regions, one at least for every
+    two components that any link joins.
+
+    Regions that share nodes make up a group. Its nodes outside the largest
+    component are compared with all of it, block by block; pairs are not
+    written out, only links are.
+    """
+    member = regions.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct()
+    mixed = member.groupBy("region").agg(F.count_distinct("component").alias("n")).filter("n > 1").select("region")
+    member = stage(member.join(mixed, "region"), "link_members")
+    name = F.concat(F.lit("n"), F.hex(F.col("node")))
+    groups = connected_components(member.select(name.alias("u"), F.concat(F.lit("r"), F.hex("region")).alias("v")))
+    nodes = stage(
+        member.select("node", "component", name.alias("name")).distinct()
+        .join(groups.select(F.col("node").alias("name"), F.col("component").alias("group")), "name")
+        .join(sets, "node").drop("name"), "link_groups")
+    per = nodes.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
+    total = per.groupBy("group").agg(
+        F.max_by("component", "n").alias("main"),
+        F.ceil(F.sum("n") / BLOCK_NODES).cast("int").alias("blocks"),
+        F.ceil((F.sum("n") - F.max("n")) / BLOCK_NODES).cast("int").alias("others"))
+    nodes = nodes.join(total, "group")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
+    left = nodes.filter("component <> main").select(
+        "group", own(F.col("others"), 1).alias("lb"), spread(F.col("blocks")).alias("rb"), "node", "component", "items")
+    right = nodes.filter("others > 0").select(
+        F.col("group").alias("g2"), spread(F.col("others")).alias("lb2"), own(F.col("blocks"), 2).alias("rb2"),
+        *[F.col(c).alias(f"{c}2") for c in ("node", "component", "items")])
+    kind = sets.schema["node"].dataType.simpleString()
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        theirs = [(n, c, np.frombuffer(i, dtype=np.uint64)) for n, c, i in zip(y["node2"], y["component2"], y["items2"])]
+        out = []
+        for node, component, items in zip(x["node"], x["component"], x["items"]):
+            mine, done = np.frombuffer(items, dtype=np.uint64), {component}
+            for other, its, set_ in theirs:
+                small, large = sorted((len(mine), len(set_)))
+                if its not in done and den * small >= num * large:
+                    both, either = jaccard_counts(mine, set_)
+                    if den * both >= num * either:
+                        out.append((min(node, other), max(node, other)))
+                        done.add(its)
+        return pd.DataFrame(out, columns=["a", "b"], dtype=object if out else x["node"].dtype)
+
+    pairs = left.groupBy("group", "lb", "rb").cogroup(right.groupBy("g2", "lb2", "rb2"))
+    return pairs.applyInPandas(compare, f"a {kind}, b {kind}").distinct()

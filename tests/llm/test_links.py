@@ -24,7 +24,8 @@ def union_find(edges):
 
 
 @pytest.mark.parametrize("shape", ["chain", "star", "random", "loops"])
-def test_components_equal_union_find(spark, shape):
+@pytest.mark.parametrize("local", [30, 10**6])
+def test_components_equal_union_find(spark, shape, local):
     rng = random.Random(shape)
     edges = {
         "chain": [(i, i + 1) for i in range(150)] + [(1000 + i, 999 + i) for i in range(3)],
@@ -32,7 +33,8 @@ def test_components_equal_union_find(spark, shape):
         "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(250)],
         "loops": [(1, 1), (2, 3), (3, 2), (2, 3)],
     }[shape]
-    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r["node"]: r["component"] for r in connected_components(
+        spark.createDataFrame(edges, "u long, v long"), local_links=local).collect()}
     want = {n: c for n, c in union_find(edges).items() if any(n in e and e[0] != e[1] for e in edges)}
     assert got == want
 

@@ -94,15 +94,6 @@ GOLDEN = {
 LAYERS = {"bronze": BRONZE, "silver": SILVER, "golden": GOLDEN}
 
 
-def contract(layer: str, table: str) -> T.StructType:
-    """Contract of ``layer.table``; raises ``KeyError`` with the known names otherwise."""
-    try:
-        return LAYERS[layer][table]
-    except KeyError:
-        known = sorted(f"{lay}.{t}" for lay, ts in LAYERS.items() for t in ts)
-        raise KeyError(f"no contract for {layer}.{table}; known: {known}") from None
-
-
 def without(schema: T.StructType, *names: str) -> T.StructType:
     """``schema`` minus the named fields (e.g. the run timestamp for comparisons)."""
     return T.StructType([f for f in schema.fields if f.name not in names])

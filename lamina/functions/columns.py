@@ -1,8 +1,9 @@
 """Column builders: cleaning, parsing, bucketing and derived measures.
 
 Every function takes and returns a ``Column`` and compiles to built-in
-Catalyst expressions (whole-stage codegen, no Python per row). Text parsing is
-ANSI-safe: malformed input becomes NULL instead of failing the job.
+Catalyst expressions (no Python per row). Text parsing and the arithmetic on
+parsed values are ANSI-safe: malformed or overflowing input becomes NULL
+instead of failing the job.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ def clean_code(c: ColumnOrName) -> Column:
 
 def normalize_list(c: ColumnOrName, sep: str = ",") -> Column:
     """Trim, then rewrite any whitespace around ``sep`` as ``sep`` + one space."""
-    s = re.escape(sep)
-    return F.regexp_replace(F.trim(_c(c)), rf"\s*{s}\s*", f"{sep} ")
+    plain = re.sub(r"([\\$])", r"\\\1", sep)  # these two are special in a replacement
+    return F.regexp_replace(F.trim(_c(c)), rf"\s*{re.escape(sep)}\s*", f"{plain} ")
 
 
 def first_item(c: ColumnOrName, sep: str = ",") -> Column:
@@ -67,8 +68,9 @@ def parse_iso_date(c: ColumnOrName) -> Column:
 
 
 def minutes(hours: ColumnOrName, mins: ColumnOrName) -> Column:
-    """hours * 60 + minutes as INT; NULL when either part is NULL."""
-    return (_c(hours) * 60 + _c(mins)).cast("int")
+    """hours * 60 + minutes as INT; NULL when a part is NULL or the sum is no INT."""
+    total = _c(hours).try_cast("decimal(20,0)") * 60 + _c(mins).try_cast("decimal(20,0)")
+    return total.try_cast("int")
 
 
 # The hour and minute markers of a duration text ("2h 22 min").
@@ -81,21 +83,16 @@ def parse_duration(c: ColumnOrName) -> Column:
     col = _c(c)
     h = F.regexp_extract(col, HOURS_PATTERN, 1)
     m = F.regexp_extract(col, MINUTES_PATTERN, 1)
-    return F.when(
-        (h != "") & (m != ""),
-        (h.try_cast("int") * 60 + m.try_cast("int")).cast("int"),
-    )
+    return F.when((h != "") & (m != ""), minutes(h.try_cast("int"), m.try_cast("int")))
 
 
 # --- buckets and calendar -------------------------------------------------
 
-def bucket(c: ColumnOrName, rules: Sequence[tuple[Column, str]], default: str) -> Column:
+def bucket(rules: Sequence[tuple[Column, str]], default: str) -> Column:
     """First label whose predicate holds, else ``default``.
 
     A NULL input fails every comparison and therefore takes ``default``.
-    ``c`` is unused except to document the bucketed column; predicates carry it.
     """
-    del c
     pred, label = rules[0]
     out = F.when(pred, F.lit(label))
     for pred, label in rules[1:]:
@@ -111,7 +108,7 @@ SHORT, MEDIUM, LONG = "Corta", "Media", "Larga"
 def duration_bucket(c: ColumnOrName) -> Column:
     """< 90 Corta, <= 150 Media, otherwise (including NULL) Larga."""
     col = _c(c)
-    return bucket(col, [(col < SHORT_LT, SHORT), (col <= MEDIUM_LE, MEDIUM)], LONG)
+    return bucket([(col < SHORT_LT, SHORT), (col <= MEDIUM_LE, MEDIUM)], LONG)
 
 
 # Score buckets (lower bounds) and their labels.
@@ -122,7 +119,7 @@ SCORE_DEFAULT = "Baja"
 def score_bucket(c: ColumnOrName) -> Column:
     """>= 8 Excelente, >= 7 Buena, >= 5 Regular, otherwise (including NULL) Baja."""
     col = _c(c)
-    return bucket(col, [(col >= lo, label) for lo, label in SCORE_BUCKETS], SCORE_DEFAULT)
+    return bucket([(col >= lo, label) for lo, label in SCORE_BUCKETS], SCORE_DEFAULT)
 
 
 def decade(year: ColumnOrName) -> Column:
@@ -143,14 +140,28 @@ def positive_or_null(c: ColumnOrName) -> Column:
     return F.when(col > 0, col)
 
 
-def round_half_up(c: ColumnOrName, digits: int, precision: int = 30, scale: int = 6) -> Column:
-    """HALF_UP rounding that ignores binary noise below ``scale`` decimals.
+def round_half_up(c: ColumnOrName, digits: int) -> Column:
+    """HALF_UP rounding, once, of a decimal or of a double's shortest decimal form
+    (1.005 -> 1.01, 7.4949998 -> 7.49)."""
+    return F.round(_c(c), digits).cast("double")
 
-    The value goes through ``DECIMAL(precision, scale)`` first, so 1.005 rounds
-    to 1.01 and averages that differ only by summation order round alike.
-    """
-    dec = _c(c).cast(f"decimal({precision},{scale})")
-    return F.round(dec, digits).cast("double")
+
+def exact_sum(c: ColumnOrName) -> Column:
+    """Sum as DECIMAL(38,6): independent of summation order, so it rounds alike on
+    every run. Values are taken to six decimals; one of 1e22 or more counts as NULL."""
+    return F.sum(_c(c).try_cast("decimal(28,6)"))
+
+
+def exact_avg(c: ColumnOrName) -> Column:
+    """Average from the exact sum and the count, to sixteen decimals (enough to
+    round to six or fewer as the exact quotient would, up to 5e9 rows a group)."""
+    value = _c(c).try_cast("decimal(28,6)")
+    return F.sum(value).try_cast("decimal(28,6)") / F.count(value).cast("decimal(15,0)")
+
+
+def whole_sum(c: ColumnOrName) -> Column:
+    """Sum of whole amounts as BIGINT; NULL when the sum is no BIGINT."""
+    return F.sum(_c(c).cast("decimal(20,0)")).try_cast("bigint")
 
 
 def ratio(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:

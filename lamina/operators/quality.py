@@ -1,8 +1,8 @@
-"""Data-quality metrics in one pass, and gates over them.
+"""Data-quality metrics, and gates over them.
 
-``metrics`` builds a single aggregate (one scan, partial aggregation on every
-task) that returns one row; ``check`` collects that one row and raises if a
-rule fails. Nothing but the metrics row reaches the driver.
+``metrics`` returns one row of counts (partial aggregation on every task);
+``check`` collects that one row and raises if a rule fails. Nothing but the
+metrics row reaches the driver.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ def metrics(
     df: DataFrame,
     key: str | None = None,
     conditions: Mapping[str, Column] | None = None,
-    extra: Mapping[str, Column] | None = None,
+    distinct: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One-row metrics DataFrame.
 
@@ -31,21 +31,25 @@ def metrics(
       ``duplicate_keys`` = non-NULL keys minus distinct keys.
     * ``conditions``: ``name -> predicate``; each becomes ``count_if(predicate)``
       (a NULL predicate is not counted).
-    * ``extra``: ``name -> aggregate Column`` passed through as is.
+    * ``distinct``: ``name -> column``; each becomes its number of non-NULL values.
+
+    Every distinct count is a two-phase distinct of its own, joined on one row:
+    several in one aggregate would multiply the rows before the shuffle.
     """
+    distinct = dict(distinct or {})
     aggs = [F.count(F.lit(1)).alias("rows")]
     if key is not None:
-        k = F.col(key)
-        aggs += [
-            F.count_if(k.isNull()).alias("null_keys"),
-            F.count_distinct(k).alias("distinct_keys"),
-            (F.count(k) - F.count_distinct(k)).alias("duplicate_keys"),
-        ]
-    for name, pred in (conditions or {}).items():
-        aggs.append(F.count_if(pred).alias(name))
-    for name, agg in (extra or {}).items():
-        aggs.append(agg.alias(name))
-    return df.agg(*aggs)
+        aggs += [F.count_if(F.col(key).isNull()).alias("null_keys"), F.count(key).alias("__keys")]
+        distinct = {"distinct_keys": key, **distinct}
+    aggs += [F.count_if(pred).alias(name) for name, pred in (conditions or {}).items()]
+    out = df.agg(*aggs)
+    for name, column in distinct.items():
+        values = df.filter(F.col(column).isNotNull()).select(column).distinct()
+        out = out.crossJoin(values.agg(F.count(F.lit(1)).alias(name)))  # one row each
+    if key is None:
+        return out
+    order = ["rows", "null_keys", "distinct_keys", "duplicate_keys", *(conditions or {}), *list(distinct)[1:]]
+    return out.withColumn("duplicate_keys", F.col("__keys") - F.col("distinct_keys")).select(*order)
 
 
 Rule = Callable[[Row], str | None]
@@ -98,15 +102,8 @@ def key_report(tables: Mapping[str, DataFrame], key: str = "id") -> DataFrame:
     )
 
 
-def check_unique_keys_report(report: Mapping[str, Row], what: str = "tables") -> None:
+def check_unique_keys(report: Mapping[str, Row], what: str = "tables") -> None:
     """Raise ``DataQualityError`` if any row of a ``key_report`` repeats keys."""
     bad = [f"{src}: {r['duplicate_keys']} repeated keys" for src, r in report.items() if r["duplicate_keys"]]
     if bad:
         raise DataQualityError(f"{what}: " + "; ".join(sorted(bad)))
-
-
-def check_unique_keys(tables: Mapping[str, DataFrame], key: str = "id", what: str = "tables") -> list[Row]:
-    """Raise ``DataQualityError`` if any table repeats a non-NULL ``key``."""
-    rows = key_report(tables, key).collect()
-    check_unique_keys_report({r["source"]: r for r in rows}, what)
-    return rows

@@ -20,23 +20,20 @@ ColumnOrName = Column | str
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (an upper bound for file scans), or None."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return size if isinstance(size, int) else int(size.toString())
-    except Exception:  # Spark Connect or an unexpected plan: no estimate
-        return None
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``. For file scans it follows the compressed
+    file size, so the rows in memory may be several times larger."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the estimated size is known and <= ``limit``.
+    """Hint a broadcast only when the estimated size is <= ``limit``.
 
     Otherwise the plain DataFrame is returned and the join falls back to a
     shuffle join (AQE may still broadcast it once the real size is seen).
     """
     size = estimated_bytes(df)
-    if size is not None and size <= limit:
+    if size <= limit:
         return F.broadcast(df)
     log.info("broadcast skipped: estimated %s bytes > limit %s", size, limit)
     return df

@@ -33,6 +33,7 @@ RAW_SQL = {
 select cast(id as int) as id,
   concat('  ', title0, ' ') as title,
   case when k % 29 = 0 then null
+       when k % 17 = 3 then concat(p_type, ' ,, ', replace(p_name, ' ', '  , , '), ' , ')
        else concat(p_type, ' ,', replace(p_name, ' ', '  , ')) end as genres,
   concat(upper(p_brand), ' ') as language,
   case when k % 31 = 0 then null else cast(p_size % 10 as double) + 0.5 end as user_score,
@@ -75,6 +76,21 @@ from base
 }
 
 
+# A second reading of some films that lost their id: the silver job must drop it
+# (the bronze gate refuses such a file, so only the unpublished queries use it).
+MOVIES_WITH_NULL_IDS = f"""
+select * from ({RAW_SQL['movies']}) m
+union all
+select cast(null as int), concat(title, ' III'), genres, language, user_score, runtime_hour, runtime_min,
+  release_date, vote_count
+from ({RAW_SQL['movies']}) m where id % 43 = 5
+"""
+
+
+def movies_with_null_ids(spark: SparkSession, part: DataFrame) -> DataFrame:
+    return spark.sql(f"with base as ({BASE.format(part='{part}')})\n{MOVIES_WITH_NULL_IDS}", part=part)
+
+
 def raw_sql(name: str, part: str = "part") -> str:
     """Self-contained SQL for raw table ``name`` over relation ``part``."""
     return f"with base as ({BASE.format(part=part)})\n{RAW_SQL[name]}"

@@ -1,8 +1,8 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
 Written from the operator semantics, not generated from the Spark plans. The
-driver's tables are pre-registered as views. Rounding goes through
-``DECIMAL(30,6)`` on both engines (see ``lamina.functions.columns.round_half_up``).
+driver's tables are pre-registered as views. Rounding is written another way
+than in the library: of the value's decimal text, or in whole millionths.
 """
 
 from __future__ import annotations
@@ -11,8 +11,26 @@ from lamina.plans import fixtures
 
 
 def R(expr: str, digits: int) -> str:
-    """HALF_UP rounding through DECIMAL(30,6), returned as DOUBLE."""
-    return f"cast(round(cast({expr} as decimal(30,6)), {digits}) as double)"
+    """HALF_UP rounding of a double, from its shortest decimal text."""
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,16)), {digits}) as double)"
+
+
+def _millionths(expr: str) -> str:
+    return f"sum(cast(cast({expr} as decimal(28,6)) * 1000000 as hugeint))"
+
+
+def _halves(total: str, parts: str, digits: int) -> str:
+    """total / parts (in millionths) rounded HALF_UP in whole numbers."""
+    size = f"(2 * abs({total}) * {10**digits} + 1000000 * {parts}) // (2000000 * {parts})"
+    return f"cast(sign({total}) * ({size}) as double) / {10**digits}"
+
+
+def AVG(expr: str, digits: int) -> str:
+    return _halves(_millionths(expr), f"cast(nullif(count({expr}), 0) as hugeint)", digits)
+
+
+def SUM(expr: str, digits: int) -> str:
+    return _halves(_millionths(expr), "cast(1 as hugeint)", digits)
 
 
 def DIGITS(expr: str) -> str:
@@ -26,16 +44,17 @@ def ISO_DATE(expr: str) -> str:
 def DURATION(expr: str) -> str:
     h = f"regexp_extract({expr}, '(\\d+)\\s*h', 1)"
     m = f"regexp_extract({expr}, '(\\d+)\\s*min', 1)"
-    return f"case when {h} <> '' and {m} <> '' then cast(try_cast({h} as int) * 60 + try_cast({m} as int) as int) end"
+    return f"case when {h} <> '' and {m} <> '' then try_cast(cast(try_cast({h} as int) as hugeint) * 60 + try_cast({m} as int) as int) end"
 
 
 def FIRST(expr: str) -> str:
     return f"trim(string_split({expr}, ',')[1])"
 
 
-def _raw_ctes() -> str:
+def _raw_ctes(null_ids: bool = False) -> str:
     parts = [f"base as ({fixtures.BASE.format(part='part')})"]
-    parts += [f"raw_{name} as ({body})" for name, body in fixtures.RAW_SQL.items()]
+    sources = fixtures.RAW_SQL | ({"movies": fixtures.MOVIES_WITH_NULL_IDS} if null_ids else {})
+    parts += [f"raw_{name} as ({body})" for name, body in sources.items()]
     return ",\n".join(parts)
 
 
@@ -52,55 +71,31 @@ SILVER_COLS = (
 )
 
 
-def _film_ctes() -> str:
-    return _raw_ctes() + f""",
-movies_c as (
-  select cast(id as int) as id, trim(title) as titulo,
-    regexp_replace(trim(genres), '\\s*,\\s*', ', ', 'g') as generos,
-    lower(trim(language)) as idioma, cast(user_score as double) as puntuacion,
-    cast(vote_count as int) as votos, cast(runtime_hour * 60 + runtime_min as int) as duracion_min,
-    {ISO_DATE('release_date')} as fecha_estreno
-  from raw_movies where id is not null),
-movies_u as (
-  select * from movies_c
+def _film_ctes(null_ids: bool = True) -> str:
+    return _raw_ctes(null_ids) + f""",
+film as (
+  select cast(id as int) as id, trim(title) as titulo, {ISO_DATE('release_date')} as fecha_estreno,
+    cast(runtime_hour * 60 + runtime_min as int) as duracion_min,
+    regexp_replace(trim(genres), '\\s*,\\s*', ', ', 'g') as generos, lower(trim(language)) as idioma,
+    cast(user_score as double) as puntuacion, cast(vote_count as int) as votos
+  from raw_movies where id is not null
   qualify row_number() over (partition by titulo, fecha_estreno, duracion_min order by id) = 1),
-details_c as (
-  select cast(id as int) as id, trim(director) as director, trim(top_billed) as reparto,
-    {FIRST('top_billed')} as actor_principal,
-    cast(budget_usd as bigint) as presupuesto_detalle, cast(revenue_usd as bigint) as ingresos_detalle
-  from raw_film_details),
-info_c as (
-  select cast(film_id as int) as id, {DIGITS('budget')} as presupuesto_texto,
-    {DIGITS('revenue')} as ingresos_texto, {DURATION('runtime')} as duracion_texto_min
-  from raw_more_info),
-posters_c as (select cast(id as int) as id, poster_path as poster_url from raw_poster_path),
-joined as (
-  select m.*, d.director, d.reparto, d.actor_principal, d.presupuesto_detalle, d.ingresos_detalle,
-    i.presupuesto_texto, i.ingresos_texto, i.duracion_texto_min, p.poster_url
-  from movies_u m
-  left join details_c d on m.id = d.id
-  left join info_c i on m.id = i.id
-  left join posters_c p on m.id = p.id),
-money as (
-  select *,
-    case when coalesce(presupuesto_detalle, presupuesto_texto) > 0
-         then coalesce(presupuesto_detalle, presupuesto_texto) end as presupuesto_usd,
-    case when coalesce(ingresos_detalle, ingresos_texto) > 0
-         then coalesce(ingresos_detalle, ingresos_texto) end as ingresos_usd
-  from joined),
+amounts as (
+  select f.id, nullif(greatest(coalesce(d.budget_usd, {DIGITS('t.budget')}), 0), 0) as b,
+    nullif(greatest(coalesce(d.revenue_usd, {DIGITS('t.revenue')}), 0), 0) as r, {DURATION('t.runtime')} as said
+  from film f left join raw_film_details d on d.id = f.id left join raw_more_info t on t.film_id = f.id),
 silver as (
-  select id, titulo, generos, {FIRST('generos')} as genero_principal, idioma, puntuacion,
+  select f.id, titulo, generos, {FIRST('generos')} as genero_principal, idioma, puntuacion,
     {SCORE_CASE} as categoria_puntuacion, votos, duracion_min,
-    {DURATION_CASE} as categoria_duracion,
-    duracion_min = duracion_texto_min as duracion_consistente,
+    {DURATION_CASE} as categoria_duracion, duracion_min = said as duracion_consistente,
     fecha_estreno, cast(year(fecha_estreno) as int) as anio_estreno,
-    cast(floor(year(fecha_estreno) / 10) * 10 as int) as decada,
-    director, actor_principal, reparto, presupuesto_usd, ingresos_usd,
-    ingresos_usd - presupuesto_usd as ganancia_usd,
-    case when presupuesto_usd > 0 then
-      {R('cast(ingresos_usd - presupuesto_usd as double) / cast(presupuesto_usd as double)', 2)} end as roi,
-    poster_url
-  from money),
+    cast(year(fecha_estreno) // 10 * 10 as int) as decada,
+    trim(d.director) as director, {FIRST('d.top_billed')} as actor_principal, trim(d.top_billed) as reparto,
+    b as presupuesto_usd, r as ingresos_usd, r - b as ganancia_usd,
+    case when b > 0 then {R('cast(r - b as double) / cast(b as double)', 2)} end as roi,
+    p.poster_path as poster_url
+  from film f join amounts a on a.id = f.id left join raw_film_details d on d.id = f.id
+  left join raw_poster_path p on p.id = f.id),
 genre as (
   select id, titulo, genero, puntuacion, votos, anio_estreno, presupuesto_usd, ingresos_usd, ganancia_usd
   from (select *, trim(unnest(string_split(generos, ','))) as genero from silver)
@@ -108,8 +103,8 @@ genre as (
 """
 
 
-def _film(select: str) -> str:
-    return f"with {_film_ctes()}\n{select}"
+def _film(select: str, null_ids: bool = True) -> str:
+    return f"with {_film_ctes(null_ids)}\n{select}"
 
 
 def _bronze(name: str, cols: str) -> str:
@@ -120,20 +115,20 @@ FILM_KPI_GENRE = f"""
 select *, cast(dense_rank() over (order by ingresos_totales_usd desc nulls last) as int) as ranking_ingresos
 from (
   select genero, count(*) as total_peliculas,
-    {R('avg(puntuacion)', 2)} as puntuacion_promedio,
-    cast(sum(votos) as bigint) as total_votos,
-    {R('avg(presupuesto_usd)', 0)} as presupuesto_promedio_usd,
-    cast(sum(ingresos_usd) as bigint) as ingresos_totales_usd,
-    cast(sum(ganancia_usd) as bigint) as ganancia_total_usd
+    {AVG('puntuacion', 2)} as puntuacion_promedio,
+    try_cast(sum(votos) as bigint) as total_votos,
+    {AVG('presupuesto_usd', 0)} as presupuesto_promedio_usd,
+    try_cast(sum(ingresos_usd) as bigint) as ingresos_totales_usd,
+    try_cast(sum(ganancia_usd) as bigint) as ganancia_total_usd
   from genre group by genero) g
 """
 
 FILM_KPI_YEAR = f"""
 select anio_estreno, decada, count(*) as total_peliculas,
-  {R('avg(puntuacion)', 2)} as puntuacion_promedio,
-  {R('avg(duracion_min)', 1)} as duracion_promedio_min,
-  cast(sum(ingresos_usd) as bigint) as ingresos_totales_usd,
-  cast(sum(ganancia_usd) as bigint) as ganancia_total_usd
+  {AVG('puntuacion', 2)} as puntuacion_promedio,
+  {AVG('duracion_min', 1)} as duracion_promedio_min,
+  try_cast(sum(ingresos_usd) as bigint) as ingresos_totales_usd,
+  try_cast(sum(ganancia_usd) as bigint) as ganancia_total_usd
 from silver where anio_estreno is not null
 group by anio_estreno, decada order by anio_estreno
 """
@@ -143,9 +138,9 @@ select cast(row_number() over (order by puntuacion_promedio desc nulls last,
          total_votos desc nulls last, director asc nulls first) as int) as ranking, *
 from (
   select director, count(*) as total_peliculas,
-    {R('avg(puntuacion)', 2)} as puntuacion_promedio,
-    cast(sum(votos) as bigint) as total_votos,
-    cast(sum(ingresos_usd) as bigint) as ingresos_totales_usd
+    {AVG('puntuacion', 2)} as puntuacion_promedio,
+    try_cast(sum(votos) as bigint) as total_votos,
+    try_cast(sum(ingresos_usd) as bigint) as ingresos_totales_usd
   from silver where director is not null
   group by director having count(*) >= 3) d
 """
@@ -160,6 +155,9 @@ from (
 left join (select id, poster_url from silver) s on t.id = s.id
 """
 
+# The rounding edges of the query of that name.
+EDGES = ("7.4949998", "2.4949996", "0.0049996", "1.005", "2.675", "0.125", "0.05", "1234567.445")
+
 LINEITEM_REST = (
     "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
     "l_returnflag, l_linestatus, l_shipdate"
@@ -236,9 +234,11 @@ from (
   from raw_film_details d left join raw_more_info i on d.id = i.film_id) t""",
     "filters": """
 select d.doc_id, d.lang, d.n_chars, l.quality, l.toxic, l.toxic is null as toxic_unknown
-from documents d left join labels l on d.doc_id = l.doc_id
+from (select case when doc_id % 7 <> 3 then doc_id end as doc_id, case when doc_id % 5 <> 2 then lang end as lang,
+        n_chars, case when doc_id % 4 = 1 then '   ' else text end as text from documents) d
+left join labels l on d.doc_id = l.doc_id
 where d.doc_id is not null and d.n_chars >= 200 and trim(d.text) <> '' and d.lang is not null
-  and not (l.quality = 1) and regexp_matches(d.text, '[0-9]')""",
+  and not (l.toxic = 1) and regexp_matches(d.text, '[A-Za-z]')""",
     "enrich_left": """
 select d.doc_id, d.lang, d.source, l.quality, l.toxic
 from documents d left join labels l on d.doc_id = l.doc_id""",
@@ -247,18 +247,18 @@ select c_custkey, c_name, c_nationkey, n_name
 from customer left join nation on c_nationkey = n_nationkey""",
     "kpi_one_key": f"""
 select l_returnflag, count(*) as total_rows,
-  {R('avg(l_quantity)', 2)} as avg_qty, {R('sum(l_quantity)', 2)} as sum_qty,
-  {R('avg(l_extendedprice)', 0)} as avg_price,
-  {R('sum(l_extendedprice * (1 - l_discount))', 2)} as sum_disc_price
+  {AVG('l_quantity', 2)} as avg_qty, {SUM('l_quantity', 2)} as sum_qty,
+  {AVG('l_extendedprice', 0)} as avg_price,
+  {SUM('l_extendedprice * (1 - l_discount)', 2)} as sum_disc_price
 from lineitem group by l_returnflag""",
     "kpi_two_keys": f"""
 select cast(year(o_orderdate) as int) as order_year,
   cast(floor(year(o_orderdate) / 10) * 10 as int) as order_decade,
-  count(*) as total_orders, {R('avg(o_totalprice)', 2)} as avg_price,
-  {R('sum(o_totalprice)', 2)} as sum_price
+  count(*) as total_orders, {AVG('o_totalprice', 2)} as avg_price,
+  {SUM('o_totalprice', 2)} as sum_price
 from orders group by 1, 2""",
     "kpi_min_rows": f"""
-select user_id, count(*) as total_events, {R('avg(value)', 2)} as avg_value,
+select user_id, count(*) as total_events, {AVG('value', 2)} as avg_value,
   count(distinct event_type) as event_types
 from events group by user_id having count(*) >= 60""",
     "dedupe_first": f"""
@@ -267,12 +267,12 @@ qualify row_number() over (partition by l_orderkey, l_linenumber
   order by {', '.join(c.strip() + ' asc nulls first' for c in LINEITEM_REST.split(','))}) = 1""",
     "global_dense_rank": f"""
 select l_suppkey, avg_disc, cast(dense_rank() over (order by avg_disc desc nulls last) as bigint) as disc_rank
-from (select l_suppkey, {R('avg(l_discount)', 4)} as avg_disc from lineitem group by l_suppkey) t""",
+from (select l_suppkey, {AVG('l_discount', 4)} as avg_disc from lineitem group by l_suppkey) t""",
     "global_row_number": f"""
 select l_partkey, avg_disc, total_qty,
   cast(row_number() over (order by avg_disc desc nulls last, total_qty desc nulls last,
        l_partkey asc nulls first) as bigint) as part_rank
-from (select l_partkey, {R('avg(l_discount)', 4)} as avg_disc, {R('sum(l_quantity)', 2)} as total_qty
+from (select l_partkey, {AVG('l_discount', 4)} as avg_disc, {SUM('l_quantity', 2)} as total_qty
       from lineitem group by l_partkey) t""",
     "global_row_number_rows": f"""
 select l_orderkey, l_linenumber, l_extendedprice,
@@ -325,4 +325,61 @@ from lineitem""",
     "film_kpi_year": _film(FILM_KPI_YEAR),
     "film_top_directors": _film(FILM_TOP_DIRECTORS),
     "film_top_films": _film(FILM_TOP_FILMS),
+    "sink_replace": """
+select o_orderkey, o_custkey, case when o_orderkey % 2 = 0 then -o_totalprice else o_totalprice end as o_totalprice
+from orders""",
+    "rounding": f"""
+select p_partkey, edge, v, {R('v', 2)} as r2, {R('-v', 1)} as r1,
+  case when p_partkey % 8 > 0 then
+    {R('cast(p_partkey % 997 as double) / cast(p_partkey % 8 * 25 as double)', 2)} end as share
+from (select p_partkey, edge, edge + cast(p_partkey % 100 as double) as v
+      from part, (select cast(unnest([{', '.join(EDGES)}]) as double) as edge) e) t""",
+    "overflow_parsing": f"""
+with x as (
+  select c_custkey, c_nationkey,
+    case c_custkey % 6 when 0 then null when 1 then null when 2 then
+        case when c_custkey % 60 <= 7 then 2147483640 + c_custkey % 60 end
+      else (c_custkey % 5) * 60 + c_custkey % 60 end::int as minutes,
+    case c_custkey % 6 when 3 then 999999999999999999 else c_custkey end::bigint as amount
+  from customer)
+select x.*, s.nation_sum, try_cast(cast(c_custkey as hugeint) * 1000000000 * 60 + 5 as int) as total
+from x join (select c_nationkey, try_cast(sum(amount * 9) as bigint) as nation_sum from x group by 1) s
+  on s.c_nationkey = x.c_nationkey""",
+    "quality_gates": """
+with o as (select count(*) as n, count(*) filter (where o_orderkey % 10 = 3) as marked from orders),
+g as (select unnest(['not_empty', 'no_null_keys', 'unique_keys']) as gate),
+t as (select unnest(['good', 'empty', 'null_ids', 'repeated']) as source)
+select source, gate, case
+    when source = 'empty' and gate = 'not_empty' then 'empty: not_empty: no rows'
+    when source = 'null_ids' and gate = 'no_null_keys' and marked > 0
+      then 'null_ids: no_null_keys: ' || marked || ' rows with a NULL key'
+    when source = 'repeated' and gate = 'unique_keys' and marked > 0
+      then 'repeated: unique_keys: ' || marked || ' repeated keys' end as failure
+from t, g, o
+union all select 'all', 'key_report', 'tables: repeated: ' || marked || ' repeated keys' from o where marked > 0""",
+    "published_metrics": f"with {_film_ctes(False).rstrip()},\n" + """
+counts as (
+  select 'bronze' as step, 'movies' as table_name, count(*) as n from raw_movies
+  union all select 'bronze', 'film_details', count(*) from raw_film_details
+  union all select 'bronze', 'more_info', count(*) from raw_more_info
+  union all select 'bronze', 'poster_path', count(*) from raw_poster_path
+  union all select 'silver', 'peliculas', count(*) from silver
+  union all select 'silver', 'peliculas_genero', count(*) from genre
+  union all select 'golden', 'kpi_genero', count(distinct genero) from genre
+  union all select 'golden', 'kpi_anual', count(distinct anio_estreno) from silver
+  union all select 'golden', 'top_directores', count(*)
+    from (select director from silver where director is not null group by 1 having count(*) >= 3)
+  union all select 'golden', 'top_peliculas_genero', cast(sum(least(n, 10)) as bigint)
+    from (select count(*) as n from genre where votos >= 1000 group by genero))
+select timestamp '2024-05-06 07:08:09' as run_ts, step, table_name, n as row_count,
+  case when table_name = 'peliculas' then (select count(*) from raw_movies) - n end as duplicates_removed,
+  case when table_name = 'peliculas' then (select count(*) from silver where fecha_estreno is null) end as undated,
+  case when table_name = 'peliculas' then (select count(*) from silver where not duracion_consistente) end
+    as inconsistent_duration
+from counts""",
+    "published_golden": _film(
+        f"select *, timestamp '2024-05-06 07:08:09' as fecha_proceso from ({FILM_KPI_GENRE}) k", null_ids=False),
+    "published_films": _film(
+        f"select *, timestamp '2024-05-06 07:08:09' as fecha_proceso, cast(3 as bigint) as layers, "
+        f"cast(10 as bigint) as tables from ({FILM_TOP_FILMS}) k", null_ids=False),
 }

@@ -1,30 +1,32 @@
 """Registered queries: every operator exercised on the driver's tables.
 
-Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole input tables (or data Spark derives from them). Columns are aliased to
-the names the DuckDB oracle uses. Queries that test the CSV source write their
-input once to the shared scratch folder (``spark.checkpoint.dir``) first.
+Each function takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+input tables (or data Spark derives from them). Columns are aliased to the names
+the DuckDB oracle uses. Queries that rank, publish or read CSV run jobs while
+they are built: they write their input to the shared scratch folder
+(``spark.checkpoint.dir``) or to tables of a fresh prefix.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.contracts import BRONZE, INGEST_TS, RUN_TS, SOURCE_FILE, without
+from lamina.contracts import BRONZE, INGEST_TS, LAYERS, RUN_TS, SOURCE_FILE, without
 from lamina.functions import columns as C
 from lamina.operators import quality as Q
 from lamina.operators.ranking import asc, desc, global_rank
 from lamina.operators.relational import dedupe_first, enrich_left, explode_list, kpi, top_k
 from lamina.plans import catalogue as cat
-from lamina.plans.fixtures import raw_tables
+from lamina.plans.fixtures import movies_with_null_ids, raw_tables
 from lamina.session import scratch_path
 from lamina.sources.csv import read_csv, with_audit
-from lamina.sources.tables import conform, preview, read_layer, stage, write_layer
+from lamina.sources.tables import conform, list_tables, preview, read_layer, stage, table_name, write_layer
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +82,25 @@ def sink_roundtrip(spark, sf_dir):
         T.StructField("n_regionkey", T.IntegerType()),
     ])
     name = f"default.lamina_nation_{uuid.uuid4().hex[:12]}"
-    write_layer(conform(nation, schema), name, path=scratch_path(spark, "nation_table"))
+    write_layer(conform(nation, schema), name)
+    return read_layer(spark, name)
+
+
+def sink_replace(spark, sf_dir):
+    """A table is replaced twice; a refused third version leaves the second."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    name = f"default.lamina_orders_{uuid.uuid4().hex[:12]}"
+    write_layer(orders.filter("o_orderkey % 2 = 0"), name)
+    write_layer(read_layer(spark, name).withColumn("o_totalprice", -F.col("o_totalprice"))
+                .unionByName(orders.filter("o_orderkey % 2 <> 0")), name)
+
+    def refuse(_):
+        raise Q.DataQualityError("refused")
+
+    try:
+        write_layer(orders.filter("false"), name, gate=refuse)
+    except Q.DataQualityError:
+        pass
     return read_layer(spark, name)
 
 
@@ -187,10 +207,46 @@ def prefer_positive(spark, sf_dir):
     return out.withColumn("roi", C.ratio("ganancia_usd", "presupuesto_usd", 2))
 
 
+def rounding(spark, sf_dir):
+    """One rounding of doubles just beside and at a tie, and of ratios."""
+    part = table(spark, sf_dir, "part")
+    edges = F.array(*[F.lit(v) for v in ROUNDING_EDGES])
+    x = part.select("p_partkey", F.explode(edges).alias("edge")).withColumn(
+        "v", F.col("edge") + (F.col("p_partkey") % 100))
+    return x.select(
+        "p_partkey", "edge", "v", C.round_half_up("v", 2).alias("r2"), C.round_half_up(-F.col("v"), 1).alias("r1"),
+        C.ratio(F.col("p_partkey") % 997, (F.col("p_partkey") % 8) * 25, 2).alias("share"),
+    )
+
+
+# Values whose rounding goes wrong when done twice or on the binary fraction.
+ROUNDING_EDGES = (7.4949998, 2.4949996, 0.0049996, 1.005, 2.675, 0.125, 0.05, 1234567.445)
+
+
+def overflow_parsing(spark, sf_dir):
+    """Amounts and durations beyond their types give NULL instead of failing the job."""
+    cust = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 6
+    hours = F.when(k == 0, F.lit("99999999")).when(k == 1, F.lit("9" * 25)).when(k == 2, F.lit("35791394")) \
+        .otherwise((F.col("c_custkey") % 5).cast("string"))
+    x = cust.select(
+        "c_custkey", "c_nationkey", F.concat(hours, F.lit("h "), (F.col("c_custkey") % 60).cast("string"), F.lit(" min")).alias("runtime"),
+        F.concat(F.lit("$"), F.when(k == 3, F.lit("9" * 18)).otherwise(F.col("c_custkey").cast("string"))).alias("amount_text"))
+    parsed = x.select("c_custkey", "c_nationkey", C.parse_duration("runtime").alias("minutes"),
+                      C.parse_digits("amount_text").alias("amount"))
+    per_nation = kpi(parsed, ["c_nationkey"], [C.whole_sum(F.col("amount") * 9).alias("nation_sum")])
+    return enrich_left(parsed, per_nation, on="c_nationkey").withColumn(
+        "total", C.minutes(F.col("c_custkey") * 1_000_000_000, F.lit(5)))
+
+
 # --- filters and joins ----------------------------------------------------
 
 def filters(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    # some ids, languages and texts are blanked, so that every predicate removes rows
+    k = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").select(
+        F.when(k % 7 != 3, k).alias("doc_id"), F.when(k % 5 != 2, F.col("lang")).alias("lang"), "n_chars",
+        F.when(k % 4 == 1, F.lit("   ")).otherwise(F.col("text")).alias("text"))
     labels = table(spark, sf_dir, "labels")
     j = enrich_left(docs, labels, on="doc_id")
     return (
@@ -198,8 +254,8 @@ def filters(spark, sf_dir):
         .filter(F.col("n_chars") >= 200)                           # F03
         .filter(F.trim("text") != "")                              # F04
         .filter(F.col("lang").isNotNull())                          # F05
-        .filter(~(F.col("quality") == 1))                           # F06: NULL dropped
-        .filter(F.col("text").rlike("[0-9]"))                       # F07
+        .filter(~(F.col("toxic") == 1))                             # F06: NULL dropped
+        .filter(F.col("text").rlike("[A-Za-z]"))                    # F07
         .select("doc_id", "lang", "n_chars", "quality", "toxic",
                 F.col("toxic").isNull().alias("toxic_unknown"))     # F02
     )
@@ -224,10 +280,10 @@ def kpi_one_key(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return kpi(li, ["l_returnflag"], [
         F.count(F.lit(1)).alias("total_rows"),
-        C.round_half_up(F.avg("l_quantity"), 2).alias("avg_qty"),
-        C.round_half_up(F.sum("l_quantity"), 2).alias("sum_qty"),
-        C.round_half_up(F.avg("l_extendedprice"), 0).alias("avg_price"),
-        C.round_half_up(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2)
+        C.round_half_up(C.exact_avg("l_quantity"), 2).alias("avg_qty"),
+        C.round_half_up(C.exact_sum("l_quantity"), 2).alias("sum_qty"),
+        C.round_half_up(C.exact_avg("l_extendedprice"), 0).alias("avg_price"),
+        C.round_half_up(C.exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2)
         .alias("sum_disc_price"),
     ])
 
@@ -238,8 +294,8 @@ def kpi_two_keys(spark, sf_dir):
     o = orders.select(year.alias("order_year"), C.decade(year).alias("order_decade"), "o_totalprice")
     return kpi(o, ["order_year", "order_decade"], [
         F.count(F.lit(1)).alias("total_orders"),
-        C.round_half_up(F.avg("o_totalprice"), 2).alias("avg_price"),
-        C.round_half_up(F.sum("o_totalprice"), 2).alias("sum_price"),
+        C.round_half_up(C.exact_avg("o_totalprice"), 2).alias("avg_price"),
+        C.round_half_up(C.exact_sum("o_totalprice"), 2).alias("sum_price"),
     ])
 
 
@@ -247,7 +303,7 @@ def kpi_min_rows(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return kpi(ev, ["user_id"], [
         F.count(F.lit(1)).alias("total_events"),
-        C.round_half_up(F.avg("value"), 2).alias("avg_value"),
+        C.round_half_up(C.exact_avg("value"), 2).alias("avg_value"),
         F.count_distinct("event_type").alias("event_types"),
     ], min_rows=60, count_col="total_events")
 
@@ -265,15 +321,15 @@ def dedupe_first_q(spark, sf_dir):
 
 def global_dense_rank(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    per_supp = li.groupBy("l_suppkey").agg(C.round_half_up(F.avg("l_discount"), 4).alias("avg_disc"))
+    per_supp = li.groupBy("l_suppkey").agg(C.round_half_up(C.exact_avg("l_discount"), 4).alias("avg_disc"))
     return global_rank(per_supp, [desc("avg_disc")], "dense_rank", "disc_rank")
 
 
 def global_row_number(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     per_part = li.groupBy("l_partkey").agg(
-        C.round_half_up(F.avg("l_discount"), 4).alias("avg_disc"),
-        C.round_half_up(F.sum("l_quantity"), 2).alias("total_qty"),
+        C.round_half_up(C.exact_avg("l_discount"), 4).alias("avg_disc"),
+        C.round_half_up(C.exact_sum("l_quantity"), 2).alias("total_qty"),
     )
     order = [desc("avg_disc"), desc("total_qty"), asc("l_partkey")]
     return global_rank(per_part, order, "row_number", "part_rank")
@@ -299,10 +355,10 @@ def global_dense_rank_rows(spark, sf_dir):
 
 def top_k_per_group(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    top = top_k(
+    top = stage(top_k(
         ev.filter(F.col("value") >= 100).select("event_id", "event_type", "user_id", "value"),
         ["event_type"], [F.col("value").desc(), F.col("event_id").asc()], 10, "ranking",
-    )
+    ), "top_events")
     props = ev.select("event_id", "props").join(top.select("event_id"), "event_id", "left_semi")
     return enrich_left(top, props, on="event_id")
 
@@ -328,10 +384,36 @@ def quality_metrics(spark, sf_dir):
             "discounted": F.col("l_discount") > 0.05,
             "returned": F.col("l_returnflag") == "R",
         },
-        extra={"distinct_parts": F.count_distinct("l_partkey")},
+        distinct={"distinct_parts": "l_partkey"},
     )
 
 
+GATES = {"not_empty": Q.not_empty, "no_null_keys": Q.no_null_keys, "unique_keys": Q.unique_keys}
+
+
+def quality_gates(spark, sf_dir):
+    """What each gate says of tables that break it in one way, as rows."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    some = F.col("id") % 10 == 3
+    tables = {
+        "good": orders, "empty": orders.filter("id < 0"),
+        "null_ids": orders.withColumn("id", F.when(~some, F.col("id"))), "repeated": orders.unionByName(orders.filter(some)),
+    }
+    rows = []
+    for name, df in tables.items():
+        for gate, rule in GATES.items():
+            try:
+                Q.check(Q.metrics(df, key="id"), {gate: rule}, name)
+                rows.append((name, gate, None))
+            except Q.DataQualityError as e:
+                rows.append((name, gate, str(e)))
+    try:
+        Q.check_unique_keys({r["source"]: r for r in Q.key_report(tables).collect()})
+    except Q.DataQualityError as e:
+        rows.append(("all", "key_report", str(e)))
+    return spark.createDataFrame(rows, "source string, gate string, failure string")
+
+
 # --- catalogue jobs -------------------------------------------------------
 
 def _bronze_query(source: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -348,7 +430,8 @@ def _bronze_query(source: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _silver(spark, sf_dir):
     raw = _film_raw(spark, sf_dir)
-    return cat.silver_films(raw["movies"], raw["film_details"], raw["more_info"], raw["poster_path"])
+    movies = movies_with_null_ids(spark, table(spark, sf_dir, "part"))
+    return cat.silver_films(movies, raw["film_details"], raw["more_info"], raw["poster_path"])
 
 
 def _silver_staged(spark, sf_dir):
@@ -373,7 +456,7 @@ def film_kpi_genre(spark, sf_dir):
 
 
 def film_kpi_year(spark, sf_dir):
-    return _compared(cat.kpi_by_year(_silver_staged(spark, sf_dir)))
+    return _compared(cat.kpi_by_year(_silver_staged(spark, sf_dir), ordered=True))
 
 
 def film_top_directors(spark, sf_dir):
@@ -385,6 +468,38 @@ def film_top_films(spark, sf_dir):
     return _compared(cat.top_films_by_genre(cat.genre_rows(films), films))
 
 
+PUBLISH_TS = datetime(2024, 5, 6, 7, 8, 9)
+
+
+def _published(spark, sf_dir) -> str:
+    """The whole layered job from CSV files into databases of a fresh prefix."""
+    paths = {name: write_test_csv(df, f"raw_{name}") for name, df in _film_raw(spark, sf_dir).items()}
+    prefix = f"lamina_{uuid.uuid4().hex[:12]}"
+    cat.run_pipeline(spark, paths, prefix, PUBLISH_TS)
+    return prefix
+
+
+def published_metrics(spark, sf_dir):
+    """The run-metrics table: one row per published table."""
+    prefix = _published(spark, sf_dir)
+    return read_layer(spark, f"{prefix}_ops.{cat.RUN_METRICS_TABLE}")
+
+
+def published_golden(spark, sf_dir):
+    """The published genre KPIs and their run timestamp, read back from the catalog."""
+    prefix = _published(spark, sf_dir)
+    return read_layer(spark, table_name(prefix, "golden", "kpi_genero"))
+
+
+def published_films(spark, sf_dir):
+    """Published top films with the layers that exist, read back from the catalog."""
+    prefix = _published(spark, sf_dir)
+    layers = len([d for d in spark.catalog.listDatabases(f"{prefix}_*") if not d.name.endswith("_ops")])
+    n = sum(len(list_tables(spark, f"{prefix}_{layer}")) for layer in LAYERS)
+    top = read_layer(spark, table_name(prefix, "golden", "top_peliculas_genero"))
+    return top.withColumns({"layers": F.lit(layers).cast("bigint"), "tables": F.lit(n).cast("bigint")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_permissive": csv_permissive,
@@ -422,5 +537,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "film_kpi_year": film_kpi_year,
     "film_top_directors": film_top_directors,
     "film_top_films": film_top_films,
+    "sink_replace": sink_replace,
+    "rounding": rounding,
+    "overflow_parsing": overflow_parsing,
+    "quality_gates": quality_gates,
+    "published_metrics": published_metrics,
+    "published_golden": published_golden,
+    "published_films": published_films,
 }
 

@@ -11,6 +11,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_RUN = "lamina.scratch.run"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/lamina-scratch/{uuid.uuid4().hex}/{name}"
+    run = spark.conf.get(_RUN, None) or "lamina-scratch"
+    return f"{checkpoint_root(spark)}/{run}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[str]:
+    """Scratch folders made within belong to one run and are removed at its end.
+
+    For jobs that publish what they make: nothing lazy may outlive the block.
+    """
+    run = f"lamina-run-{uuid.uuid4().hex}"
+    outer = spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, run)
+    try:
+        yield run
+    finally:
+        if outer is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, outer)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/{run}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

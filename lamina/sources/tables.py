@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,16 +51,55 @@ def create_layers(spark: SparkSession, prefix: str, fmt: str = "parquet") -> lis
     return created
 
 
-def write_layer(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Full refresh: replace rows and schema of table ``name``.
+def write_layer(
+    df: DataFrame, name: str, fmt: str = "parquet", gate: Callable[[DataFrame], None] | None = None
+) -> DataFrame:
+    """Full refresh: replace the rows of table ``name``, written once. Returns the new rows.
 
-    ``df`` must not read ``name`` itself (Spark refuses such an overwrite);
-    stage it first. ``path`` makes it an external table stored there.
+    ``df`` is written to a new version folder beside the table's others. ``gate``
+    then sees the written rows and may raise. Only after that is the table
+    pointed at the new folder, one change in the catalog: readers see all of
+    the old rows or all of the new, and a failed write or gate leaves the old.
+    ``df`` may therefore read ``name`` itself. The version before the replaced
+    one is removed; the replaced one stays for readers under way.
     """
-    w = df.write.mode("overwrite").format(fmt)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
+    spark = df.sparkSession
+    root = _table_root(spark, name)
+    version = f"{root}/v_{time.time_ns()}_{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").format(fmt).save(version)
+    written = spark.read.format(fmt).schema(df.schema).load(version)
+    if gate is not None:
+        gate(written)
+    if spark.catalog.tableExists(name) and spark.table(name).schema.simpleString() == written.schema.simpleString():
+        replaced = _location(spark, name)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:  # new, or of another shape: the catalog has no replace for that
+        replaced = None
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({_ddl(written.schema)}) USING {fmt} LOCATION '{version}'")
+    _remove_versions(spark, root, keep=(version, replaced))
+    return written
+
+
+def _table_root(spark: SparkSession, name: str) -> str:
+    """Folder that holds the versions of a table, in the shared warehouse."""
+    database, table = name.split(".", 1)
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/versions/{database}/{table}"
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _remove_versions(spark: SparkSession, root: str, keep: Sequence[str | None]) -> None:
+    kept = {k.rstrip("/").rsplit("/", 1)[1] for k in keep if k}
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        if status.getPath().getName().startswith("v_") and status.getPath().getName() not in kept:
+            fs.delete(status.getPath(), True)
 
 
 def read_layer(spark: SparkSession, name: str) -> DataFrame:

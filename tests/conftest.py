@@ -16,10 +16,11 @@ def spark():
 
     warehouse = tempfile.mkdtemp(prefix="lamina-test-wh-")
     s = build_session(
-        master="local[*]",
+        master=os.environ.get("LAMINA_TEST_MASTER", "local[*]"),
         shuffle_partitions=8,
         app="lamina-tests",
-        extra={"spark.sql.warehouse.dir": warehouse, "spark.driver.memory": "4g"},
+        extra={"spark.sql.warehouse.dir": warehouse, "spark.driver.memory": "4g",
+               "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lamina-test-ckpt-")},
     )
     yield s
     s.stop()

@@ -143,7 +143,7 @@ def test_key_report_one_row_per_table(spark):
     assert (rows["a"]["rows"], rows["a"]["null_keys"], rows["a"]["duplicate_keys"]) == (3, 1, 1)
     assert rows["b"]["duplicate_keys"] == 0
     with pytest.raises(Q.DataQualityError, match="a: 1 repeated keys"):
-        Q.check_unique_keys({"a": a, "b": b})
+        Q.check_unique_keys(rows)
 
 
 @pytest.mark.parametrize("descending", [True, False])

@@ -10,7 +10,7 @@ from lamina.operators.quality import DataQualityError
 from lamina.plans import catalogue as cat
 from lamina.plans.fixtures import raw_tables
 from lamina.plans.queries import table, write_test_csv
-from lamina.sources.tables import create_layers, read_layer, table_name
+from lamina.sources.tables import create_layers, read_layer, table_name, write_layer
 
 RUN = dt.datetime(2024, 1, 2, 3, 4, 5)
 
@@ -64,9 +64,7 @@ def test_silver_gate_rejects_fanout(spark, raw_paths):
     for name, path in paths.items():
         cat.run_bronze(spark, path, name, prefix)
     dup = read_layer(spark, table_name(prefix, "bronze", "poster_path"))
-    dup.unionByName(dup).write.mode("overwrite").saveAsTable("fan_bronze.poster_dup")
-    spark.sql("DROP TABLE fan_bronze.poster_path")
-    spark.table("fan_bronze.poster_dup").write.saveAsTable("fan_bronze.poster_path")
+    write_layer(dup.unionByName(dup), table_name(prefix, "bronze", "poster_path"))
     with pytest.raises(DataQualityError, match="repeated keys"):
         cat.run_silver(spark, prefix)
 
@@ -77,7 +75,44 @@ def test_run_pipeline_records_metrics(spark, raw_paths):
     assert set(out) == {"bronze", "silver", "golden"}
     m = spark.table("full_ops.run_metrics")
     assert m.filter("step = 'golden'").count() == 4
-    assert m.filter("table_name = 'peliculas'").first()["row_count"] == out["silver"]["peliculas"]
+    films = m.filter("table_name = 'peliculas'").first()
+    assert films["row_count"] == out["silver"]["peliculas"]["row_count"] and films["duplicates_removed"] > 0
+    assert sorted(r["table_name"] for r in m.filter("step = 'silver'").collect()) == ["peliculas", "peliculas_genero"]
+    assert m.filter("table_name <> 'peliculas' and duplicates_removed is not null").count() == 0
+
+
+def test_a_run_leaves_no_scratch_and_two_versions(spark, raw_paths, tmp_path):
+    from pathlib import Path
+
+    from lamina.session import checkpoint_root
+
+    paths, _ = raw_paths
+    for _ in range(3):
+        cat.run_pipeline(spark, paths, "twice", RUN)
+    assert not list(Path(checkpoint_root(spark).removeprefix("file:")).glob("lamina-run-*"))
+    root = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
+    assert len(list((root / "versions" / "twice_golden" / "kpi_genero").glob("v_*"))) == 2
+
+
+def test_failed_gate_leaves_the_old_table(spark, raw_paths):
+    paths, raw = raw_paths
+    create_layers(spark, "keepold")
+    cat.run_bronze(spark, paths["movies"], "movies", "keepold", RUN)
+    name = table_name("keepold", "bronze", "movies")
+    before = sorted(map(str, read_layer(spark, name).collect()))
+    bad = write_test_csv(raw["movies"].withColumn("id", F.lit("x")), "bad_movies")
+    with pytest.raises(DataQualityError):
+        cat.run_bronze(spark, bad, "movies", "keepold", RUN)
+    assert sorted(map(str, read_layer(spark, name).collect())) == before
+
+
+def test_replacing_reads_itself_and_changes_shape(spark):
+    name = "default.replaced"
+    write_layer(spark.range(5), name)
+    write_layer(read_layer(spark, name).selectExpr("id + 10 as id"), name)
+    assert sorted(r["id"] for r in read_layer(spark, name).collect()) == [10, 11, 12, 13, 14]
+    write_layer(read_layer(spark, name).selectExpr("id", "'x' as more"), name)
+    assert read_layer(spark, name).columns == ["id", "more"]
 
 
 def test_environment_prefix():

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 import __spark_entry__ as E
 from lamina.operators.ranking import asc, desc, global_rank
 from lamina.operators.relational import dedupe_first, top_k
@@ -50,5 +52,31 @@ def test_parquet_scans_are_pruned(spark, sf_small):
     q = E.queries()["kpi_one_key"](spark, sf_small)
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_returnflag:string>" in plan
-    f = E.queries()["top_k_per_group"](spark, sf_small)
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    f = top_k(events.filter(F.col("value") >= 100), ["event_type"], [F.col("value").desc()], 10)
     assert "GreaterThanOrEqual(value,100.0)" in f._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distinct_counts_do_not_expand_rows(spark, sf_small):
+    assert "Expand" not in physical(QUERIES["quality_metrics"](spark, sf_small))
+
+
+def test_late_lookup_computes_the_top_rows_once(spark, sf_small):
+    for name in ("top_k_per_group", "film_top_films"):
+        plan = physical(QUERIES[name](spark, sf_small)).split("== Initial Plan ==")[0]
+        assert "WindowGroupLimit" not in plan, name  # written before, once
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from lamina.session import NoSharedFolder, checkpoint_root
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(
+            master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None))
+
+    for master in ("yarn", "spark://x:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(NoSharedFolder):
+            checkpoint_root(session(master))
+    assert checkpoint_root(session("local[4]"))

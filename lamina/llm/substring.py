@@ -5,15 +5,17 @@
    of at least ``min_words`` words take part.
 2. Equal paragraphs are one class (combined map-side). Classes are banded by
    MinHash values of their ``shingle``-word shingles, one row per band; classes
-   that share a band value are candidates.
+   that share a band value, and at least half of a short MinHash sketch, are
+   candidates.
 3. Candidates are confirmed by exact Jaccard similarity on full shingle sets,
    and links are joined to components (see ``links``).
 4. Within a line, neighbouring paragraphs that repeat make up a passage. Passages
    of at least ``min_passage`` words count; each component keeps its first
    paragraph (smallest id, then place), the others are to be removed.
 
-With b bands of one value, a pair of similarity s is a candidate with
-probability 1 - (1 - s)^b: 0.992 at s = 0.8, and 1 for equal paragraphs.
+With three bands of one value, a pair of similarity s shares a band with
+probability 1 - (1 - s)^3 (0.992 at s = 0.8), and then four of the eight sketch
+bytes with 0.995. Equal paragraphs always meet.
 
 Null, empty and short texts have no paragraphs and stay as they are. Rows with
 the same id and place are one place: none of them is removed in favour of the
@@ -26,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,6 +49,7 @@ class Paragraphs:
     num: int = 80  # a link: den * intersection >= num * union
     den: int = 100
     bands: int = 3
+    agree: int = 4  # bytes that candidates' sketches must share
     small: int = 8
     near: int = 2
 
@@ -82,7 +86,7 @@ class Cutter:
         n = int(per_line.sum())
         if n < self.rules.min_words:
             return none.astype(np.uint64), none, none, none
-        h = np.fromiter((self.words[w] for line in lines for w in line), dtype=np.uint64, count=n)
+        h = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lines)), dtype=np.uint64, count=n)
         before = np.concatenate([h[:1], h[:-1]])
         ends = ((h & np.uint64(1)) == 1) & ((mix64(h + before * _SHIFT) & np.uint64(1)) == 0)
         line_ends = np.cumsum(per_line)
@@ -96,86 +100,98 @@ class Cutter:
         place = (np.arange(len(h)) - np.repeat(start, stop - start)).astype(np.uint64)
         return mix64(np.add.reduceat(mix64(h + mix64(place + _SHIFT)), start)).view(np.int64)
 
-    def minhashes(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
-        """Per band, the smallest shingle hash within each paragraph."""
+    def minhashes(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Per band, the smallest shingle hash within each paragraph; and a sketch
+        of ``SKETCH`` bytes, one of each MinHash value."""
         k, n = self.rules.shingle, len(h)
         acc = np.zeros(n, dtype=np.uint64)
         for j in range(k):
-            acc[: n - j] = mix64(acc[: n - j] * _SHIFT + h[j:])
+            acc[: n - j] = (acc[: n - j] ^ h[j:]) * _MULT[j]
         over = np.arange(n) + k > np.repeat(stop, stop - start)  # the shingle leaves its paragraph
-        out = []
-        for band in range(self.rules.bands):
-            v = mix64(acc + np.uint64((band + 1) * int(_SHIFT) % (1 << 64)))
+        bands, sketch = [], np.zeros((len(start), SKETCH), dtype=np.uint8)
+        for i in range(SKETCH):
+            v = mix64(acc + np.uint64((i + 1) * int(_SHIFT) % (1 << 64)))
             v[over] = np.iinfo(np.uint64).max
-            out.append(np.minimum.reduceat(v, start).view(np.int64))
-        return out
+            low = np.minimum.reduceat(v, start)
+            sketch[:, i] = mix64(low).astype(np.uint8)
+            if i < self.rules.bands:
+                bands.append(low.view(np.int64))
+        return bands, sketch.view(">i8")[:, 0].astype(np.int64)
+
+
+SKETCH = 8
+_MULT = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
+                    0xC4CEB9FE1A85EC53, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
 def paragraphs(docs: DataFrame, rules: Paragraphs, id_col: str, text_col: str) -> DataFrame:
-    """``(id, ord, line, start_word, n_words, class)`` of paragraphs that take part."""
+    """``(id, text_hash, ord, line, start_word, n_words, class, band_0 .., sketch)`` of paragraphs that take part."""
+    names = ["ord", "line", "start_word", "n_words", "class", *(f"band_{i}" for i in range(rules.bands)), "sketch"]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter(rules)
         for pdf in batches(frames):
             parts = []
-            for doc, text in zip(pdf["id"], pdf["text"]):
+            for doc, key, text in zip(pdf["id"], pdf["text_hash"], pdf["text"]):
                 h, start, stop, line = cutter.cut(text)
                 long = np.flatnonzero(stop - start >= rules.min_words)
                 if len(long):
-                    parts.append((doc, len(long), long, line[long], start[long], (stop - start)[long],
-                                  cutter.classes(h, start, stop)[long]))
+                    bands, sketch = cutter.minhashes(h, start, stop)
+                    parts.append((doc, key, len(long), long, line[long], start[long], (stop - start)[long],
+                                  cutter.classes(h, start, stop)[long], *[b[long] for b in bands], sketch[long]))
             if parts:
-                doc, count, *cols = zip(*parts)
+                doc, key, count, *cols = zip(*parts)
                 yield pd.DataFrame({
                     "id": pd.Series(np.repeat(np.asarray(doc, dtype=object), count)),
-                    **{name: np.concatenate(c) for name, c in zip(("ord", "line", "start_word", "n_words", "class"), cols)},
+                    "text_hash": np.repeat(np.asarray(key, dtype=np.int64), count),
+                    **{name: np.concatenate(c) for name, c in zip(names, cols)},
                 })
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
-        cut, f"id {id_type}, ord int, line int, start_word int, n_words int, class long")
+    kinds = [f"{n} int" for n in names[:4]] + [f"{n} long" for n in names[4:]]
+    return docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")
+    ).mapInPandas(cut, f"id {id_type}, text_hash long, " + ", ".join(kinds))
 
 
-def band_candidates(docs: DataFrame, rules: Paragraphs, text_col: str) -> DataFrame:
-    """``(a, b, region)``: classes that share a band value (see ``lsh_forest``)."""
-
-    def bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cutter = Cutter(rules)
-        for pdf in batches(frames):
-            out: list[list[np.ndarray]] = [[] for _ in range(rules.bands + 1)]
-            for text in pdf["text"]:
-                h, start, stop, _ = cutter.cut(text)
-                long = stop - start >= rules.min_words
-                if long.any():
-                    out[0].append(cutter.classes(h, start, stop)[long])
-                    for band, v in enumerate(cutter.minhashes(h, start, stop)):
-                        out[band + 1].append(v[long])
-            if out[0]:
-                cls, first = np.unique(np.concatenate(out[0]), return_index=True)
-                for band in range(rules.bands):
-                    yield pd.DataFrame({"band": band, "value": np.concatenate(out[band + 1])[first], "class": cls})
-
-    forest = Forest(depth=8, min_depth=8, small=rules.small, near=rules.near)
+def band_candidates(units: DataFrame, rules: Paragraphs) -> DataFrame:
+    """``(a, b, region)``: classes that share a band value and enough of their sketches
+    (see ``lsh_forest``: within a band value, classes are sorted by sketch)."""
+    forest = Forest(depth=8 + SKETCH, min_depth=8, small=rules.small, near=rules.near)
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree, last = _Tree(forest), None
-        for pdf in batches(frames):
-            band, value, cls = (pdf[c].to_numpy() for c in ("band", "value", "class"))
-            new = np.ones(len(pdf), dtype=bool)  # equal classes meet here as equal rows
-            new[1:] = (cls[1:] != cls[:-1]) | (value[1:] != value[:-1]) | (band[1:] != band[:-1])
-            new[0] = (band[0], value[0], cls[0]) != last
-            last = (band[-1], value[-1], cls[-1])
-            band, cls = band[new].tolist(), cls[new].tolist()
-            yield from _candidate_frame(tree.add(band, [v.tobytes() for v in value[new].astype(">i8")], cls))
-        yield from _candidate_frame(tree.close())
+        tree, sketch_of = _Tree(forest), {}
 
+        def alike(rows: list[tuple]) -> list[tuple]:
+            return [r for r in rows if r[1] is None or _agree(sketch_of[r[0]], sketch_of[r[1]]) >= rules.agree]
+
+        for pdf in batches(frames):
+            value, sketch, cls = (pdf[c].to_numpy(dtype=np.int64) for c in ("value", "sketch", "class"))
+            keys = [v + s for v, s in zip(_bytes(value), _bytes(sketch))]
+            held = {row[2] for row in tree.held}
+            sketch_of = {c: s for c, s in sketch_of.items() if c in held}
+            cls = cls.tolist()
+            sketch_of.update(zip(cls, (k[8:] for k in keys)))
+            yield from _candidate_frame(alike(tree.add(pdf["band"].tolist(), keys, cls)))
+        yield from _candidate_frame(alike(tree.close()))
+
+    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.col(f"band_{i}").alias("value")) for i in range(rules.bands)])
+    one = units.dropDuplicates(["class"]).select("class", "sketch", F.explode(bands).alias("b"))
     return (
-        docs.select(F.col(text_col).alias("text")).mapInPandas(bands, "band int, value long, class long")
-        .repartition("band", "value").sortWithinPartitions("band", "value", "class")
-        .mapInPandas(walk, "a long, b long, region binary")
+        one.select("b.band", "b.value", "sketch", "class").repartition("band", "value")
+        .sortWithinPartitions("band", "value", "sketch", "class").mapInPandas(walk, "a long, b long, region binary")
     )
 
 
+def _bytes(x: np.ndarray) -> list[bytes]:
+    raw = (x ^ np.int64(-(2**63))).astype(">i8").tobytes()  # as bytes in the order of the signed values
+    return [raw[i : i + 8] for i in range(0, len(raw), 8)]
+
+
+def _agree(x: bytes, y: bytes) -> int:
+    return sum(a == b for a, b in zip(x, y))
+
+
 def class_sets(docs: DataFrame, wanted: DataFrame, rules: Paragraphs, id_col: str, text_col: str) -> DataFrame:
     """``(node, items)``: shingle sets of ``wanted(node, id)`` classes, from a document that holds them."""
     per_doc = wanted.groupBy("id").agg(F.collect_list("node").alias("nodes"))
@@ -202,12 +218,12 @@ def repeated_passages(docs: DataFrame, rules: Paragraphs = Paragraphs(), id_col:
                       text_col: str = "text") -> DataFrame:
     """One row per paragraph of a repeated passage.
 
-    ``(id_col, start_word, n_words, passage_words, component_id, keeper_<id_col>, removed)``.
+    ``(id_col, text_hash, start_word, n_words, passage_words, component_id, keeper_<id_col>, removed)``.
     """
     units = stage(paragraphs(docs, rules, id_col, text_col), "sub_units")
     first = F.min(F.struct("id", "ord")).alias("keeper")
     classes = units.groupBy(F.col("class").alias("node")).agg(first, F.count(F.lit(1)).alias("n"))
-    found = stage(band_candidates(docs, rules, text_col).distinct(), "sub_candidates")
+    found = stage(band_candidates(units, rules).distinct(), "sub_candidates")
     pairs = found.filter("b is not null").groupBy("a", "b").agg(F.lit(1).alias("score"))
     regions = found.filter("b is null").select("region", F.col("a").alias("node"))
     near = stage(
@@ -224,13 +240,13 @@ def repeated_passages(docs: DataFrame, rules: Paragraphs = Paragraphs(), id_col:
     member = stage(grouped.join(keepers.withColumnRenamed("keeper", "first"), "component_id").select(
         F.col("node").alias("class"), "component_id", "first"), "sub_members")
     hits = units.join(member, "class")
-    line = Window.partitionBy("id", "line").orderBy("ord")
+    line = Window.partitionBy("id", "text_hash", "line").orderBy("ord")
     # dropped short paragraphs may stand between two that repeat: a gap of one is bridged
     gap = F.coalesce((F.col("ord") - F.lag("ord").over(line) > 2).cast("int"), F.lit(1))
     passages = hits.withColumn("run", F.sum(gap).over(line)).withColumn(
-        "passage_words", F.sum("n_words").over(Window.partitionBy("id", "line", "run")))
+        "passage_words", F.sum("n_words").over(Window.partitionBy("id", "text_hash", "line", "run")))
     return passages.filter(F.col("passage_words") >= rules.min_passage).select(
-        F.col("id").alias(id_col), "start_word", "n_words", F.col("passage_words").cast("long"), "component_id",
+        F.col("id").alias(id_col), "text_hash", "start_word", "n_words", F.col("passage_words").cast("long"), "component_id",
         F.col("first.id").alias(f"keeper_{id_col}"),
         (~F.struct("id", "ord").eqNullSafe(F.col("first"))).alias("removed"),
     )
@@ -258,9 +274,10 @@ def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
 
     ``count_col`` is set to the new number of code points where it is given.
     """
-    spans = passages.filter("removed").groupBy(F.col(id_col).alias("__id")).agg(
+    spans = passages.filter("removed").groupBy(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).agg(
         F.sort_array(F.collect_set(F.struct("start_word", "n_words"))).alias("__spans"))
-    joined = docs.join(spans, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
+    joined = docs.withColumn("__own", F.xxhash64(text_col)).join(
+        spans, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left")
     names, schema = docs.columns, docs.schema
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -275,9 +292,9 @@ def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
                 pdf.loc[touched, count_col] = [len(t) for t, x in zip(out, touched) if x]
             yield pdf[[not x or bool(_WORD.search(t)) for t, x in zip(out, touched)]]
 
-    changed = joined.filter("__spans is not null").mapInPandas(cut, schema)
+    changed = joined.filter("__spans is not null").select(*names, "__spans").mapInPandas(cut, schema)
     return joined.filter("__spans is null").select(*names).unionByName(changed)
 
 
 def op1_paragraph_minhash(spark, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("text_hash")

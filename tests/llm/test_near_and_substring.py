@@ -106,9 +106,10 @@ def test_near_equal_paragraphs_are_joined(make_docs):
 def test_remove_whole_copies_and_edges(make_docs, edge_docs, no_docs):
     rng = random.Random(4)
     text = prose(rng, 100)
-    docs = make_docs([text, text, None, "", "short"])
+    docs = make_docs([(0, text), (1, text), (2, None), (3, ""), (4, "short"), (1, "an id that repeats")])
     left = substring.remove_passages(docs, substring.repeated_passages(docs)).collect()
-    assert sorted(r["doc_id"] for r in left) == [0, 2, 3, 4]
+    assert sorted((r["doc_id"], r["text"]) for r in left if r["text"] is not None) == [
+        (0, text), (1, "an id that repeats"), (3, ""), (4, "short")] and len(left) == 5
     rows = substring.repeated_passages(edge_docs)
     assert rows.columns[0] == "doc_id" and rows.filter("doc_id in (0, 1, 2)").count() == 0
     assert substring.remove_passages(edge_docs, rows).columns == edge_docs.columns

@@ -90,26 +90,45 @@ class Splitter:
         return out
 
 
+# Words that one call of the library encodes.
+ENCODE_WORDS = 1_000
+
+
 class WordEncoder:
-    """Ids of one pre-token, as little-endian unsigned 32-bit bytes."""
+    """Ids of pre-tokens, each as little-endian unsigned 32-bit bytes.
+
+    Many words go to the library as one text, divided by spaces, which no word
+    holds; the word-end mark of the last piece tells where each word's ids end.
+    """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         spec = json.loads(tokenizer_json)
         self.special = {"\0" + t["content"]: t["id"] for t in spec["added_tokens"]}
+        end = spec["model"]["end_of_word_suffix"]
+        self.ends = np.asarray([bool(p) and p.endswith(end) for p in pieces_of(tokenizer_json)])
         # words are already normalised and split: only the byte mapping and the merges are left
         spec |= {"normalizer": None, "added_tokens": [], "truncation": None, "padding": None, "pre_tokenizer": {
-            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}
+            "type": "Sequence", "pretokenizers": [
+                {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
         self.tokenizer = Tokenizer.from_str(json.dumps(spec))
 
+    def _encode(self, words: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.asarray(coded.ids, dtype="<u4")
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(ends) != len(words):
+            raise ValueError("a word's ids hold no word end, or more than one")
+        return [raw[x:y] for x, y in zip([0, *ends], ends)]
+
     def __call__(self, words: list[str]) -> list[bytes]:
         plain = [w for w in words if w not in self.special]
-        coded = iter(self.tokenizer.encode_batch(plain, add_special_tokens=False))
-        return [
-            np.asarray([self.special[w]] if w in self.special else next(coded).ids, dtype="<u4").tobytes()
-            for w in words
-        ]
+        coded = iter([c for i in range(0, len(plain), ENCODE_WORDS) for c in self._encode(plain[i : i + ENCODE_WORDS])])
+        if len(plain) == len(words):
+            return list(coded)
+        return [np.asarray([self.special[w]], dtype="<u4").tobytes() if w in self.special else next(coded) for w in words]
 
 
 def pieces_of(tokenizer_json: str) -> list[str | None]:

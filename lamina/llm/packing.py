@@ -41,6 +41,8 @@ ROUNDS = 4
 GROWTH = 4  # by which a group may be larger in each further round; the last bounds what a task holds
 # Distinct words whose ids a task remembers.
 WORD_MEMORY = 300_000
+# Documents that are split at a time.
+DOCS = 256
 
 
 # --- tokens and pieces ----------------------------------------------------
@@ -52,13 +54,13 @@ class _WordIds(dict):
         super().__init__()
         self.encoder, self.limit = WordEncoder(tokenizer_json), limit
 
-    def learn(self, words: list[str]) -> None:
-        new = list({w for w in words if w not in self})
-        if new:
-            if len(self) + len(new) > self.limit:
-                self.clear()
-                new = list(set(words))
-            self.update(zip(new, self.encoder(new)))
+    def learn(self, words: set[str]) -> None:
+        new = words.difference(self)
+        if len(self) + len(new) > self.limit:
+            self.clear()
+            new = words
+        known = list(new)
+        self.update(zip(known, self.encoder(known)))
 
 
 def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, separator: int | None = SEPARATOR,
@@ -72,18 +74,18 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY,
         split, ids_of = Splitter(shared.value), _WordIds(shared.value, WORD_MEMORY)
         step = 4 * capacity
         for pdf in batches(frames):
-            rows = []
-            for doc, text in zip(pdf["id"], pdf["text"]):
-                words = split(text)
-                try:
-                    ids = b"".join([ids_of[w] for w in words]) + tail
-                except KeyError:
-                    ids_of.learn(words)
-                    ids = b"".join([ids_of[w] for w in words]) + tail
-                for n, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    rows.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
-            yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"])
+            for at_row in range(0, len(pdf), DOCS):
+                part = pdf.iloc[at_row : at_row + DOCS]
+                texts = [split(t) for t in part["text"]]
+                ids_of.learn(set().union(*texts))
+                rows = []
+                for doc, words in zip(part["id"], texts):
+                    ids = b"".join([*map(ids_of.__getitem__, words), tail])
+                    for n, at in enumerate(range(0, len(ids), step)):
+                        piece = ids[at : at + step]
+                        rows.append((doc, n, at // 4, len(piece) // 4, zlib.crc32(piece)))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"])
 
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -401,14 +401,16 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     """``docs`` (only the ``keep`` columns, if given) with ``out``, the probability that the text is toxic."""
     own = [f for f in docs.schema if f.name != out and (keep is None or f.name in keep)]
     names = [f.name for f in own]
+    source = text_col if text_col in names else "__text"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
         for pdf in batches(frames):
-            yield pdf[names].assign(**{out: scorer.scores(list(pdf["__text"]))})
+            yield pdf[names].assign(**{out: scorer.scores(list(pdf[source]))})
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own), f"`{out}` double"])
-    return docs.select(*names, F.col(text_col).alias("__text")).mapInPandas(run, schema)
+    extra = [] if source == text_col else [F.col(text_col).alias(source)]
+    return docs.select(*names, *extra).mapInPandas(run, schema)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -38,6 +38,7 @@ QUERY_EVERY = 20
 CANDIDATES = 8_192  # rows of a candidate block, on average
 QUERIES = 1_024  # rows of a query block, on average
 LIMIT = 2**63 - 1
+TOGETHER = 64  # queries searched at a time
 DIMS = 16  # dimensions accumulated at a time
 
 
@@ -88,30 +89,46 @@ class PairSearch:
         """Length of what is left after each dimension block."""
         return [np.sqrt((x[at:] ** 2).sum(axis=0)) for at in range(self.dims, x.shape[0], self.dims)]
 
-    def best(self, query: np.ndarray, own: int) -> tuple[np.ndarray, list[int]]:
-        """Columns that may be among the k best, and their exact scores. ``own`` is left out (-1: none)."""
-        n = self.x.shape[1]
-        alive = np.arange(n) if own < 0 else np.delete(np.arange(n), own)
-        whole = query[self.order]
+    def best(self, queries: np.ndarray, own: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query (a column of ``queries``): columns that may be among its k best, and
+        their exact scores. ``own`` is the column to leave out (-1: none)."""
+        whole = queries[self.order]
         if float(np.abs(whole).max(initial=0)) * self.largest * max(1, len(whole)) >= 2.0**53:
-            # beyond exact doubles: Python's whole numbers, held to the range of a long
-            return alive, [max(-LIMIT - 1, min(LIMIT, sum(int(a) * int(b) for a, b in zip(whole, self.whole[:, c]))))
-                           for c in alive]
-        q = whole.astype(np.float64)
-        left = self._rest(q[:, None])
-        part, floor = np.zeros(len(alive)), -np.inf
-        for step, at in enumerate(range(0, len(q), self.dims)):
-            end = min(at + self.dims, len(q))
-            part = part + q[at:end] @ (self.x[at:end] if len(alive) == n else self.x[at:end, alive])
-            if end == len(q) or len(alive) <= self.k:
+            return [self._exact(whole[:, i], o) for i, o in enumerate(own)]
+        q = whole.T.astype(np.float64)
+        left = self._rest(whole.astype(np.float64))
+        columns = np.arange(self.x.shape[1])
+        part = np.zeros((len(q), len(columns)))  # minus infinity: dropped
+        for i, o in enumerate(own):
+            if o >= 0:
+                part[i, o] = -np.inf
+        floor = np.full(len(q), -np.inf)
+        for step, at in enumerate(range(0, q.shape[1], self.dims)):
+            end = min(at + self.dims, q.shape[1])
+            part += q[:, at:end] @ (self.x[at:end] if len(columns) == self.x.shape[1] else self.x[at:end, columns])
+            if end == q.shape[1] or len(columns) <= self.k:
                 continue
-            lead = np.argpartition(-part, self.k - 1)[: self.k]
-            floor = max(floor, (part[lead] + q[end:] @ self.x[end:, alive[lead]]).min())
-            reach = part + self.rest[step][alive] * left[step][0] * (1 + 1e-9) + 1e-3
-            keep = reach >= floor
-            if not keep.all():
-                alive, part = alive[keep], part[keep]
-        return alive, [int(s) for s in part]
+            # the k leaders are completed: k candidates are known to reach the floor
+            lead = np.argpartition(-part, self.k - 1, axis=1)[:, : self.k]
+            more = np.einsum("md,dmk->mk", q[:, end:], self.x[end:][:, columns[lead]])
+            floor = np.maximum(floor, (np.take_along_axis(part, lead, axis=1) + more).min(axis=1))
+            reach = part + np.outer(left[step], self.rest[step][columns]) * (1 + 1e-9) + 1e-3
+            part[reach < floor[:, None]] = -np.inf
+            alive = (part > -np.inf).any(axis=0)
+            if alive.mean() < 0.8:  # compact
+                columns, part = columns[alive], part[:, alive]
+        out = []
+        for row in part:
+            at = np.flatnonzero(row > -np.inf)
+            out.append((columns[at], row[at].astype(np.int64)))
+        return out
+
+    def _exact(self, query: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """Beyond exact doubles: Python's whole numbers, held to the range of a long."""
+        q = [int(v) for v in query]
+        columns = np.asarray([c for c in range(self.whole.shape[1]) if c != own], dtype=np.int64)
+        scores = [sum(a * int(b) for a, b in zip(q, self.whole[:, c])) for c in columns]
+        return columns, np.asarray([max(-LIMIT - 1, min(LIMIT, v)) for v in scores], dtype=np.int64)
 
 
 def top_products(vectors: DataFrame, is_query: Column, k: int = TOP, id_col: str = "vec_id",
@@ -141,10 +158,16 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = TOP, id_col: str
             block = PairSearch(_cells(c["cells"].iloc[0], dims, len(c_ids)), k)
             cells = _cells(q["cells"].iloc[0], dims, len(q_ids))
             at = {u: i for i, u in enumerate(c_uids.tolist())}
-            for i, uid in enumerate(q_uids.tolist()):
-                alive, scores = block.best(cells[:, i], at.get(uid, -1))
-                order = sorted(range(len(alive)), key=lambda j: (-scores[j], c_ids[alive[j]], c_uids[alive[j]]))[:k]
-                out += [(uid, int(q_ids[i]), int(c_ids[alive[j]]), int(c_uids[alive[j]]), scores[j]) for j in order]
+            own = [at.get(u, -1) for u in q_uids.tolist()]
+            for first in range(0, len(own), TOGETHER):
+                some = slice(first, first + TOGETHER)
+                for uid, qid, (alive, scores) in zip(q_uids[some], q_ids[some], block.best(cells[:, some], own[some])):
+                    if len(scores) > k:
+                        keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                        alive, scores = alive[keep], scores[keep]
+                    # most first; ~ turns the order of whole numbers without overflow
+                    for j in np.lexsort((c_uids[alive], c_ids[alive], ~scores))[:k].tolist():
+                        out.append((int(uid), int(qid), int(c_ids[alive[j]]), int(c_uids[alive[j]]), int(scores[j])))
         return pd.DataFrame(out, columns=["query_uid", "query_id", "id", "uid", "score"])
 
     found = left.cogroup(right).applyInPandas(

@@ -61,34 +61,51 @@ COLUMNS = (
 )
 
 
+# What a text must hold for any boilerplate phrase to match (besides odd case variants).
+_STEMS = (
+    "licensed under", "is licensed", "all rights reserved", "copyright ", "creative commons", "terms of ",
+    "privacy policy", "cookie", "accept ", "subscribe to our", "sign up for", "click here", "read more", "share this",
+    "skip to ", "javascript ", "enable javascript", "powered by", "lorem ipsum", "back to top",
+)
+_ODD_CASE = ("\u017f", "\u212a")  # long s and Kelvin sign fold to ASCII letters
+_PUNCT_BYTES = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_LOWER_BYTES = bytes(range(97, 123))
+_MARK_BYTES = frozenset(m.encode() for m in NAV_MARKS)
+
+
 class LineCleaner:
     """Counts, verdict and cleaned text of one document."""
 
     def __init__(self, rules: LineRules):
         self.rules = rules
         self.boilerplate = re.compile(BOILERPLATE).search
-        self.punct = re.compile(PUNCT).findall
         self.sentence = re.compile(r"[.!?;:,]").search
         self.upper = regex.compile(r"\p{Lu}").findall
         self.lower = regex.compile(r"\p{Ll}").findall
-        self.words = re.compile(r"[^\x20\x09-\x0D]+").findall
 
-    def line_fails(self, line: str, words: list[str]) -> bool:
+    def _shouted(self, line: str, raw: bytes) -> bool:
+        # plain lower-case letters are a quick proof of the contrary
+        small = len(raw) - len(raw.translate(None, _LOWER_BYTES))
+        pct = self.rules.max_upper_pct
+        if (100 - pct) * (len(line) - small) <= pct * small:
+            return False
+        up = len(self.upper(line))
+        return up > 0 and 100 * up > pct * (up + len(self.lower(line)))
+
+    def line_fails(self, line: str, raw: bytes, words: list[bytes], phrases: bool = True) -> bool:
         r, n = self.rules, len(words)
-        if 100 * len(self.punct(line)) > r.max_punct_pct * len(line):
+        if 100 * (len(raw) - len(raw.translate(None, _PUNCT_BYTES))) > r.max_punct_pct * len(line):
             return True
         if n >= r.plain_words and not self.sentence(line):
             return True
-        marks = sum(w in NAV_MARKS for w in words)
+        marks = sum(map(_MARK_BYTES.__contains__, words))
         if marks >= r.nav_items and 3 * marks >= n:
             return True
-        if n >= r.shout_words:
-            up = len(self.upper(line))
-            if up and 100 * up > r.max_upper_pct * (up + len(self.lower(line))):
-                return True
-        if n >= r.stuck_words and 2 * max(Counter(words).values()) > n:
+        if n >= r.shout_words and self._shouted(line, raw):
+            return True
+        if n >= r.stuck_words and 2 * len(set(words)) <= n + 2 and 2 * max(Counter(words).values()) > n:
             return True
-        return self.boilerplate(line) is not None
+        return phrases and self.boilerplate(line) is not None
 
     def __call__(self, text: str | None) -> tuple[tuple, str]:
         text = text or ""
@@ -96,18 +113,21 @@ class LineCleaner:
         n_words = len(words := raw.split())
         word_chars = len(text) - sum(map(text.count, ASCII_SPACES))
         n_symbols = len(raw) - len(raw.translate(None, SYMBOLS.encode()))
+        low = text.lower()
+        phrases = any(s in low for s in _STEMS) or any(c in text for c in _ODD_CASE)
         seen: set[str] = set()
         dups = lines_removed = chars_removed = 0
         left = []
         for line in text.split("\n"):
-            own = self.words(line)
+            code = line.encode("utf-8", "surrogatepass")
+            own = code.split()
             if own:
                 repeat = line in seen
                 seen.add(line)
                 dups += repeat
-                if repeat or self.line_fails(line, own):
+                if repeat or self.line_fails(line, code, own, phrases):
                     lines_removed += 1
-                    chars_removed += sum(map(len, own))
+                    chars_removed += len(line) - sum(map(line.count, ASCII_SPACES))
                     continue
             left.append(line)
         repeats = repeated_words(words)

@@ -32,7 +32,7 @@ def test_line_rules(rng):
         "A normal line, with a comma.": False, "Heading without mark": False, "NASA and ESA agreed, they said.": False,
     }
     for line, fails in cases.items():
-        assert c.line_fails(line, line.split()) is fails, line
+        assert c.line_fails(line, line.encode(), line.encode().split()) is fails, line
     counts, left = c(good + "\n" + "Home | News | About | Contact" + "\n" + good)
     assert left == good and counts[3] == 1 and not counts[6]  # the repeated line is over half of the words
     assert c(good + "\nAll rights reserved by us.")[0][6]

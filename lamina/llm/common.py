@@ -4,7 +4,8 @@ exact Jaccard of hashed sets, and connected components as Spark jobs."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -165,6 +166,19 @@ def _same_edges(a: DataFrame, b: DataFrame) -> bool:
     return tuple(sums(a)) == tuple(sums(b))
 
 
+def worker_state(key: tuple, make: Callable):
+    """What ``make()`` gave in this Python worker for ``key``, kept between its tasks.
+
+    For caches of bounded size; a new worker simply starts its own. The newest
+    key replaces all others, so that one state is held at a time.
+    """
+    held = sys.__dict__.setdefault("_lamina_worker_state", {})
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
+
+
 def batches(rows: Iterator) -> Iterator:
     """Arrow record batches as pandas frames, skipping empty ones."""
     for pdf in rows:

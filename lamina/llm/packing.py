@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.llm.bpe import Splitter, WordEncoder, default_tokenizer, read_tokenizer
-from lamina.llm.common import batches, stage, table
+from lamina.llm.common import batches, stage, table, worker_state
 
 CAPACITY = 4096
 SEPARATOR = 1
@@ -71,7 +71,9 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY,
     tail = b"" if separator is None else np.asarray([separator], dtype="<u4").tobytes()
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, ids_of = Splitter(shared.value), _WordIds(shared.value, WORD_MEMORY)
+        split, ids_of = worker_state(
+            ("packing", zlib.crc32(shared.value.encode())),
+            lambda: (Splitter(shared.value), _WordIds(shared.value, WORD_MEMORY)))
         step = 4 * capacity
         for pdf in batches(frames):
             for at_row in range(0, len(pdf), DOCS):

@@ -46,7 +46,7 @@ class Learning:
     terms: int = 400  # lexicon size
     innocent: int = 5_000  # innocent forms remembered
     min_docs: int = 3
-    min_share: float = 0.01  # of the toxic sample
+    min_share: float = 0.03  # of the toxic sample; below, groups of copies look like terms
     min_log_odds: float = 2.3
     min_evidence: float = 30.0  # log-likelihood ratio statistic of a term
     stems: tuple[int, int] = (3, 8)  # lengths of word beginnings
@@ -294,7 +294,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, learning: Learning, id_c
         .orderBy(F.xxhash64("__id"), "__id").limit(learning.rows)
     )
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "__id").select("text", "y")  # bounded by learning.rows
+    # bounded by learning.rows; equal texts count once
+    return texts.join(F.broadcast(chosen), "__id").groupBy("text").agg(F.max("y").alias("y"))
 
 
 def _doc_terms(text: str | None, stems: tuple[int, int]) -> set[str]:

@@ -54,26 +54,29 @@ class Splitter:
     """Pre-tokens of a text, in order, and whether each is a special token."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Regex, Tokenizer, pre_tokenizers
-
         letters, numbers = _class_of("L"), _class_of("N")
         self.words = re.compile(
             f"{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{_SPACES}{letters}{numbers}]+"
         ).findall
         self.odd = re.compile("[^\\x00-\\u024f]").search
-        self.library = Tokenizer.from_str(tokenizer_json)
+        self.json, self.library = tokenizer_json, None
         spec = json.loads(tokenizer_json)
+        self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split \
             if self.special else None
-        split = spec["pre_tokenizer"]["pretokenizers"][0]
-        self.library_split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=True)
+
+    def _by_library(self, text: str) -> list[str]:
+        if self.library is None:  # few texts need it, and it takes memory
+            from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+            self.library = (Tokenizer.from_str(self.json).normalizer,
+                            pre_tokenizers.Split(Regex(self.pattern), "removed", invert=True))
+        normalizer, split = self.library
+        return [w for w, _ in split.pre_tokenize_str(normalizer.normalize_str(text))]
 
     def _plain(self, text: str) -> list[str]:
-        if self.odd(text) is None:
-            return self.words(text.lower())
-        norm = self.library.normalizer.normalize_str(text)
-        return [w for w, _ in self.library_split.pre_tokenize_str(norm)]
+        return self.words(text.lower()) if self.odd(text) is None else self._by_library(text)
 
     def __call__(self, text: str | None) -> list[str]:
         """Words of ``text``; a special token keeps its exact string behind a NUL mark."""

@@ -40,7 +40,7 @@ GROUP_PIECES = 20_000
 ROUNDS = 4
 GROWTH = 4  # by which a group may be larger in each further round; the last bounds what a task holds
 # Distinct words whose ids a task remembers.
-WORD_MEMORY = 300_000
+WORD_MEMORY = 150_000
 # Documents that are split at a time.
 DOCS = 256
 

@@ -88,55 +88,103 @@ def linked_components(pairs: DataFrame, sets: DataFrame, num: int, den: int,
     return labels
 
 
-# Nodes of a block of a dense group, on average.
-BLOCK_NODES = 256
+# Nodes, and bytes of their sets, of a block of a dense region, on average.
+BLOCK_NODES = 2048
+BLOCK_BYTES = 4_000_000
+
+
+def _sizes(member: DataFrame, key: str) -> DataFrame:
+    """Per ``key``: its largest component and how many comparisons its other nodes take."""
+    per = member.groupBy(key, "component").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    total = per.groupBy(key).agg(
+        F.max(F.struct("n", "component", "bytes")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK_NODES, size / BLOCK_BYTES)).cast("int")
+    others = F.col("n") - F.col("most.n")
+    return total.select(
+        key, F.col("most.component").alias("main"), (F.col("n") * others).alias("cost"),
+        blocks(F.col("n"), F.col("bytes")).alias("blocks"),
+        blocks(others, F.col("bytes") - F.col("most.bytes")).alias("others")).filter("others > 0")
+
+
+def _block_links(x: list[tuple], y: list[tuple], num: int, den: int) -> list[tuple]:
+    """Links that join the components of ``x`` and ``y`` (node, component, set), by exact similarity."""
+    size = np.asarray([len(s) for _, _, s in y])
+    items, owner = np.concatenate([s for _, _, s in y]), np.repeat(np.arange(len(y)), size)
+    order = np.argsort(items, kind="stable")
+    items, owner = items[order], owner[order]
+    parent: dict = {}
+
+    def root(c):
+        while (p := parent.setdefault(c, c)) != c:
+            parent[c] = c = parent[p]
+        return c
+
+    out = []
+    for node, component, mine in x:
+        low, high = np.searchsorted(items, mine, "left"), np.searchsorted(items, mine, "right")
+        n = high - low
+        places = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+        both = np.bincount(owner[places], minlength=len(y))
+        for j in np.flatnonzero((both > 0) & (den * both >= num * (len(mine) + size - both))):
+            other, its, _ = y[j]
+            a, b = root(component), root(its)
+            if a != b:
+                parent[a] = b
+                out.append((min(node, other), max(node, other)))
+    return out
 
 
 def _links_across(regions: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links ``(a, b)`` between components within dense regions, one at least for every
     two components that any link joins.
 
-    Regions that share nodes make up a group. Its nodes outside the largest
-    component are compared with all of it, block by block; pairs are not
-    written out, only links are.
+    The nodes of a region outside its largest component are compared with all of
+    it, block by block; pairs are not written out, only links are. Regions that
+    share nodes are taken as one where that is less work.
     """
+    weight = sets.select("node", F.length("items").alias("bytes"))
     member = regions.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct()
     mixed = member.groupBy("region").agg(F.count_distinct("component").alias("n")).filter("n > 1").select("region")
-    member = stage(member.join(mixed, "region"), "link_members")
-    name = F.concat(F.lit("n"), F.hex(F.col("node")))
-    groups = connected_components(member.select(name.alias("u"), F.concat(F.lit("r"), F.hex("region")).alias("v")))
-    nodes = stage(
-        member.select("node", "component", name.alias("name")).distinct()
-        .join(groups.select(F.col("node").alias("name"), F.col("component").alias("group")), "name")
-        .join(sets, "node").drop("name"), "link_groups")
-    per = nodes.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
-    total = per.groupBy("group").agg(
-        F.max_by("component", "n").alias("main"),
-        F.ceil(F.sum("n") / BLOCK_NODES).cast("int").alias("blocks"),
-        F.ceil((F.sum("n") - F.max("n")) / BLOCK_NODES).cast("int").alias("others"))
-    nodes = nodes.join(total, "group")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
-    left = nodes.filter("component <> main").select(
-        "group", own(F.col("others"), 1).alias("lb"), spread(F.col("blocks")).alias("rb"), "node", "component", "items")
-    right = nodes.filter("others > 0").select(
-        F.col("group").alias("g2"), spread(F.col("others")).alias("lb2"), own(F.col("blocks"), 2).alias("rb2"),
-        *[F.col(c).alias(f"{c}2") for c in ("node", "component", "items")])
+    member = stage(
+        member.join(mixed, "region").join(weight, "node").select(
+            "node", "component", "bytes", F.concat(F.lit("n"), F.hex("node")).alias("name"),
+            F.concat(F.lit("r"), F.hex("region")).alias("region")), "link_members")
+    groups = connected_components(member.select(F.col("name").alias("u"), F.col("region").alias("v")))
+    grouped = stage(member.join(groups.select(F.col("node").alias("name"), F.col("component").alias("group")), "name")
+                    .drop("name"), "link_groups")
+    whole = grouped.select("group", "node", "component", "bytes").distinct()
+    apart = _sizes(grouped, "region").join(grouped.select("region", "group").distinct(), "region")
+    merged = _sizes(whole, "group").join(
+        apart.groupBy("group").agg(F.sum("cost").alias("apart")), "group").filter("cost <= apart").drop("apart")
+    sizes = merged.withColumnRenamed("group", "unit").unionByName(
+        apart.join(merged.select("group"), "group", "left_anti").drop("group").withColumnRenamed("region", "unit"))
+    nodes = whole.withColumnRenamed("group", "unit").unionByName(
+        grouped.select(F.col("region").alias("unit"), "node", "component", "bytes"))
+    nodes = nodes.join(sizes, "unit").withColumn("outside", F.col("component") != F.col("main"))
+    own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = nodes.filter("outside").select(
+        "unit", own("others", 1).alias("lb"), spread("blocks").alias("rb"), F.lit(True).alias("left"), "node", "component")
+    right = nodes.select(
+        "unit", spread("others").alias("lb"), own("blocks", 2).alias("rb"), F.lit(False).alias("left"), "node", "component")
     kind = sets.schema["node"].dataType.simpleString()
 
-    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        theirs = [(n, c, np.frombuffer(i, dtype=np.uint64)) for n, c, i in zip(y["node2"], y["component2"], y["items2"])]
-        out = []
-        for node, component, items in zip(x["node"], x["component"], x["items"]):
-            mine, done = np.frombuffer(items, dtype=np.uint64), {component}
-            for other, its, set_ in theirs:
-                small, large = sorted((len(mine), len(set_)))
-                if its not in done and den * small >= num * large:
-                    both, either = jaccard_counts(mine, set_)
-                    if den * both >= num * either:
-                        out.append((min(node, other), max(node, other)))
-                        done.add(its)
-        return pd.DataFrame(out, columns=["a", "b"], dtype=object if out else x["node"].dtype)
-
-    pairs = left.groupBy("group", "lb", "rb").cogroup(right.groupBy("g2", "lb2", "rb2"))
-    return pairs.applyInPandas(compare, f"a {kind}, b {kind}").distinct()
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, sides = None, ([], [])
+
+        def links() -> Iterator[pd.DataFrame]:
+            found = _block_links(sides[1], sides[0], num, den) if sides[0] and sides[1] else []
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
+
+        for pdf in batches(frames):
+            for u, lb, rb, side, node, component, items in zip(
+                    *(pdf[c] for c in ("unit", "lb", "rb", "left", "node", "component", "items"))):
+                if (u, lb, rb) != block:
+                    yield from links()
+                    block, sides = (u, lb, rb), ([], [])
+                sides[side].append((node, component, np.frombuffer(items, dtype=np.uint64)))
+        yield from links()
+
+    rows = left.unionByName(right).join(sets, "node").repartition("unit", "lb", "rb")
+    return rows.sortWithinPartitions("unit", "lb", "rb").mapInPandas(compare, f"a {kind}, b {kind}").distinct()

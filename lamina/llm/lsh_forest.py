@@ -7,11 +7,12 @@
    the first ``min_depth`` values form a region. Up to ``small`` nodes: all
    pairs are candidates. In denser regions a node's candidates are its nearest
    neighbours in the order, those with the longest common prefix -- so the
-   depth follows the density. Regions that stay dense at full depth are noted.
+   depth follows the density -- and the region is noted.
 3. Candidates whose signatures agree far less than a link requires are dropped
    (five standard deviations), the rest are confirmed on full sets, and links
    are joined to components. Noted regions that still span several components
-   are compared across these, all of them (see ``links``).
+   are compared across these, all of them, on full sets (see ``links``). So
+   every pair that shares a region is compared.
 
 At similarity s a pair meets in a tree with probability s ** min_depth, so with
 the defaults and s = 0.85 it meets nowhere once in 5e7 pairs.
@@ -99,7 +100,8 @@ class _Tree:
         self.dense = False  # that region already gave pairs
         self.key, self.run, self.first = None, 0, []
 
-    def _same_key(self, region: tuple, node: bytes, out: list[tuple]) -> None:
+    def _note(self, region: tuple, node: bytes, out: list[tuple]) -> None:
+        """Members of regions that give some of their pairs only."""
         if region != self.key:
             self.key, self.run, self.first = region, 0, []
         self.run += 1
@@ -122,7 +124,7 @@ class _Tree:
         rows = [*self.held, *zip(tree, key, node)]
         old, at = len(self.held), 0
         for t, k, n in rows[old:]:
-            self._same_key((t, k), n, out)
+            self._note((t, k[:d]), n, out)
         while at < len(rows):
             end = at + 1
             while end < len(rows) and rows[end][0] == rows[at][0] and rows[end][1][:d] == rows[at][1][:d]:
@@ -158,7 +160,7 @@ def _candidate_frame(rows: list[tuple]) -> Iterator[pd.DataFrame]:
 
 
 def forest_candidates(nodes: DataFrame, forest: Forest) -> DataFrame:
-    """``(a, b, region)``: candidate pairs, and the members (a) of regions dense at full depth."""
+    """``(a, b, region)``: candidate pairs, and the members (a) of dense regions."""
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree = _Tree(forest)

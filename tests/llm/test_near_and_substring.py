@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from lamina.llm import lsh_forest, substring
@@ -69,8 +70,37 @@ def test_near_duplicates_edges(edge_docs, no_docs):
     assert near_duplicates(no_docs, Forest()).count() == 0
 
 
+def templated(rng, families, length, changes=1, end=""):
+    """Two variants per family of one text: alike within a family, below a link across families."""
+    base, out = [f"word{rng.randrange(9999)}" for _ in range(length)], []
+    for n in range(families):
+        own = list(base)
+        for i in range(changes):
+            own[rng.randrange(5, length - 5)] = f"family{n}_{i}"
+        for side in "ab":
+            w = list(own)
+            w[rng.choice([i for i in range(5, length - 5) if w[i] == base[i]])] = f"{side}{n}"
+            out.append(" ".join(w) + end)
+    return out
+
+
+def brute_components(sets, num):
+    links = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2)
+             for both, either in [jaccard_counts(sets[a], sets[b])] if 100 * both >= num * either]
+    return {i: i for i in range(len(sets))} | union_find(links)
+
+
 # --- substring ------------------------------------------------------------
 
+def test_variants_of_one_paragraph_are_joined_as_by_brute_force(make_docs):
+    texts = templated(random.Random(2), 60, 150, changes=2, end=".")
+    hashes = WordHashes()
+    want = brute_components([text_set(t, hashes, 5) for t in texts], 80)
+    rows = substring.repeated_passages(make_docs(texts)).collect()
+    sizes = Counter(want.values())
+    assert len(sizes) > 30
+    assert {r["doc_id"]: r["keeper_doc_id"] for r in rows} == {i: c for i, c in want.items() if sizes[c] > 1}
+
 def test_planted_passages_are_found_and_clean_documents_left(make_docs):
     rng = random.Random(9)
     passages = [prose(rng, rng.randint(60, 90)) for _ in range(8)]

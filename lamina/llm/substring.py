@@ -1,23 +1,25 @@
 """Operator 1 -- substring de-duplication by MinHash banding of paragraphs.
 
 1. Paragraphs: every line is cut after sentences that a hash of their last two
-   words selects, so that a passage is cut alike wherever it stands. Paragraphs
-   of at least ``min_words`` words take part.
+   words selects, so that a passage is cut alike wherever it stands. Pieces of
+   under ``min_words`` words (short lines, short sentences) take as many with
+   the words that follow (at the text's end, that precede); these overlap.
 2. Equal paragraphs are one class (combined map-side). Classes are banded by
    MinHash values of their ``shingle``-word shingles, one row per band; classes
    that share a band value, and at least half of a short MinHash sketch, are
    candidates.
 3. Candidates are confirmed by exact Jaccard similarity on full shingle sets,
    and links are joined to components (see ``links``).
-4. Within a line, neighbouring paragraphs that repeat make up a passage. Passages
-   of at least ``min_passage`` words count; each component keeps its first
-   paragraph (smallest id, then place), the others are to be removed.
+4. Neighbouring paragraphs of a text that repeat make up a passage, over line
+   ends too. Passages of at least ``min_passage`` words count; each component
+   keeps its first paragraph (smallest id, then place), the others are to be
+   removed, except where they overlap that first one.
 
 With three bands of one value, a pair of similarity s shares a band with
 probability 1 - (1 - s)^3 (0.992 at s = 0.8), and then four of the eight sketch
 bytes with 0.995. Equal paragraphs always meet.
 
-Null, empty and short texts have no paragraphs and stay as they are. Rows with
+Null, empty and short texts (under ``min_words`` words) have no paragraphs and stay as they are. Rows with
 the same id and place are one place: none of them is removed in favour of the
 other. Null ids take part and sort first. Other input columns are not read.
 An empty table gives an empty result.
@@ -77,7 +79,7 @@ class Cutter:
         self.rules, self.words = rules, _Words()
 
     def cut(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word hashes, and each paragraph's first word, end word and line."""
+        """Word hashes, and each paragraph's place, first word and end word."""
         none = np.empty(0, dtype=np.int64)
         if not text:
             return none.astype(np.uint64), none, none, none
@@ -93,12 +95,22 @@ class Cutter:
         ends[line_ends[per_line > 0] - 1] = True
         stop = np.flatnonzero(ends) + 1
         start = np.concatenate([[0], stop[:-1]])
-        return h, start, stop, np.searchsorted(line_ends, start, side="right")
+        # a short piece goes on to min_words, no further: so no paragraph is similar to one that it overlaps
+        least = self.rules.min_words
+        end = np.maximum(stop, start + least)
+        whole = np.flatnonzero(end <= n)
+        first, end = start[whole], end[whole]
+        if not len(end) or end[-1] < n:
+            whole, first, end = np.append(whole, len(stop) - 1), np.append(first, n - least), np.append(end, n)
+        return h, whole, first, end
 
     def classes(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """One order-sensitive 64-bit hash per paragraph."""
-        place = (np.arange(len(h)) - np.repeat(start, stop - start)).astype(np.uint64)
-        return mix64(np.add.reduceat(mix64(h + mix64(place + _SHIFT)), start)).view(np.int64)
+        size = stop - start
+        at = np.cumsum(size) - size  # paragraphs may overlap
+        place = np.arange(size.sum()) - np.repeat(at, size)
+        words = h[place + np.repeat(start, size)]
+        return mix64(np.add.reduceat(mix64(words + mix64(place.astype(np.uint64) + _SHIFT)), at)).view(np.int64)
 
     def minhashes(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Per band, the smallest shingle hash within each paragraph; and a sketch
@@ -107,12 +119,11 @@ class Cutter:
         acc = np.zeros(n, dtype=np.uint64)
         for j in range(k):
             acc[: n - j] = (acc[: n - j] ^ h[j:]) * _MULT[j]
-        over = np.arange(n) + k > np.repeat(stop, stop - start)  # the shingle leaves its paragraph
+        within = np.column_stack([start, stop - k + 1]).ravel()  # whole shingles; every second range counts
         bands, sketch = [], np.zeros((len(start), SKETCH), dtype=np.uint8)
         for i in range(SKETCH):
             v = mix64(acc + np.uint64((i + 1) * int(_SHIFT) % (1 << 64)))
-            v[over] = np.iinfo(np.uint64).max
-            low = np.minimum.reduceat(v, start)
+            low = np.minimum.reduceat(v, within)[::2]
             sketch[:, i] = mix64(low).astype(np.uint8)
             if i < self.rules.bands:
                 bands.append(low.view(np.int64))
@@ -125,20 +136,19 @@ _MULT = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 
 
 def paragraphs(docs: DataFrame, rules: Paragraphs, id_col: str, text_col: str) -> DataFrame:
-    """``(id, text_hash, ord, line, start_word, n_words, class, band_0 .., sketch)`` of paragraphs that take part."""
-    names = ["ord", "line", "start_word", "n_words", "class", *(f"band_{i}" for i in range(rules.bands)), "sketch"]
+    """``(id, text_hash, ord, start_word, n_words, class, band_0 .., sketch)`` of all paragraphs."""
+    names = ["ord", "start_word", "n_words", "class", *(f"band_{i}" for i in range(rules.bands)), "sketch"]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter(rules)
         for pdf in batches(frames):
             parts = []
             for doc, key, text in zip(pdf["id"], pdf["text_hash"], pdf["text"]):
-                h, start, stop, line = cutter.cut(text)
-                long = np.flatnonzero(stop - start >= rules.min_words)
-                if len(long):
+                h, place, start, stop = cutter.cut(text)
+                if len(h):
                     bands, sketch = cutter.minhashes(h, start, stop)
-                    parts.append((doc, key, len(long), long, line[long], start[long], (stop - start)[long],
-                                  cutter.classes(h, start, stop)[long], *[b[long] for b in bands], sketch[long]))
+                    parts.append((doc, key, len(place), place, start, stop - start, cutter.classes(h, start, stop),
+                                  *bands, sketch))
             if parts:
                 doc, key, count, *cols = zip(*parts)
                 yield pd.DataFrame({
@@ -148,7 +158,7 @@ def paragraphs(docs: DataFrame, rules: Paragraphs, id_col: str, text_col: str) -
                 })
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    kinds = [f"{n} int" for n in names[:4]] + [f"{n} long" for n in names[4:]]
+    kinds = [f"{n} int" for n in names[:3]] + [f"{n} long" for n in names[3:]]
     return docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")
     ).mapInPandas(cut, f"id {id_type}, text_hash long, " + ", ".join(kinds))
@@ -203,7 +213,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, rules: Paragraphs, id_col: st
         for pdf in batches(frames):
             out = []
             for text, nodes in zip(pdf["text"], pdf["nodes"]):
-                h, start, stop, _ = cutter.cut(text)
+                h, _, start, stop = cutter.cut(text)
                 if len(h):
                     cls, want = cutter.classes(h, start, stop), np.asarray(nodes, dtype=np.int64)
                     for i in np.flatnonzero(np.isin(cls, want)):
@@ -221,7 +231,8 @@ def repeated_passages(docs: DataFrame, rules: Paragraphs = Paragraphs(), id_col:
     ``(id_col, text_hash, start_word, n_words, passage_words, component_id, keeper_<id_col>, removed)``.
     """
     units = stage(paragraphs(docs, rules, id_col, text_col), "sub_units")
-    first = F.min(F.struct("id", "ord")).alias("keeper")
+    end = F.col("start_word") + F.col("n_words")
+    first = F.min(F.struct("id", "ord", end.alias("end"))).alias("keeper")
     classes = units.groupBy(F.col("class").alias("node")).agg(first, F.count(F.lit(1)).alias("n"))
     found = stage(band_candidates(units, rules).distinct(), "sub_candidates")
     pairs = found.filter("b is not null").groupBy("a", "b").agg(F.lit(1).alias("score"))
@@ -240,15 +251,18 @@ def repeated_passages(docs: DataFrame, rules: Paragraphs = Paragraphs(), id_col:
     member = stage(grouped.join(keepers.withColumnRenamed("keeper", "first"), "component_id").select(
         F.col("node").alias("class"), "component_id", "first"), "sub_members")
     hits = units.join(member, "class")
-    line = Window.partitionBy("id", "text_hash", "line").orderBy("ord")
-    # dropped short paragraphs may stand between two that repeat: a gap of one is bridged
-    gap = F.coalesce((F.col("ord") - F.lag("ord").over(line) > 2).cast("int"), F.lit(1))
-    passages = hits.withColumn("run", F.sum(gap).over(line)).withColumn(
-        "passage_words", F.sum("n_words").over(Window.partitionBy("id", "text_hash", "line", "run")))
+    text = Window.partitionBy("id", "text_hash").orderBy("ord", "start_word")
+    # one piece that does not repeat may stand between two that do: a gap of one is bridged
+    gap = F.coalesce((F.col("ord") - F.lag("ord").over(text) > 2).cast("int"), F.lit(1))
+    done = F.coalesce(F.max(end).over(text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fresh = F.greatest(F.lit(0), end - F.greatest("start_word", done))  # words that no paragraph before holds
+    passages = hits.withColumn("run", F.sum(gap).over(text)).withColumn("fresh", fresh).withColumn(
+        "passage_words", F.sum("fresh").over(Window.partitionBy("id", "text_hash", "run")))
+    same = F.col("id").eqNullSafe(F.col("first.id"))
     return passages.filter(F.col("passage_words") >= rules.min_passage).select(
         F.col("id").alias(id_col), "text_hash", "start_word", "n_words", F.col("passage_words").cast("long"), "component_id",
         F.col("first.id").alias(f"keeper_{id_col}"),
-        (~F.struct("id", "ord").eqNullSafe(F.col("first"))).alias("removed"),
+        (~(same & ((F.col("ord") == F.col("first.ord")) | (F.col("start_word") < F.col("first.end"))))).alias("removed"),
     )
 
 

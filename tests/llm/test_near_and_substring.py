@@ -7,7 +7,7 @@ from lamina.llm import lsh_forest, substring
 from lamina.llm.common import WordHashes, jaccard_counts
 from lamina.llm.lsh_forest import Forest, _Tree, near_duplicates, text_set
 
-from .conftest import prose
+from .conftest import prose, words
 from .test_links import union_find
 
 
@@ -123,6 +123,30 @@ def test_planted_passages_are_found_and_clean_documents_left(make_docs):
     assert all(len(left[n]) < len(texts[n]) - 100 for n in planted if n // 5 >= 8)
 
 
+@pytest.mark.parametrize("length", [5, 12])
+def test_hard_wrapped_passages_are_found(make_docs, length):
+    """60 words in lines of ``length`` words, between lines that do not repeat."""
+    rng = random.Random(length)
+    lines = ["\n".join(" ".join(words(rng, length, "p")) for _ in range(60 // length)) for _ in range(4)]
+    own = lambda: "\n".join(" ".join(words(rng, length)) for _ in range(12))
+    texts = [own() + "\n" + lines[n % 4] + "\n" + own() for n in range(12)] + [own() for _ in range(12)]
+    docs = make_docs(texts)
+    found = substring.repeated_passages(docs)
+    rows = found.collect()
+    assert {r["doc_id"] for r in rows} == set(range(12))
+    assert {r["doc_id"] for r in rows if r["removed"]} == set(range(4, 12))
+    left = {r["doc_id"]: r["text"] for r in substring.remove_passages(docs, found).collect()}
+    for n, text in enumerate(texts):
+        cut = len(text.split()) - len(left[n].split())
+        assert (60 - 2 * length <= cut <= 60 if 4 <= n < 12 else cut == 0), (n, cut)
+
+
+def test_a_repeated_short_line_keeps_its_first_paragraph(make_docs):
+    docs = make_docs(["\n".join(["ha ha."] * 20), "an other text of eight or more words here"])
+    left = {r["doc_id"]: r["text"] for r in substring.remove_passages(docs, substring.repeated_passages(docs)).collect()}
+    assert len(left[0].split()) >= 8 and left[1].startswith("an other")
+
+
 def test_near_equal_paragraphs_are_joined(make_docs):
     rng = random.Random(2)
     line = " ".join(f"word{rng.randrange(9999)}" for _ in range(80)) + "."  # one paragraph without inner cuts

@@ -90,6 +90,24 @@ def brute_components(sets, num):
     return {i: i for i in range(len(sets))} | union_find(links)
 
 
+@pytest.mark.parametrize("branches", [2, 3, 6])
+def test_pairs_that_share_a_region_are_given_or_noted(branches):
+    forest = Forest()
+    rng = random.Random(branches)
+    rows = sorted((0, bytes([7] * 3 + [rng.randrange(branches) for _ in range(5)]), n) for n in range(300))
+    tree, out = _Tree(forest), []
+    for at in range(0, len(rows), 70):
+        out += tree.add(*map(list, zip(*rows[at : at + 70])))
+    out += tree.close()
+    given, noted = {(a, b) for a, b, region in out if region is None}, {}
+    for node, _, region in out:
+        if region is not None:
+            noted.setdefault(node, set()).add(region)
+    for (_, k, x), (_, l, y) in itertools.combinations(rows, 2):
+        if k[: forest.min_depth] == l[: forest.min_depth]:
+            assert (min(x, y), max(x, y)) in given or noted.get(x, set()) & noted.get(y, set())
+
+
 # --- substring ------------------------------------------------------------
 
 def test_variants_of_one_paragraph_are_joined_as_by_brute_force(make_docs):

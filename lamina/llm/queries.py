@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lamina.llm.bpe import op9_bpe
+from lamina.llm.interactions import OP12_SQL, op12_filter_diagrams
 from lamina.llm.lsh_forest import OP3_SQL, op3_lsh_forest
 from lamina.llm.packing import op5_best_fit_packing
 from lamina.llm.pii import op6_boosted_pii
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_warc_segments": op8_warc_segments,
     "op9_bpe": op9_bpe,
     "op10_hilbert_sharding": op10_hilbert_sharding,
+    "op12_filter_diagrams": op12_filter_diagrams,
 }
 ORACLE_SQL = {
     "op2_line_cleaning": OP2_SQL,
     "op3_lsh_forest": OP3_SQL,
     "op7_branch_and_bound": OP7_SQL,
     "op8_warc_segments": OP8_SQL,
+    "op12_filter_diagrams": OP12_SQL,
 }

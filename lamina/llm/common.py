@@ -85,6 +85,26 @@ def text_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+# --- joins with hot keys --------------------------------------------------
+
+def join_on_hot_key(rows: DataFrame, totals: DataFrame, keys: list[str], weight: str, null_safe: bool = False) -> DataFrame:
+    """``rows`` joined with one row per key of ``totals``, whose ``weight`` is (at least) its number of rows.
+
+    Keys of more than an eighth of a shuffle partition's share of the rows are
+    broadcast: with weights that add up to the rows there are no more than eight
+    per partition. What is left has no hot key and is joined by a plain shuffle.
+    """
+    spark = rows.sparkSession
+    total = totals.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col(weight) > F.lit(total / (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    at = totals.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in totals.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) if null_safe else F.col(k) == F.col(f"__{k}") for k in keys]
+    hot = F.broadcast(at.filter(heavy))
+    names = [f"__{k}" for k in keys]
+    rest = rows.join(F.broadcast(at.filter(heavy).select(*names)), same, "left_anti")
+    return rows.join(hot, same).drop(*names).unionByName(rest.join(at.filter(~heavy), same).drop(*names))
+
+
 # --- connected components -------------------------------------------------
 
 # Links that one task contracts at a time.

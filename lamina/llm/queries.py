@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lamina.llm.bpe import op9_bpe
 from lamina.llm.interactions import OP12_SQL, op12_filter_diagrams
+from lamina.llm.line_index import OP13_SQL, op13_cuckoo_lines
 from lamina.llm.lsh_forest import OP3_SQL, op3_lsh_forest
 from lamina.llm.packing import op5_best_fit_packing
 from lamina.llm.pii import op6_boosted_pii
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_hilbert_sharding": op10_hilbert_sharding,
     "op12_filter_diagrams": op12_filter_diagrams,
+    "op13_cuckoo_lines": op13_cuckoo_lines,
 }
 ORACLE_SQL = {
     "op2_line_cleaning": OP2_SQL,
@@ -33,4 +35,5 @@ ORACLE_SQL = {
     "op7_branch_and_bound": OP7_SQL,
     "op8_warc_segments": OP8_SQL,
     "op12_filter_diagrams": OP12_SQL,
+    "op13_cuckoo_lines": OP13_SQL,
 }

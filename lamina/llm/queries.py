@@ -13,6 +13,7 @@ from lamina.llm.sharding import op10_hilbert_sharding
 from lamina.llm.substring import op1_paragraph_minhash
 from lamina.llm.topk import OP7_SQL, op7_branch_and_bound
 from lamina.llm.toxicity import op4_toxicity
+from lamina.llm.vector_codes import OP11_SQL, op11_trie_codes
 from lamina.llm.warc import OP8_SQL, op8_warc_segments
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_warc_segments": op8_warc_segments,
     "op9_bpe": op9_bpe,
     "op10_hilbert_sharding": op10_hilbert_sharding,
+    "op11_trie_codes": op11_trie_codes,
     "op12_filter_diagrams": op12_filter_diagrams,
     "op13_cuckoo_lines": op13_cuckoo_lines,
 }
@@ -34,6 +36,7 @@ ORACLE_SQL = {
     "op3_lsh_forest": OP3_SQL,
     "op7_branch_and_bound": OP7_SQL,
     "op8_warc_segments": OP8_SQL,
+    "op11_trie_codes": OP11_SQL,
     "op12_filter_diagrams": OP12_SQL,
     "op13_cuckoo_lines": OP13_SQL,
 }

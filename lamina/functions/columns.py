@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lamina.functions.exact import Measure
+
 ColumnOrName = Column | str
 
 
@@ -146,22 +148,24 @@ def round_half_up(c: ColumnOrName, digits: int) -> Column:
     return F.round(_c(c), digits).cast("double")
 
 
-def exact_sum(c: ColumnOrName) -> Column:
-    """Sum as DECIMAL(38,6): independent of summation order, so it rounds alike on
-    every run. Values are taken to six decimals; one of 1e22 or more counts as NULL."""
-    return F.sum(_c(c).try_cast("decimal(28,6)"))
+def exact_sum(c: ColumnOrName) -> Measure:
+    """Exact sum of a number column, rounded once to a double (for ``kpi``; see ``functions.exact``)."""
+    return Measure("sum", _c(c))
+
+
+def exact_avg(c: ColumnOrName) -> Measure:
+    """Exact sum over the count of values, rounded once to a double (for ``kpi``)."""
+    return Measure("avg", _c(c))
 
 
-def exact_avg(c: ColumnOrName) -> Column:
-    """Average from the exact sum and the count, to sixteen decimals (enough to
-    round to six or fewer as the exact quotient would, up to 5e9 rows a group)."""
-    value = _c(c).try_cast("decimal(28,6)")
-    return F.sum(value).try_cast("decimal(28,6)") / F.count(value).cast("decimal(15,0)")
+def whole_sum(c: ColumnOrName) -> Measure:
+    """Sum of whole amounts as BIGINT; NULL when the sum is no BIGINT (for ``kpi``)."""
+    return Measure("whole", _c(c))
 
 
-def whole_sum(c: ColumnOrName) -> Column:
-    """Sum of whole amounts as BIGINT; NULL when the sum is no BIGINT."""
-    return F.sum(_c(c).cast("decimal(20,0)")).try_cast("bigint")
+def row_count() -> Measure:
+    """Number of rows of the group (for ``kpi``)."""
+    return Measure("rows", None)
 
 
 def ratio(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.functions.exact import Measure, exact_measures
+
 log = logging.getLogger(__name__)
 
 ColumnOrName = Column | str
@@ -65,19 +67,33 @@ def enrich_left(
 def kpi(
     df: DataFrame,
     keys: Sequence[str],
-    measures: Sequence[Column],
+    measures: Sequence[Column | Measure],
     min_rows: int | None = None,
     count_col: str | None = None,
 ) -> DataFrame:
-    """Group by ``keys`` and compute ``measures`` (partial + final hash aggregate).
+    """Group by ``keys`` and compute ``measures``, all aggregated map-side.
 
+    A ``Measure`` (``columns.exact_sum`` and its like) is exact and computed with
+    the others of its kind in one pass. A plain aggregate ``Column`` is computed
+    by a group-by of its own, joined on the keys where there are both.
     ``min_rows`` keeps only groups with at least that many rows (HAVING); it
-    needs ``count_col``, the alias of a ``count(*)`` among ``measures``.
+    needs ``count_col``, the alias of a row count among ``measures``.
     """
-    out = df.groupBy(*keys).agg(*measures)
+    exact = [m for m in measures if isinstance(m, Measure)]
+    plain = [m for m in measures if not isinstance(m, Measure)]
+    if not exact:
+        out = df.groupBy(*keys).agg(*plain)
+    else:
+        out = exact_measures(df, list(keys), exact)
+    if exact and plain:
+        others = df.groupBy(*keys).agg(*plain)
+        names = [c for c in others.columns if c not in keys]
+        others = others.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *names)
+        same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+        out = out.join(others, same).select(*keys, *[m.name for m in exact], *names)
     if min_rows is not None:
         if not count_col:
-            raise ValueError("min_rows needs count_col, the alias of a count(*) measure")
+            raise ValueError("min_rows needs count_col, the alias of a row count among the measures")
         out = out.filter(F.col(count_col) >= min_rows)
     return out
 

@@ -2,7 +2,7 @@
 
 Written from the operator semantics, not generated from the Spark plans. The
 driver's tables are pre-registered as views. Rounding is written another way
-than in the library: of the value's decimal text, or in whole millionths.
+than in the library: of the value's decimal text; sums are whole numbers.
 """
 
 from __future__ import annotations
@@ -15,22 +15,36 @@ def R(expr: str, digits: int) -> str:
     return f"cast(round(cast(cast({expr} as varchar) as decimal(38,16)), {digits}) as double)"
 
 
-def _millionths(expr: str) -> str:
-    return f"sum(cast(cast({expr} as decimal(28,6)) * 1000000 as hugeint))"
+# Values are summed as whole numbers of 2^-64 (every bit of magnitudes from 2^-12 on), or of another unit.
+BITS = 64
 
 
-def _halves(total: str, parts: str, digits: int) -> str:
-    """total / parts (in millionths) rounded HALF_UP in whole numbers."""
-    size = f"(2 * abs({total}) * {10**digits} + 1000000 * {parts}) // (2000000 * {parts})"
-    return f"cast(sign({total}) * ({size}) as double) / {10**digits}"
+def _nearest(total: str, parts: str, bits: int = BITS) -> str:
+    """The double nearest to total / parts (total in units of 2^-bits), from whole numbers only:
+    a quotient of 60 bits whose last bit says whether anything was left over."""
+    m = f"(cast(floor(log2(greatest(cast(abs({total}) as double) / {parts}, 1e-9))) as int) - 60)"
+    up, down = f"cast(pow(2, greatest(0, -{m})) as hugeint)", f"cast(pow(2, greatest(0, {m})) as hugeint)"
+    q = f"((abs({total}) * {up}) // ({parts} * {down}))"
+    odd = f"(case when (abs({total}) * {up}) % ({parts} * {down}) > 0 and {q} % 2 = 0 then 1 else 0 end)"
+    return (f"(case when {total} = 0 then 0.0::double else "
+            f"sign({total}) * cast(cast({q} + {odd} as bigint) as double) * pow(2.0, {m} - {bits}) end)")
+
+
+def _total(expr: str, bits: int = BITS) -> str:
+    return f"sum(cast(cast({expr} as double) * {2.0 ** bits!r} as hugeint))"
+
+
+def _sum_avg(expr: str, name: str, bits: int) -> str:
+    total, one, n = _total(expr, bits), "cast(1 as hugeint)", f"cast(count({expr}) as hugeint)"
+    return f"{_nearest(total, one, bits)} as {name}_sum, {_nearest(total, n, bits)} as {name}_avg"
 
 
 def AVG(expr: str, digits: int) -> str:
-    return _halves(_millionths(expr), f"cast(nullif(count({expr}), 0) as hugeint)", digits)
+    return R(_nearest(_total(expr), f"cast(nullif(count({expr}), 0) as hugeint)"), digits)
 
 
 def SUM(expr: str, digits: int) -> str:
-    return _halves(_millionths(expr), "cast(1 as hugeint)", digits)
+    return R(_nearest(_total(expr), "cast(1 as hugeint)"), digits)
 
 
 def DIGITS(expr: str) -> str:
@@ -261,6 +275,14 @@ from orders group by 1, 2""",
 select user_id, count(*) as total_events, {AVG('value', 2)} as avg_value,
   count(distinct event_type) as event_types
 from events group by user_id having count(*) >= 60""",
+    "kpi_mixed": f"""
+select k, count(*) as total_rows, {R('any_value(edge)', 2)} as edge_avg, {_sum_avg('mixed', 'mixed', 0)},
+  {_sum_avg('tiny', 'tiny', 100)}, isnan(sum(tax)) as tax_is_nan
+from (select cast(l_orderkey % 8 as int) as k, cast([{', '.join(EDGES)}][l_orderkey % 8 + 1] as double) as edge,
+        case when l_linenumber = 1 then 1e23 else l_quantity end as mixed, l_discount * 4.9e-7 as tiny,
+        case when l_orderkey % 8 = 3 and l_linenumber = 2 then 'nan'::double else l_tax end as tax
+      from lineitem) t
+group by k""",
     "dedupe_first": f"""
 select * from lineitem
 qualify row_number() over (partition by l_orderkey, l_linenumber

@@ -279,12 +279,11 @@ def enrich_broadcast(spark, sf_dir):
 def kpi_one_key(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return kpi(li, ["l_returnflag"], [
-        F.count(F.lit(1)).alias("total_rows"),
-        C.round_half_up(C.exact_avg("l_quantity"), 2).alias("avg_qty"),
-        C.round_half_up(C.exact_sum("l_quantity"), 2).alias("sum_qty"),
-        C.round_half_up(C.exact_avg("l_extendedprice"), 0).alias("avg_price"),
-        C.round_half_up(C.exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2)
-        .alias("sum_disc_price"),
+        C.row_count().alias("total_rows"),
+        C.exact_avg("l_quantity").rounded(2).alias("avg_qty"),
+        C.exact_sum("l_quantity").rounded(2).alias("sum_qty"),
+        C.exact_avg("l_extendedprice").rounded(0).alias("avg_price"),
+        C.exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).rounded(2).alias("sum_disc_price"),
     ])
 
 
@@ -293,21 +292,37 @@ def kpi_two_keys(spark, sf_dir):
     year = F.year("o_orderdate")
     o = orders.select(year.alias("order_year"), C.decade(year).alias("order_decade"), "o_totalprice")
     return kpi(o, ["order_year", "order_decade"], [
-        F.count(F.lit(1)).alias("total_orders"),
-        C.round_half_up(C.exact_avg("o_totalprice"), 2).alias("avg_price"),
-        C.round_half_up(C.exact_sum("o_totalprice"), 2).alias("sum_price"),
+        C.row_count().alias("total_orders"),
+        C.exact_avg("o_totalprice").rounded(2).alias("avg_price"),
+        C.exact_sum("o_totalprice").rounded(2).alias("sum_price"),
     ])
 
 
 def kpi_min_rows(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return kpi(ev, ["user_id"], [
-        F.count(F.lit(1)).alias("total_events"),
-        C.round_half_up(C.exact_avg("value"), 2).alias("avg_value"),
+        C.row_count().alias("total_events"),
+        C.exact_avg("value").rounded(2).alias("avg_value"),
         F.count_distinct("event_type").alias("event_types"),
     ], min_rows=60, count_col="total_events")
 
 
+def kpi_mixed(spark, sf_dir):
+    """Sums and averages over magnitudes that lose digits when added as doubles, and over NaN."""
+    k = (F.col("l_orderkey") % 8).cast("int")
+    edges = F.array(*[F.lit(v) for v in ROUNDING_EDGES])
+    li = table(spark, sf_dir, "lineitem").select(
+        k.alias("k"), F.get(edges, k).alias("edge"), (F.col("l_discount") * 4.9e-7).alias("tiny"),
+        F.when(F.col("l_linenumber") == 1, 1e23).otherwise(F.col("l_quantity")).alias("mixed"),
+        F.when((k == 3) & (F.col("l_linenumber") == 2), float("nan")).otherwise(F.col("l_tax")).alias("tax"))
+    out = kpi(li, ["k"], [
+        C.row_count().alias("total_rows"), C.exact_avg("edge").rounded(2).alias("edge_avg"),
+        C.exact_sum("mixed").alias("mixed_sum"), C.exact_avg("mixed").alias("mixed_avg"),
+        C.exact_sum("tiny").alias("tiny_sum"), C.exact_avg("tiny").alias("tiny_avg"), C.exact_sum("tax").alias("tax"),
+    ])
+    return out.withColumn("tax_is_nan", F.isnan("tax")).drop("tax")
+
+
 # --- windows --------------------------------------------------------------
 
 LINEITEM_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -321,16 +336,16 @@ def dedupe_first_q(spark, sf_dir):
 
 def global_dense_rank(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    per_supp = li.groupBy("l_suppkey").agg(C.round_half_up(C.exact_avg("l_discount"), 4).alias("avg_disc"))
+    per_supp = kpi(li, ["l_suppkey"], [C.exact_avg("l_discount").rounded(4).alias("avg_disc")])
     return global_rank(per_supp, [desc("avg_disc")], "dense_rank", "disc_rank")
 
 
 def global_row_number(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    per_part = li.groupBy("l_partkey").agg(
-        C.round_half_up(C.exact_avg("l_discount"), 4).alias("avg_disc"),
-        C.round_half_up(C.exact_sum("l_quantity"), 2).alias("total_qty"),
-    )
+    per_part = kpi(li, ["l_partkey"], [
+        C.exact_avg("l_discount").rounded(4).alias("avg_disc"),
+        C.exact_sum("l_quantity").rounded(2).alias("total_qty"),
+    ])
     order = [desc("avg_disc"), desc("total_qty"), asc("l_partkey")]
     return global_rank(per_part, order, "row_number", "part_rank")
 
@@ -518,6 +533,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_one_key": kpi_one_key,
     "kpi_two_keys": kpi_two_keys,
     "kpi_min_rows": kpi_min_rows,
+    "kpi_mixed": kpi_mixed,
     "dedupe_first": dedupe_first_q,
     "global_dense_rank": global_dense_rank,
     "global_row_number": global_row_number,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions import columns as C
+from lamina.operators.relational import kpi
 
 
 def one_col(spark, values, fn, typ="string"):
@@ -59,22 +60,13 @@ def test_round_half_up(spark, value, expected):
     assert one_col(spark, [value], lambda c: C.round_half_up(c, 2), "double") == [expected]
 
 
-def test_exact_sums_and_averages(spark):
-    df = spark.createDataFrame([(v,) for v in (2.4949996, None, 2.4949996, 1e22)], "x double")
-    row = df.select(C.round_half_up(C.exact_avg("x"), 2).alias("a"), C.exact_sum("x").alias("s")).first()
-    assert row["a"] == 2.5 and float(row["s"]) == 4.99  # six decimals each; 1e22 counts as unknown
-    thirds = spark.createDataFrame([(1.0,), (1.0,), (0.0,)], "x double")
-    assert thirds.select(C.round_half_up(C.exact_avg("x"), 4)).first()[0] == 0.6667
-    assert thirds.filter("x > 5").select(C.exact_avg("x")).first()[0] is None
-
-
 def test_overflow_gives_null(spark):
     assert one_col(spark, ["99999999h 5 min", "9" * 30 + "h 1 min", "1h 5 min"], C.parse_duration) == [None, None, 65]
     df = spark.createDataFrame([(99_999_999, 5), (2**62, 5), (2, 3)], "h bigint, m bigint")
     assert [r[0] for r in df.select(C.minutes("h", "m")).collect()] == [None, None, 123]
     big = spark.createDataFrame([(2**62,), (2**62,), (2**62,)], "v bigint")
-    assert big.select(C.whole_sum("v")).first()[0] is None
-    assert big.limit(1).select(C.whole_sum("v")).first()[0] == 2**62
+    assert kpi(big, [], [C.whole_sum("v").alias("s")]).first()[0] is None
+    assert kpi(big.limit(1), [], [C.whole_sum("v").alias("s")]).first()[0] == 2**62
 
 
 def test_list_separator_may_be_special(spark):

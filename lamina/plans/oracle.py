@@ -212,10 +212,10 @@ from (
   from orders) t""",
     "duration_minutes": f"""
 with {_raw_ctes()}
-select id, duracion_min, duracion_texto_min, duracion_min = duracion_texto_min as duracion_consistente
+select id, duracion_min, minutes_in_text, duracion_min = minutes_in_text as duracion_consistente
 from (
   select m.id, cast(m.runtime_hour * 60 + m.runtime_min as int) as duracion_min,
-    {DURATION('i.runtime')} as duracion_texto_min
+    {DURATION('i.runtime')} as minutes_in_text
   from raw_movies m left join raw_more_info i on m.id = i.film_id) t""",
     "first_item": "select p_partkey, "
     + FIRST("concat(' ', replace(p_name, ' ', ' , '), ' ')")
@@ -350,6 +350,14 @@ from lineitem""",
     "sink_replace": """
 select o_orderkey, o_custkey, case when o_orderkey % 2 = 0 then -o_totalprice else o_totalprice end as o_totalprice
 from orders""",
+    "publish_conflict": """
+select 5 as versions, 1 as writers, true as whole, 0 as foreign_rows, true as stale_refused,
+  count(*) as reader_rows, 0 as reader_writer, true as catalog_agrees from orders""",
+    "contract_drift": """
+select cast(o_orderkey as bigint) as o_orderkey, cast(o_custkey as bigint) as o_custkey, o_totalprice,
+  cast(null as varchar) as o_note, 'o_orderkey: bigint to int' as refused, true as unchanged from orders""",
+    "ordered_files": """
+select o_orderkey, o_totalprice, row_number() over (order by o_totalprice, o_orderkey) as place from orders""",
     "rounding": f"""
 select p_partkey, edge, v, {R('v', 2)} as r2, {R('-v', 1)} as r1,
   case when p_partkey % 8 > 0 then

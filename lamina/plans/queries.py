@@ -26,7 +26,11 @@ from lamina.plans import catalogue as cat
 from lamina.plans.fixtures import movies_with_null_ids, raw_tables
 from lamina.session import scratch_path
 from lamina.sources.csv import read_csv, with_audit
-from lamina.sources.tables import conform, list_tables, preview, read_layer, stage, table_name, write_layer
+from lamina.sources.tables import (
+    ContractDrift, conform, drop_layers, drop_table, ensure_tables, held_layer, list_tables, preview, read_layer,
+    read_ordered, stage, table_name, table_version, write_layer,
+)
+from lamina.sources.versions import PublishConflict
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,7 +87,14 @@ def sink_roundtrip(spark, sf_dir):
     ])
     name = f"default.lamina_nation_{uuid.uuid4().hex[:12]}"
     write_layer(conform(nation, schema), name)
-    return read_layer(spark, name)
+    return _taken(spark, name)
+
+
+def _taken(spark, name: str, read=read_layer) -> DataFrame:
+    """The rows of a table that only this query needs: staged, then the table is dropped."""
+    rows = stage(read(spark, name), "taken")
+    drop_table(spark, name)
+    return rows
 
 
 def sink_replace(spark, sf_dir):
@@ -101,7 +112,70 @@ def sink_replace(spark, sf_dir):
         write_layer(orders.filter("false"), name, gate=refuse)
     except Q.DataQualityError:
         pass
-    return read_layer(spark, name)
+    return _taken(spark, name)
+
+
+def publish_conflict(spark, sf_dir):
+    """Four writers replace a table at once, one more builds on a version that is gone,
+    and a reader keeps the version it began with throughout."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    name = f"default.lamina_race_{uuid.uuid4().hex[:12]}"
+    write_layer(orders.withColumn("writer", F.lit(0)), name)
+
+    def publish(writer: int) -> None:
+        # every second order: a mix of two versions would show in the count
+        write_layer(orders.filter(F.col("o_orderkey") % 2 == writer % 2).withColumn("writer", F.lit(writer)), name, keep_seconds=0.0)
+
+    with held_layer(spark, name) as first:
+        cat.run_concurrently({str(w): (lambda w=w: publish(w)) for w in range(1, 5)}, 4)
+        seen = first.agg(F.count(F.lit(1)).alias("n"), F.max("writer").alias("w")).first()
+    try:
+        write_layer(orders.withColumn("writer", F.lit(9)), name, base=1)
+        refused = False
+    except PublishConflict:
+        refused = True
+    now = read_layer(spark, name)
+    parity = now.agg(F.count_distinct("writer").alias("writers"), F.count(F.lit(1)).alias("n"),
+                     F.count_if(F.col("o_orderkey") % 2 != F.col("writer") % 2).alias("foreign"),
+                     F.max("writer").alias("w")).first()
+    whole = orders.filter(F.col("o_orderkey") % 2 == parity["w"] % 2).count()
+    catalog = spark.table(name).agg(F.max("writer")).first()[0]
+    rows = [(table_version(spark, name), int(parity["writers"]), parity["n"] == whole, int(parity["foreign"]), refused,
+             int(seen["n"]), int(seen["w"]), catalog == parity["w"])]
+    drop_table(spark, name)
+    return spark.createDataFrame(rows, "versions int, writers int, whole boolean, foreign_rows int, stale_refused boolean, "
+                                       "reader_rows bigint, reader_writer int, catalog_agrees boolean")
+
+
+def contract_drift(spark, sf_dir):
+    """A table of an older contract is migrated with its rows; a lossy change is refused before any write."""
+    old = T.StructType([T.StructField("o_custkey", T.IntegerType()), T.StructField("o_orderkey", T.IntegerType()),
+                        T.StructField("o_totalprice", T.DoubleType())])
+    new = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                        T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_note", T.StringType())])
+    lossy = T.StructType([T.StructField("o_orderkey", T.IntegerType()), *new.fields[1:]])
+    name = f"default.lamina_drift_{uuid.uuid4().hex[:12]}"
+    write_layer(conform(table(spark, sf_dir, "orders"), old), name)
+    ensure_tables(spark, {name: new})
+    before = table_version(spark, name)
+    try:
+        ensure_tables(spark, {name: lossy})
+        said = None
+    except ContractDrift as e:
+        said = str(e).split(": ", 1)[1]
+    same = table_version(spark, name) == before and spark.table(name).schema.simpleString() == new.simpleString()
+    return _taken(spark, name).withColumns({"refused": F.lit(said), "unchanged": F.lit(same)})
+
+
+def ordered_files(spark, sf_dir):
+    """Orders published by price, read back in order without a sort: each row's place."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    name = f"default.lamina_ordered_{uuid.uuid4().hex[:12]}"
+    write_layer(orders, name, order=["o_totalprice", "o_orderkey"])
+    # the id of a partition and the row's place in it, in the order that the reader gives
+    rows = stage(read_ordered(spark, name).withColumn("at", F.monotonically_increasing_id()), "ordered")
+    drop_table(spark, name)
+    return global_rank(rows, [asc("at")], "row_number", "place").drop("at")
 
 
 # --- projections and scalar functions ------------------------------------
@@ -159,12 +233,12 @@ def duration_minutes(spark, sf_dir):
         "id", C.minutes("runtime_hour", "runtime_min").alias("duracion_min")
     )
     info = raw["more_info"].select(
-        "film_id", C.parse_duration("runtime").alias("duracion_texto_min")
+        "film_id", C.parse_duration("runtime").alias("minutes_in_text")
     )
     joined = enrich_left(movies, info, on="id", dim_key="film_id")
     return joined.select(
-        "id", "duracion_min", "duracion_texto_min",
-        C.agrees("duracion_min", "duracion_texto_min").alias("duracion_consistente"),
+        "id", "duracion_min", "minutes_in_text",
+        C.agrees("duracion_min", "minutes_in_text").alias("duracion_consistente"),
     )
 
 
@@ -497,13 +571,20 @@ def _published(spark, sf_dir) -> str:
 def published_metrics(spark, sf_dir):
     """The run-metrics table: one row per published table."""
     prefix = _published(spark, sf_dir)
-    return read_layer(spark, f"{prefix}_ops.{cat.RUN_METRICS_TABLE}")
+    # a step that is recorded again replaces what it recorded before
+    golden = spark.table(f"{prefix}_ops.{cat.RUN_METRICS_TABLE}").filter("step = 'golden'").collect()
+    cat.record_run_metrics(spark, prefix, "golden", {r["table_name"]: {"row_count": r["row_count"]} for r in golden}, PUBLISH_TS)
+    rows = stage(spark.table(f"{prefix}_ops.{cat.RUN_METRICS_TABLE}"), "taken")
+    drop_layers(spark, prefix, "ops")
+    return rows
 
 
 def published_golden(spark, sf_dir):
     """The published genre KPIs and their run timestamp, read back from the catalog."""
     prefix = _published(spark, sf_dir)
-    return read_layer(spark, table_name(prefix, "golden", "kpi_genero"))
+    rows = stage(read_layer(spark, table_name(prefix, "golden", "kpi_genero")), "taken")
+    drop_layers(spark, prefix, "ops")
+    return rows
 
 
 def published_films(spark, sf_dir):
@@ -511,7 +592,8 @@ def published_films(spark, sf_dir):
     prefix = _published(spark, sf_dir)
     layers = len([d for d in spark.catalog.listDatabases(f"{prefix}_*") if not d.name.endswith("_ops")])
     n = sum(len(list_tables(spark, f"{prefix}_{layer}")) for layer in LAYERS)
-    top = read_layer(spark, table_name(prefix, "golden", "top_peliculas_genero"))
+    top = stage(read_layer(spark, table_name(prefix, "golden", "top_peliculas_genero")), "taken")
+    drop_layers(spark, prefix, "ops")
     return top.withColumns({"layers": F.lit(layers).cast("bigint"), "tables": F.lit(n).cast("bigint")})
 
 
@@ -554,6 +636,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "film_top_directors": film_top_directors,
     "film_top_films": film_top_films,
     "sink_replace": sink_replace,
+    "publish_conflict": publish_conflict,
+    "contract_drift": contract_drift,
+    "ordered_files": ordered_files,
     "rounding": rounding,
     "overflow_parsing": overflow_parsing,
     "quality_gates": quality_gates,

@@ -71,13 +71,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir appends a per-application uuid folder; use its parent
         return current.rstrip("/").rsplit("/", 1)[0]
-    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+    if not _one_machine(spark):
         raise NoSharedFolder(f"set spark.checkpoint.dir to a shared folder (master is {sc.master})")
     root = tempfile.mkdtemp(prefix="lamina-ckpt-")
     sc.setCheckpointDir(root)
     return root
 
 
+def warehouse_root(spark: SparkSession) -> str:
+    """The shared warehouse folder (``spark.sql.warehouse.dir``).
+
+    Left unset, Spark uses a folder below the driver's working folder. A local
+    master may do with that; on a cluster executors could not see it, so it raises.
+    """
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    default = f"{spark._jvm.java.lang.System.getProperty('user.dir')}/spark-warehouse"
+    if root.removeprefix("file:").replace("//", "/") == default and not _one_machine(spark):
+        raise NoSharedFolder(f"set spark.sql.warehouse.dir to a shared folder (master is {spark.sparkContext.master})")
+    return root
+
+
+def _one_machine(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 _RUN = "lamina.scratch.run"
 
 

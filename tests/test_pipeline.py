@@ -10,7 +10,7 @@ from lamina.operators.quality import DataQualityError
 from lamina.plans import catalogue as cat
 from lamina.plans.fixtures import raw_tables
 from lamina.plans.queries import table, write_test_csv
-from lamina.sources.tables import create_layers, read_layer, table_name, write_layer
+from lamina.sources.tables import create_layers, read_layer, read_ordered, table_name, write_layer
 
 RUN = dt.datetime(2024, 1, 2, 3, 4, 5)
 
@@ -81,7 +81,7 @@ def test_run_pipeline_records_metrics(spark, raw_paths):
     assert m.filter("table_name <> 'peliculas' and duplicates_removed is not null").count() == 0
 
 
-def test_a_run_leaves_no_scratch_and_two_versions(spark, raw_paths, tmp_path):
+def test_a_run_leaves_no_scratch_and_an_ordered_table(spark, raw_paths, tmp_path):
     from pathlib import Path
 
     from lamina.session import checkpoint_root
@@ -90,8 +90,9 @@ def test_a_run_leaves_no_scratch_and_two_versions(spark, raw_paths, tmp_path):
     for _ in range(3):
         cat.run_pipeline(spark, paths, "twice", RUN)
     assert not list(Path(checkpoint_root(spark).removeprefix("file:")).glob("lamina-run-*"))
-    root = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
-    assert len(list((root / "versions" / "twice_golden" / "kpi_genero").glob("v_*"))) == 2
+    years = [r["anio_estreno"] for r in read_ordered(spark, table_name("twice", "golden", "kpi_anual")).collect()]
+    assert years == sorted(years) and len(years) > 10
+    assert spark.table("twice_ops.run_metrics").count() == 10  # the same run three times over
 
 
 def test_failed_gate_leaves_the_old_table(spark, raw_paths):

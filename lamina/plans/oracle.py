@@ -183,6 +183,16 @@ ORACLE_SQL: dict[str, str] = {
 select case when c_custkey % 10 = 0 then null else c_custkey end as c_custkey,
   c_name, c_nationkey, c_acctbal, c_mktsegment
 from customer""",
+    "csv_records": """
+select doc_id, md5(nullif(text, '')) as text_md5, source, nullif(lang, '') as lang, n_chars from documents""",
+    "csv_rejects": """
+with c as (select *, c_custkey % 10 = 0 as bad, concat_ws(',', 'xx', c_name, cast(c_nationkey as varchar),
+    cast(c_acctbal as varchar), c_mktsegment) as raw from customer)
+select 'kept' as policy, 'accepted' as route, case when not bad then c_custkey end as c_custkey, c_name, c_acctbal,
+  cast(null as varchar) as raw_record from c
+union all select 'kept', 'rejected', null, c_name, c_acctbal, raw from c where bad
+union all select 'dropped', 'accepted', c_custkey, c_name, c_acctbal, null from c where not bad
+union all select 'dropped', 'rejected', null, c_name, c_acctbal, raw from c where bad""",
     "sink_roundtrip": "select n_nationkey, n_name, n_regionkey from nation",
     "clean_text": """
 select p_partkey, trim(concat('  ', p_name, ' ')) as name_clean,
@@ -402,6 +412,7 @@ counts as (
   union all select 'golden', 'top_peliculas_genero', cast(sum(least(n, 10)) as bigint)
     from (select count(*) as n from genre where votos >= 1000 group by genero))
 select timestamp '2024-05-06 07:08:09' as run_ts, step, table_name, n as row_count,
+  case when step = 'bronze' then cast(0 as bigint) end as malformed,
   case when table_name = 'peliculas' then (select count(*) from raw_movies) - n end as duplicates_removed,
   case when table_name = 'peliculas' then (select count(*) from silver where fecha_estreno is null) end as undated,
   case when table_name = 'peliculas' then (select count(*) from silver where not duracion_consistente) end

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,11 @@ from lamina.operators.relational import dedupe_first, enrich_left, explode_list,
 from lamina.plans import catalogue as cat
 from lamina.plans.fixtures import movies_with_null_ids, raw_tables
 from lamina.session import scratch_path
-from lamina.sources.csv import read_csv, with_audit
+from lamina.sources.csv import RAW_RECORD, ROUTE, read_csv, read_placed, routed, with_audit
+from lamina.sources.records import FILE, PLACE
 from lamina.sources.tables import (
     ContractDrift, conform, drop_layers, drop_table, ensure_tables, held_layer, list_tables, preview, read_layer,
-    read_ordered, stage, table_name, table_version, write_layer,
+    read_ordered, read_rejects, stage, table_name, table_version, write_layer,
 )
 from lamina.sources.versions import PublishConflict
 
@@ -44,6 +46,7 @@ def write_test_csv(df: DataFrame, name: str) -> str:
         df.write.option("header", "true")
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
+        .option("escape", '"')
         .csv(path)
     )
     return path
@@ -68,15 +71,42 @@ def csv_roundtrip(spark, sf_dir):
     return df.select(*CUSTOMER.fieldNames(), file_suffix().alias("source_ext"))
 
 
-def csv_permissive(spark, sf_dir):
+def _corrupted_csv(spark, sf_dir) -> str:
+    """Customers as CSV; every tenth has no number for a key."""
     cust = table(spark, sf_dir, "customer")
     corrupted = cust.select(
         F.when(F.col("c_custkey") % 10 == 0, F.lit("xx"))
         .otherwise(F.col("c_custkey").cast("string")).alias("c_custkey"),
         "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
     )
-    path = write_test_csv(corrupted, "customer_bad_csv")
-    return read_csv(spark, path, CUSTOMER)
+    return write_test_csv(corrupted, "customer_bad_csv")
+
+
+def csv_permissive(spark, sf_dir):
+    return read_csv(spark, _corrupted_csv(spark, sf_dir), CUSTOMER)
+
+
+def csv_records(spark, sf_dir):
+    """Documents through one CSV file: texts with newlines, quotes and delimiters, read by many tasks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    path = write_test_csv(docs.coalesce(1), "documents_csv")
+    return read_csv(spark, path, docs.schema, multiline=True).select(
+        "doc_id", F.md5("text").alias("text_md5"), "source", "lang", "n_chars")
+
+
+def csv_rejects(spark, sf_dir):
+    """Malformed records under both policies: what the table holds and what lies beside it."""
+    path = _corrupted_csv(spark, sf_dir)
+    out = []
+    for policy, malformed in (("kept", "keep"), ("dropped", "reject")):
+        name = f"default.lamina_rejects_{uuid.uuid4().hex[:12]}"
+        rows = routed(read_placed(spark, path, CUSTOMER), malformed)
+        write_layer(rows, name, route=(ROUTE, [RAW_RECORD, FILE, PLACE]))
+        parts = {"accepted": read_layer(spark, name).withColumn(RAW_RECORD, F.lit(None).cast("string")), "rejected": read_rejects(spark, name)}
+        out += [stage(df.select(F.lit(policy).alias("policy"), F.lit(r).alias("route"), "c_custkey", "c_name", "c_acctbal", RAW_RECORD), "taken")
+                for r, df in parts.items()]
+        drop_table(spark, name)
+    return reduce(DataFrame.unionByName, out)
 
 
 def sink_roundtrip(spark, sf_dir):
@@ -600,6 +630,8 @@ def published_films(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_permissive": csv_permissive,
+    "csv_records": csv_records,
+    "csv_rejects": csv_rejects,
     "sink_roundtrip": sink_roundtrip,
     "clean_text": clean_text,
     "parse_digits": parse_digits,

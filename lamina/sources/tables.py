@@ -43,6 +43,10 @@ def table_name(prefix: str, layer: str, table: str) -> str:
     return f"{prefix}_{layer}.{table}"
 
 
+# What a route column says.
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -64,6 +68,7 @@ def write_layer(
     order: Sequence[str] = (),
     keep_seconds: float = KEEP_SECONDS,
     watch: Callable[[DataFrame], DataFrame] | None = None,
+    route: tuple[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Full refresh: replace the rows of table ``name``, written once. Returns the new rows.
 
@@ -78,6 +83,10 @@ def write_layer(
     adds what the write is to observe, after the sort: a sort reads its input
     twice, so counts below it would double.
 
+    ``route`` names a column that says ``accepted`` or ``rejected``, and the
+    columns that only rejected rows need. One write puts both kinds into folders
+    of their own; the table is the accepted rows, ``read_rejects`` gives the others.
+
     The catalog's table is pointed at the newest version afterwards. Replaced
     versions stay ``keep_seconds``, and as long as a reader holds them.
     """
@@ -87,12 +96,23 @@ def write_layer(
     path = f"{log.root}/{folder}"
     rows = df.orderBy(*order) if order else df
     rows = watch(rows) if watch else rows
-    rows.write.mode("errorifexists").format(fmt).save(path)
-    written = spark.read.format(fmt).schema(df.schema).load(path)
+    writer = rows.write.mode("errorifexists").format(fmt)
+    shown, schema, aside = folder, df.schema, {}
+    if route:
+        column, extra = route
+        writer = writer.partitionBy(column)
+        shown, rejected = f"{folder}/{column}={ACCEPTED}", f"{folder}/{column}={REJECTED}"
+        schema = T.StructType([f for f in df.schema.fields if f.name not in (column, *extra)])
+        every = T.StructType([f for f in df.schema.fields if f.name != column])
+        aside = {"rejects": rejected, "rejects_schema": json.dumps(every.jsonValue())}
+    writer.save(path)
+    for part in {shown, *([aside["rejects"]] if aside else [])}:
+        log.ensure_folder(part)  # also where no row went there
+    written = spark.read.format(fmt).schema(schema).load(f"{log.root}/{shown}")
     if gate is not None:
         gate(written)
-    files = sorted(n for n in log._names(folder) if n.startswith("part-")) if order else ()
-    log.commit(Manifest(0, folder, fmt, json.dumps(written.schema.jsonValue()), 0.0, tuple(order), tuple(files)), base)
+    files = sorted(n for n in log._names(shown) if n.startswith("part-")) if order else ()
+    log.commit(Manifest(0, shown, fmt, json.dumps(written.schema.jsonValue()), 0.0, tuple(order), tuple(files), **aside), base)
     _point_catalog(spark, name, log)
     log.clean(keep_seconds)
     return written
@@ -133,6 +153,15 @@ def read_layer(spark: SparkSession, name: str) -> DataFrame:
     return log.scan(m) if m else spark.table(name)
 
 
+def read_rejects(spark: SparkSession, name: str) -> DataFrame:
+    """The rows that the newest version of a table did not accept (see ``write_layer``)."""
+    log = table_log(spark, name)
+    m = log.newest()
+    if m is None or not m.rejects:
+        raise ValueError(f"{name} was written without a reject path")
+    return spark.read.format(m.fmt).schema(T.StructType.fromJson(json.loads(m.rejects_schema))).load(f"{log.root}/{m.rejects}")
+
+
 @contextmanager
 def held_layer(spark: SparkSession, name: str, seconds: float = 6 * 3600.0) -> Iterator[DataFrame]:
     """The newest rows, kept from removal until the block ends, however often the table is replaced."""

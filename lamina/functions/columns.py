@@ -59,6 +59,21 @@ def parse_digits(c: ColumnOrName) -> Column:
     return F.when(digits != "", digits.try_cast("bigint"))
 
 
+# Fixed value: an amount once everything but digits, points and signs is gone.
+MONEY_SHAPE = r"^-?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+
+
+def parse_money(c: ColumnOrName) -> Column:
+    """Amount of a text with its sign and decimals, as DECIMAL(38,6): "-$1,250.50" -> -1250.5.
+
+    Unlike ``parse_digits`` nothing is guessed: a text that holds no single
+    number (two points, a sign inside) or one of over 32 whole digits is NULL;
+    decimals beyond the sixth are rounded.
+    """
+    plain = F.regexp_replace(_c(c), r"[^0-9.\-]", "")
+    return F.when(plain.rlike(MONEY_SHAPE), plain.try_cast("decimal(38,6)"))
+
+
 # Fixed value: shape a date text must have before it is parsed.
 ISO_DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -90,11 +105,16 @@ def parse_duration(c: ColumnOrName) -> Column:
 
 # --- buckets and calendar -------------------------------------------------
 
-def bucket(rules: Sequence[tuple[Column, str]], default: str) -> Column:
+def bucket(rules: Sequence[tuple[Column, str]], default: str, value: Column | None = None, null_label: str | None = None) -> Column:
     """First label whose predicate holds, else ``default``.
 
-    A NULL input fails every comparison and therefore takes ``default``.
+    A NULL input fails every comparison and therefore takes ``default``, unless
+    ``null_label`` names another label for a NULL ``value``.
     """
+    if null_label is not None:
+        if value is None:
+            raise ValueError("null_label needs the value that may be NULL")
+        rules = [(value.isNull(), null_label), *rules]
     pred, label = rules[0]
     out = F.when(pred, F.lit(label))
     for pred, label in rules[1:]:
@@ -107,10 +127,10 @@ SHORT_LT, MEDIUM_LE = 90, 150
 SHORT, MEDIUM, LONG = "Corta", "Media", "Larga"
 
 
-def duration_bucket(c: ColumnOrName) -> Column:
-    """< 90 Corta, <= 150 Media, otherwise (including NULL) Larga."""
+def duration_bucket(c: ColumnOrName, null_label: str | None = None) -> Column:
+    """< 90 Corta, <= 150 Media, otherwise (including NULL, without ``null_label``) Larga."""
     col = _c(c)
-    return bucket([(col < SHORT_LT, SHORT), (col <= MEDIUM_LE, MEDIUM)], LONG)
+    return bucket([(col < SHORT_LT, SHORT), (col <= MEDIUM_LE, MEDIUM)], LONG, col, null_label)
 
 
 # Score buckets (lower bounds) and their labels.
@@ -118,10 +138,10 @@ SCORE_BUCKETS = ((8, "Excelente"), (7, "Buena"), (5, "Regular"))
 SCORE_DEFAULT = "Baja"
 
 
-def score_bucket(c: ColumnOrName) -> Column:
-    """>= 8 Excelente, >= 7 Buena, >= 5 Regular, otherwise (including NULL) Baja."""
+def score_bucket(c: ColumnOrName, null_label: str | None = None) -> Column:
+    """>= 8 Excelente, >= 7 Buena, >= 5 Regular, otherwise (including NULL, without ``null_label``) Baja."""
     col = _c(c)
-    return bucket([(col >= lo, label) for lo, label in SCORE_BUCKETS], SCORE_DEFAULT)
+    return bucket([(col >= lo, label) for lo, label in SCORE_BUCKETS], SCORE_DEFAULT, col, null_label)
 
 
 def decade(year: ColumnOrName) -> Column:
@@ -131,9 +151,13 @@ def decade(year: ColumnOrName) -> Column:
 
 # --- amounts --------------------------------------------------------------
 
-def prefer(first: ColumnOrName, second: ColumnOrName) -> Column:
-    """First non-NULL of two sources (the first one wins when both are known)."""
-    return F.coalesce(_c(first), _c(second))
+def prefer(first: ColumnOrName, second: ColumnOrName, null_if_nonpositive: bool = False) -> Column:
+    """First non-NULL of two sources (the first one wins when both are known).
+
+    With ``null_if_nonpositive`` a first source of zero or less is unknown too,
+    and does not hide the second one.
+    """
+    return F.coalesce(positive_or_null(first) if null_if_nonpositive else _c(first), _c(second))
 
 
 def positive_or_null(c: ColumnOrName) -> Column:

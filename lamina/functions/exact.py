@@ -58,128 +58,125 @@ class Measure:
         return replace(self, digits=digits)
 
 
-def _limb_name(i: int, limb: int) -> str:
-    return f"__x{i}_{limb}"
+_NEXT = 2 * LIMB_BITS + 1  # bits of the two digits and the mark that are added last
 
 
 class _Input:
-    """One distinct input column of exact measures."""
+    """One distinct input column of exact measures; formulas are SQL text."""
 
     def __init__(self, i: int, value: Column, kind: T.DataType):
         self.i, self.value = i, value
         self.whole = isinstance(kind, T.IntegralType)
         if not self.whole and not isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
             raise TypeError(f"an exact sum needs a number, not {kind.simpleString()}")
-        self.x, self.w, self.n, self.odd = (f"__{p}{i}" for p in ("x", "w", "n", "odd"))
-        self.limbs = [_limb_name(i, limb) for limb in range(LIMBS)]
+        self.x, self.w, self.rest, self.n, self.odd, self.base, self.digits, self.sign, self.total, self.mean = (
+            f"__{p}{i}" for p in ("x", "w", "rest", "n", "odd", "base", "digits", "sign", "total", "mean"))
+        self.limbs = [f"__x{i}_{limb}" for limb in range(LIMBS)]
 
-    def split(self, df: DataFrame) -> DataFrame:
-        """``df`` with the value, its window (doubles only) and its limbs."""
+    # rows
+
+    def split(self) -> list[dict[str, Column]]:
+        """Columns to add to the rows, step by step: value, window, place in the window, limbs."""
         if self.whole:
-            v = F.col(self.x)
-            parts = [F.lit(0), v.bitwiseAND(F.lit(_MASK)), F.shiftright(v, LIMB_BITS).bitwiseAND(F.lit(_MASK)),
-                     F.shiftright(v, 2 * LIMB_BITS), F.lit(0), F.lit(0)]
-            return df.withColumn(self.x, self.value.cast("bigint")).withColumns(
-                {name: part.cast("bigint") for name, part in zip(self.limbs, parts)})
-        size = F.abs(F.col(self.x))
-        far = F.floor((F.log2(size) - LOW_BIT - 53) / WINDOW_BITS).cast("int")
-        window = F.when((size >= _SMALL) & (size < _LARGE), 0).when((size > 0) & (size <= _MAX), far).otherwise(0)
+            parts = ["0L", f"{self.x} & {_MASK}L", f"shiftright({self.x}, {LIMB_BITS}) & {_MASK}L",
+                     f"shiftright({self.x}, {2 * LIMB_BITS})", "0L", "0L"]
+            return [{self.x: self.value.cast("bigint")}, {}, {},
+                    {c: F.expr(f"case when {self.x} is not null then {p} end") for c, p in zip(self.limbs, parts)},
+                    *[{}] * (LIMBS - 1)]
+        size = f"abs({self.x})"
+        window = (f"case when {size} >= {_SMALL!r}D and {size} < {_LARGE!r}D then 0 when {size} > 0 and {size} <= {_MAX!r}D "
+                  f"then cast(floor((log2({size}) + {-LOW_BIT - 53}) / {WINDOW_BITS}) as int) else 0 end")
         # a power of two changes no bit; two steps, since one factor could overflow
-        two = lambda bits: F.pow(F.lit(2.0), F.col(self.w) * bits)
-        placed = F.when(size <= _MAX, F.when(F.col(self.w) == 0, F.col(self.x)).otherwise(F.col(self.x) * two(-32) * two(-31)))
-        df = df.withColumn(self.x, self.value.cast("double")).withColumn(self.w, window).withColumn(f"__r{self.i}", placed)
-        rest = f"__r{self.i}"
+        placed = (f"case when {size} <= {_MAX!r}D then case when {self.w} = 0 then {self.x} "
+                  f"else {self.x} * pow(2D, {self.w} * -32) * pow(2D, {self.w} * -31) end end")
+        steps = [{self.x: self.value.cast("double")}, {self.w: F.expr(window)}, {self.rest: F.expr(placed)}]
         for limb in reversed(range(LIMBS)):
             unit = 2.0 ** (LOW_BIT + LIMB_BITS * limb)
-            df = df.withColumn(self.limbs[limb], (F.col(rest) * (1 / unit)).cast("bigint"))
-            if limb:
-                df = df.withColumn(rest, F.col(rest) - F.col(self.limbs[limb]) * unit)
-        return df.drop(rest)
+            whole = f"cast({self.rest} * {1 / unit!r}D as bigint)"
+            steps.append({self.limbs[limb]: F.expr(whole)} | ({self.rest: F.expr(f"{self.rest} - {whole} * {unit!r}D")} if limb else {}))
+        return steps
+
+    # groups
 
     def partial(self) -> list[Column]:
-        sums = [F.sum(c).alias(c) for c in self.limbs]
-        odd = F.lit(None).cast("double") if self.whole else F.sum(F.when(~(F.abs(F.col(self.x)) <= _MAX), F.col(self.x)))
-        return [*sums, F.count(self.x).alias(self.n), odd.alias(self.odd)]
+        odd = "cast(null as double)" if self.whole else f"sum(case when not abs({self.x}) <= {_MAX!r}D then {self.x} end)"
+        return [*[F.sum(c).alias(c) for c in self.limbs], F.count(self.x).alias(self.n), F.expr(odd).alias(self.odd)]
 
     def merged(self) -> list[Column]:
-        window = F.lit(1) if self.whole else F.col(self.w)
-        entry = F.struct(window.alias("w"), F.array(*[F.coalesce(F.col(c), F.lit(0)) for c in self.limbs]).alias("q"))
-        return [F.collect_list(entry).alias(self.x), F.sum(self.n).alias(self.n), F.sum(self.odd).alias(self.odd)]
-
-    def totals(self, df: DataFrame) -> DataFrame:
-        """The merged windows as digits (base 2^21, low first) of the absolute total."""
-        base, size, digits, sign = (f"__{p}{self.i}" for p in ("base", "size", "digits", "sign"))
-        entries = F.col(self.x)
-        windows = F.transform(entries, lambda e: e["w"])
-        df = df.withColumns({base: F.array_min(windows), size: 3 * (F.array_max(windows) - F.array_min(windows)) + LIMBS + 2})
-        laid = F.transform(F.sequence(F.lit(0), F.col(size)), lambda at: F.aggregate(
-            entries, F.lit(0).cast("bigint"),
-            lambda acc, e: acc + F.coalesce(F.get(e["q"], at - 3 * (e["w"] - F.col(base))), F.lit(0).cast("bigint"))))
-        df = df.withColumn(digits, laid).withColumn(digits, _carried(F.col(digits)))
-        df = df.withColumn(sign, F.when(F.col(digits)["carry"] < 0, -1.0).otherwise(1.0))
+        limbs = ", ".join(f"coalesce({c}, 0L)" for c in self.limbs)
+        entry = f"collect_list(struct({'1' if self.whole else self.w} as w, array({limbs}) as q))"
+        return [F.expr(entry).alias(self.x), F.sum(self.n).alias(self.n), F.sum(self.odd).alias(self.odd)]
+
+    def totals(self) -> list[dict[str, Column]]:
+        """Columns to add to the groups, step by step, up to the digits (base 2^21, low
+        first) and the sign of the total."""
+        windows = f"transform({self.x}, e -> e.w)"
+        laid = (f"transform(sequence(0, 3 * (array_max({windows}) - {self.base}) + {LIMBS + 2}), at -> aggregate({self.x}, 0L, "
+                f"(acc, e) -> acc + coalesce(get(e.q, at - 3 * (e.w - {self.base})), 0L)))")
         # a negative total is what its digits say less one unit above them all: negated, the complement
-        flipped = _carried(F.transform(F.col(digits)["out"], lambda d: -d))
-        return df.withColumn(digits, F.when(F.col(sign) < 0, flipped["out"]).otherwise(F.col(digits)["out"]))
-
-    def result(self, m: Measure) -> Column:
-        base, digits, sign = (F.col(f"__{p}{self.i}") for p in ("base", "digits", "sign"))
-        by = F.when(F.col(self.n) > 0, F.col(self.n)) if m.kind == "avg" else F.lit(1).cast("bigint")
-        exact = sign * _nearest(digits, by, base)
-        return F.when(F.col(self.n) > 0, F.coalesce(F.col(self.odd), exact))
-
-
-def _carried(digits: Column) -> Column:
+        return [
+            {self.base: F.expr(f"array_min({windows})")},
+            {self.digits: F.expr(laid)},
+            {self.digits: F.expr(_carried(self.digits))},
+            {self.sign: F.expr(f"if({self.digits}.carry < 0, -1D, 1D)")},
+            {self.digits: F.expr(f"if({self.sign} < 0, {_carried(f'transform({self.digits}.out, d -> -d)')}.out, {self.digits}.out)")},
+        ]
+
+    def results(self, kinds: set[str]) -> dict[str, Column]:
+        out = {}
+        for kind, name, by in (("sum", self.total, "1L"), ("avg", self.mean, f"if({self.n} > 0, {self.n}, null)")):
+            if kind in kinds:
+                exact = f"{self.sign} * {_nearest(self.digits, by, self.base)}"
+                out[name] = F.expr(f"if({self.n} > 0, coalesce({self.odd}, {exact}), null)")
+        return out
+
+
+def _carried(digits: str) -> str:
     """``(carry, out)``: the array with every digit in 0 .. 2^21 - 1, and what is left over at the top."""
-    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(s: Column, d: Column) -> Column:
-        t = s["carry"] + d
-        return F.struct(F.shiftright(t, LIMB_BITS).alias("carry"),
-                        F.concat(s["out"], F.array(t.bitwiseAND(F.lit(_MASK).cast("bigint")))).alias("out"))
+    return (f"aggregate({digits}, named_struct('carry', 0L, 'out', cast(array() as array<bigint>)), (s, d) -> named_struct("
+            f"'carry', shiftright(s.carry + d, {LIMB_BITS}), 'out', concat(s.out, array((s.carry + d) & {_MASK}L))))")
 
-    return F.aggregate(digits, start, step)
 
-
-def _nearest(digits: Column, by: Column, base: Column) -> Column:
+def _nearest(digits: str, by: str, base: str) -> str:
     """The double nearest to digits / by: long division, then the four leading digits and
     whether anything follows them, in one addition that rounds."""
-    zero = F.lit(0).cast("bigint")
     spare = 5  # digits after the point, so that four follow the leading one
-    start = F.struct(zero.alias("rest"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(s: Column, d: Column) -> Column:
-        t = s["rest"] * F.lit(_BASE) + d
-        return F.struct((t % by).alias("rest"), F.concat(s["out"], F.array(F.call_function("div", t, by))).alias("out"))
-
-    divided = F.aggregate(F.concat(F.reverse(digits), F.array(*[zero] * spare)), start, step)
-
-    def read(s: Column) -> Column:
-        out = s["out"]
-        lead = F.array_position(F.transform(out, lambda d: d > 0), True)  # from 1; 0: none
-        at = lambda j: F.coalesce(F.get(out, (lead - 1 + j).cast("int")), zero)
-        follows = F.exists(F.slice(out, (lead + 4).cast("int"), F.size(out)), lambda d: d > 0) | (s["rest"] > 0)
-        high = at(0) * _BASE + at(1)
-        low = (at(2) * _BASE + at(3)) * 2 + follows.cast("bigint")
-        whole = high.cast("double") * 2.0 ** (2 * LIMB_BITS + 1) + low.cast("double")
-        # the last bit of ``low`` weighs half of its fourth digit's last bit
-        last = (F.size(out) - 1 - (lead + 2) - spare) * LIMB_BITS + base * WINDOW_BITS + (LOW_BIT - 1)
-        half = F.floor(last / 2)
-        return F.when(lead > 0, whole * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), last - half)).otherwise(0.0)
-
-    # one evaluation of the division: bound as the only element of an array
-    return F.get(F.transform(F.array(divided), read), F.lit(0))
+    turn = f"(s.rest * {_BASE}L + d)"
+    divided = (f"aggregate(concat(reverse({digits}), array_repeat(0L, {spare})), "
+               f"named_struct('rest', 0L, 'out', cast(array() as array<bigint>)), (s, d) -> named_struct("
+               f"'rest', {turn} % {by}, 'out', concat(s.out, array({turn} div {by}))))")
+    # arrays of one element bind a name: the division, then the place of its leading digit
+    at = [f"coalesce(get(v.r.out, v.lead + {j}), 0L)" for j in range(4)]
+    follows = "if(exists(slice(v.r.out, v.lead + 5, size(v.r.out)), d -> d > 0) or v.r.rest > 0, 1, 0)"
+    whole = (f"(cast({at[0]} * {_BASE}L + {at[1]} as double) * {2.0 ** _NEXT!r}D "
+             f"+ cast(({at[2]} * {_BASE}L + {at[3]}) * 2 + {follows} as double))")
+    # weight of the last bit of that sum; two factors, since one could overflow
+    last = f"((size(v.r.out) - 4 - v.lead - {spare}) * {LIMB_BITS} + {base} * {WINDOW_BITS} + {LOW_BIT - 1})"
+    value = f"{whole} * pow(2D, {last} div 2) * pow(2D, {last} - {last} div 2)"
+    lead = "named_struct('r', r, 'lead', cast(array_position(transform(r.out, d -> d > 0), true) as int) - 1)"
+    return f"get(transform(transform(array({divided}), r -> {lead}), v -> if(v.lead < 0, 0D, {value})), 0)"
+
+
+def _add(df: DataFrame, steps: list[list[dict[str, Column]]]) -> DataFrame:
+    """The columns of all inputs, one projection per step."""
+    for step in zip(*steps):
+        columns = {name: c for part in step for name, c in part.items()}
+        df = df.withColumns(columns) if columns else df
+    return df
 
 
 def exact_measures(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
     """``keys`` and the named ``measures`` of their groups (two aggregations, one pass over ``df``)."""
     inputs: dict[str, _Input] = {}
+    kinds: dict[str, set[str]] = {}
     for m in measures:
         if m.kind in ("sum", "avg"):
-            if str(m.value) not in inputs:
-                inputs[str(m.value)] = _Input(len(inputs), m.value, df.select(m.value.alias("x")).schema["x"].dataType)
+            text = str(m.value)
+            if text not in inputs:
+                inputs[text] = _Input(len(inputs), m.value, df.select(m.value.alias("x")).schema["x"].dataType)
+            kinds.setdefault(text, set()).add(m.kind)
     use = list(inputs.values())
-    for x in use:
-        df = x.split(df)
+    df = _add(df, [x.split() for x in use])
     first = [c for x in use for c in x.partial()]
     second = [c for x in use for c in x.merged()]
     for j, m in enumerate(measures):
@@ -191,8 +188,7 @@ def exact_measures(df: DataFrame, keys: list[str], measures: list[Measure]) -> D
             second.append(F.sum(F.col(f"__m{j}").try_cast("decimal(38,0)")).alias(f"__m{j}"))
     windows = [x.w for x in use if not x.whole]
     out = df.groupBy(*keys, *windows).agg(*first).groupBy(*keys).agg(*second)
-    for x in use:
-        out = x.totals(out)
+    out = _add(out, [[*x.totals(), x.results(kinds[text])] for text, x in inputs.items()])
     columns = []
     for j, m in enumerate(measures):
         if m.kind == "rows":
@@ -200,7 +196,8 @@ def exact_measures(df: DataFrame, keys: list[str], measures: list[Measure]) -> D
         elif m.kind == "whole":
             c = F.col(f"__m{j}").try_cast("bigint")
         else:
-            c = inputs[str(m.value)].result(m)
+            x = inputs[str(m.value)]
+            c = F.col(x.total if m.kind == "sum" else x.mean)
             c = c if m.digits is None else F.round(c, m.digits)
         columns.append(c.alias(m.name))
     return out.select(*keys, *columns)

@@ -6,16 +6,20 @@ path at every size:
 
 1. A hidden tiebreak ends the order, so no two rows are equal and a value held
    by most rows still splits across ranges.
-2. ``repartitionByRange`` on the full order, sorted within each range and
-   written once. ``monotonically_increasing_id`` of that write holds the range
-   number and the row's place in it; from then on both are plain columns.
-3. One summary row per range (rows, distinct keys, its first and last key).
+2. The bounds of the ranges are quantiles of a uniform sample of the order keys
+   (``SAMPLE`` rows per range, picked by a hash, so any task may sample its part);
+   only the key columns are read for it. A binary search over the bounds, one
+   row that is broadcast, gives each row its range.
+3. Rows are sent to their range and sorted there. In the same stage each gets its
+   place and, for tied ranks, the key changes so far; then it is written, once.
+4. One summary row per range (rows, distinct keys, its first and last key).
    A running sum over these rows gives each range's offset, broadcast back.
 
-``row_number`` is offset + place. ``rank`` and ``dense_rank`` also count the
-key changes within each range (a window over the range number) and look at the
+``row_number`` is offset + place. ``rank`` and ``dense_rank`` also look at the
 neighbouring summaries for a key that runs on from the range before; nothing is
-joined on the sort key itself.
+joined on the sort key itself. An input that a shuffle makes is staged first,
+since making it twice would cost more than writing it; other inputs are scanned
+twice. The sample decides the balance of the ranges only, never the result.
 """
 
 from __future__ import annotations
@@ -57,42 +61,84 @@ def desc(name: str, nulls_last: bool | None = None) -> SortKey:
 
 
 METHODS = ("row_number", "rank", "dense_rank")
-# Rows a range holds at most on average; more rows make more ranges.
+# Rows a range holds at most on average; more rows make more ranges, up to a bound on their number.
 RANGE_ROWS = 2_000_000
+MAX_RANGES = 20_000
+SAMPLE = 100
 
-_TIE, _AT, _RANGE, _PLACE = "__lamina_tie", "__lamina_at", "__lamina_range", "__lamina_place"
+_TIE, _BOUNDS, _BOUND = "__lamina_tie", "__lamina_bounds", "__lamina_bound"
+_RANGE, _PLACE = "__lamina_range", "__lamina_place"
 _NEW, _DENSE, _START = "__lamina_new", "__lamina_dense", "__lamina_start"
-_PLACE_BITS = 33  # monotonically_increasing_id: partition number above, place below
+
+
+def _bounds(x: DataFrame, by: Sequence[SortKey], n: int, rows: int) -> DataFrame:
+    """One row whose array holds the first key of every range but the first."""
+    share = min(1.0, SAMPLE * n / max(rows, 1))
+    spread = 1 << 30
+    names = list(dict.fromkeys(k.name for k in by))
+    picked = x.select(*names).filter(F.pmod(F.xxhash64(_TIE), F.lit(spread)) < int(share * spread))
+    # SAMPLE * n rows, so one task is right
+    order = Window.orderBy(*(k.column() for k in by))
+    at, size = F.row_number().over(order), F.count(F.lit(1)).over(Window.partitionBy())
+    cut = picked.select(F.struct(*names).alias("key"), at.alias("at"), size.alias("size")).filter(
+        F.floor(F.col("at") * n / F.col("size")) > F.floor((F.col("at") - 1) * n / F.col("size"))).filter("at < size")
+    return cut.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "key"))), lambda b: b["key"]).alias(_BOUNDS))
+
+
+def _precedes(bound: str, by: Sequence[SortKey]) -> str:
+    """SQL: whether the struct ``bound`` comes before the row in the order ``by``."""
+    out = "false"
+    for k in reversed(by):
+        a, b = f"{bound}.`{k.name}`", f"`{k.name}`"
+        null = f"{a} is not null and {b} is null" if k.nulls_go_last else f"{a} is null and {b} is not null"
+        known = f"{a} {'>' if k.descending else '<'} {b}"
+        out = f"(case when {a} is null or {b} is null then {null} else {known} end or ({a} <=> {b} and {out}))"
+    return out
+
+
+def _with_range(x: DataFrame, by: Sequence[SortKey], n: int) -> DataFrame:
+    """``x`` with ``_RANGE``, the number of ``_BOUNDS`` before the row: a binary search whose
+    steps are plain projections, so that it is compiled like any other."""
+    x = x.withColumn(_RANGE, F.lit(0))
+    step = 1 << max(n - 1, 1).bit_length() - 1
+    while step:
+        last = f"{_RANGE} + {step} <= size({_BOUNDS})"
+        x = x.withColumn(_BOUND, F.expr(f"get({_BOUNDS}, {_RANGE} + {step - 1})")).withColumn(
+            _RANGE, F.expr(f"{_RANGE} + case when {last} and {_precedes(_BOUND, by)} then {step} else 0 end"))
+        step //= 2
+    return x.drop(_BOUND, _BOUNDS)
 
 
 def ranged(
-    df: DataFrame, order: Sequence[SortKey], ranges: int | None = None, staged_rows: int | None = None
+    df: DataFrame, order: Sequence[SortKey], ranges: int | None = None, staged_rows: int | None = None, ties: bool = False
 ) -> tuple[DataFrame, int]:
-    """``df`` written once in ``order`` with ``_RANGE`` and ``_PLACE`` (from 0),
-    and the number of ranges.
+    """``df`` written once in ``order`` with ``_RANGE`` and ``_PLACE`` (from 0), and the
+    number of ranges; with ``ties`` also the key changes so far and where the last was.
 
-    The input is staged first, since the range sampling and the shuffle both
-    read it; pass ``staged_rows`` (its row count) when it is a plain file scan.
+    ``staged_rows`` (the row count) saves the count of an input that is a plain scan.
     """
     if staged_rows is None:
-        df, staged_rows = stage_counted(df.withColumn(_TIE, F.monotonically_increasing_id()), "rank_input")
-    else:
-        df = df.withColumn(_TIE, F.monotonically_increasing_id())
-    n = ranges or max(
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-staged_rows // RANGE_ROWS)
-    )
-    by = [*(k.column() for k in order), F.col(_TIE).asc()]
-    placed = (
-        df.repartitionByRange(n, *by).sortWithinPartitions(*by).drop(_TIE)
-        .withColumn(_AT, F.monotonically_increasing_id())
-    )
-    at = F.col(_AT)
-    return (
-        stage(placed, "rank_ranges")
-        .withColumn(_RANGE, F.shiftright(at, _PLACE_BITS).cast("int"))
-        .withColumn(_PLACE, at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
-        .drop(_AT)
-    ), n
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            df, staged_rows = stage_counted(df, "rank_input")
+        else:
+            staged_rows = df.count()
+    x = df.withColumn(_TIE, F.monotonically_increasing_id())
+    n = ranges or min(MAX_RANGES, max(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-staged_rows // RANGE_ROWS)))
+    by = [*order, asc(_TIE)]
+    found = x.crossJoin(F.broadcast(_bounds(x, by, n, staged_rows)))  # one row
+    sent = _with_range(found, by, n).repartitionById(n, _RANGE)
+    row = Window.partitionBy(_RANGE).orderBy(*(k.column() for k in by))
+    placed = sent.withColumn(_PLACE, F.row_number().over(row).cast("long") - 1)
+    if ties:
+        key = F.struct(*dict.fromkeys(k.name for k in order))
+        so_far = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        new = F.when(F.col(_PLACE) == 0, F.lit(True)).otherwise(~F.lag(key).over(row).eqNullSafe(key))
+        placed = (
+            placed.withColumn(_NEW, new).withColumn(_DENSE, F.sum(F.col(_NEW).cast("long")).over(so_far))
+            .withColumn(_START, F.max(F.when(F.col(_NEW), F.col(_PLACE))).over(so_far)).drop(_NEW)
+        )
+    return stage(placed.drop(_TIE), "rank_ranges"), n
 
 
 def _earlier():
@@ -111,15 +157,11 @@ def _range_summary(x: DataFrame, names: Sequence[str]) -> DataFrame:
     from the range before, and where that run began."""
     key = F.struct(*names)
     ends = x.groupBy(_RANGE).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("n"), F.max(_DENSE).alias("keys"), F.max(_START).alias("last_start"),
         F.min_by(key, _PLACE).alias("first_key"), F.max_by(key, _PLACE).alias("last_key"),
     )
-    runs = (
-        x.groupBy(_RANGE, *names).agg(F.min(_PLACE).alias("start"))
-        .groupBy(_RANGE).agg(F.count(F.lit(1)).alias("keys"), F.max("start").alias("last_start"))
-    )
     by_range = Window.orderBy(_RANGE)
-    s = ends.join(runs, _RANGE).select(
+    s = ends.select(
         _RANGE, "keys", "last_start",
         F.coalesce(F.sum("n").over(_earlier()), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum("keys").over(_earlier()), F.lit(0)).alias("keys_before"),
@@ -136,26 +178,15 @@ def _range_summary(x: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def _tied_rank(x: DataFrame, ranges: int, names: list[str], method: str, out: str) -> DataFrame:
-    key = F.struct(*names)
-    row = Window.partitionBy(_RANGE).orderBy(_PLACE)
-    so_far = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    new = F.when(F.col(_PLACE) == 0, F.lit(True)).otherwise(~F.lag(key).over(row).eqNullSafe(key))
-    local = (
-        x.repartitionByRange(ranges, _RANGE).withColumn(_NEW, new)
-        .withColumn(_DENSE, F.sum(F.col(_NEW).cast("long")).over(so_far))
-        .withColumn(_START, F.max(F.when(F.col(_NEW), F.col(_PLACE))).over(so_far))
-    )
-    joined = local.join(F.broadcast(_range_summary(x, names)), _RANGE)
+def _tied_rank(x: DataFrame, names: list[str], method: str, out: str) -> DataFrame:
+    joined = x.join(F.broadcast(_range_summary(x, names)), _RANGE)
     if method == "dense_rank":
         rank = F.col("dense_before") + F.col(_DENSE)
     else:
         rank = 1 + F.when(
             F.col("runs_on") & (F.col(_DENSE) == 1), F.col("run_start")
         ).otherwise(F.col("rows_before") + F.col(_START))
-    return joined.withColumn(out, rank).drop(
-        _NEW, _DENSE, _START, "rows_before", "runs_on", "dense_before", "run_start"
-    )
+    return joined.withColumn(out, rank).drop(_DENSE, _START, "rows_before", "runs_on", "dense_before", "run_start")
 
 
 def global_rank(
@@ -178,9 +209,9 @@ def global_rank(
         raise ValueError(f"method must be one of {sorted(METHODS)}")
     if not order:
         raise ValueError("order needs at least one SortKey")
-    x, n = ranged(df, order, ranges, staged_rows)
+    x, _ = ranged(df, order, ranges, staged_rows, ties=method != "row_number")
     if method == "row_number":
         ranked = _row_number(x, out)
     else:
-        ranked = _tied_rank(x, n, list(dict.fromkeys(k.name for k in order)), method, out)
+        ranked = _tied_rank(x, list(dict.fromkeys(k.name for k in order)), method, out)
     return ranked.select(*[c for c in df.columns if c != _TIE], out)

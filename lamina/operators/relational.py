@@ -8,9 +8,11 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.functions.exact import Measure, exact_measures
 
@@ -48,6 +50,7 @@ def enrich_left(
     dim_key: str | None = None,
     broadcast: bool = False,
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+    spread_hot_keys: bool = False,
 ) -> DataFrame:
     """Left equi-join ``df`` <- ``dim`` on ``on``.
 
@@ -55,15 +58,85 @@ def enrich_left(
     (it is renamed; a column of ``dim`` already called ``on`` is dropped).
     ``broadcast=True`` asks for a broadcast hash join, which is granted only
     when the dimension's estimated size is within ``broadcast_limit``.
+    ``spread_hot_keys`` first looks for keys that many left rows share (see
+    ``hot_keys``) and deals their rows to as many tasks as there are shuffle
+    partitions, so that no task gets a whole hot key, without adaptive execution too.
     Every left row is kept; a repeated right key fans the left row out.
     """
     if dim_key and dim_key != on:
         dim = dim.drop(on).withColumnRenamed(dim_key, on)
     if broadcast:
         dim = broadcast_if_small(dim, broadcast_limit)
+    if spread_hot_keys:
+        return _spread_join(df, dim, on)
     return df.join(dim, on=on, how="left")
 
 
+def hot_keys(df: DataFrame, key: str, parts: int | None = None) -> list:
+    """Keys that hold more than an eighth of a shuffle partition's share of the rows.
+
+    A frequent-items sketch (one pass over the key column, merged from all tasks)
+    names every such key and no more than eight per partition; some of them may
+    be less frequent, which costs a little and changes nothing.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1 / (8 * parts), 1e-4)
+    known = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"))
+    return [k for k in known.stat.freqItems(["k"], share).first()[0] if k is not None]
+
+
+def _spread_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+    """Left join on (key, salt): rows of a hot key, or of none, bear a salt each, and the
+    hot keys' dimension rows are there once per salt. All other rows bear salt 0."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(df, on, parts)
+    is_hot = F.col(on).isin(hot) if hot else F.lit(False)
+    salt, names = "__lamina_salt", [on, *[c for c in df.columns if c != on], *[c for c in dim.columns if c != on]]
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int")
+    left = df.withColumn(salt, F.when(F.col(on).isNull() | is_hot, dealt).otherwise(0))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    right = dim.filter(F.col(on).isNotNull()).withColumn(salt, F.explode(salts))
+    return left.join(right, [on, salt], "left").select(*names)
+
+
+# Ranges that a lookup's keys are described by, at most, and cells to find them in.
+LOOKUP_RANGES, LOOKUP_CELLS = 64, 4096
+
+
+def wanted_ranges(rows: DataFrame, key: str, most: int = LOOKUP_RANGES) -> list[tuple]:
+    """Up to ``most`` ranges that hold every ``key`` of ``rows``, apart from one another.
+
+    For whole-number keys the widest gaps between them are left out (seen on a
+    grid of ``LOOKUP_CELLS`` cells, whose rows are all the driver gets); other
+    keys give one range. No key, no range.
+    """
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return []
+    if not isinstance(rows.schema[key].dataType, T.IntegralType) or high == low:
+        return [(low, high)]
+    width = (high - low) // LOOKUP_CELLS + 1
+    cell = F.floor((F.col(key).cast("decimal(20,0)") - F.lit(low)) / F.lit(width))
+    cells = sorted((r["a"], r["b"]) for r in rows.filter(F.col(key).isNotNull()).groupBy(cell.alias("c")).agg(
+        F.min(key).alias("a"), F.max(key).alias("b")).collect())
+    gaps = sorted(range(1, len(cells)), key=lambda i: cells[i - 1][1] - cells[i][0])[: most - 1]
+    cuts = [0, *sorted(gaps), len(cells)]
+    return [(cells[a][0], cells[b - 1][1]) for a, b in zip(cuts, cuts[1:])]
+
+
+def late_lookup(top: DataFrame, big: DataFrame, on: str, columns: Sequence[str]) -> DataFrame:
+    """``top`` (few rows, staged) left-joined with ``columns`` of ``big`` on ``on``.
+
+    The wanted keys' ranges are pushed into the scan of ``big``, so that files and
+    row groups whose statistics lie outside of them are not read; then ``big``
+    shrinks to the wanted keys before it is joined.
+    """
+    ranges = wanted_ranges(top, on)
+    near = reduce(Column.__or__, [F.col(on).between(a, b) for a, b in ranges], F.lit(False)) if ranges else F.lit(False)
+    found = big.filter(near).select(on, *columns).join(top.select(on), on=on, how="left_semi")
+    return enrich_left(top, found, on=on)
+
+
 def kpi(
     df: DataFrame,
     keys: Sequence[str],

@@ -269,6 +269,27 @@ from documents d left join labels l on d.doc_id = l.doc_id""",
     "enrich_broadcast": """
 select c_custkey, c_name, c_nationkey, n_name
 from customer left join nation on c_nationkey = n_nationkey""",
+    "enrich_hot_key": """
+select l_orderkey, l_linenumber, l_suppkey, s_name
+from (select l_orderkey, l_linenumber, case when l_orderkey % 2 = 0 then 7 when l_orderkey % 11 <> 5 then l_suppkey end as l_suppkey
+      from lineitem) l left join supplier on s_suppkey = l_suppkey""",
+    "opt_ins": """
+select c_custkey, said,
+  cast(case c_custkey % 6 when 0 then c_acctbal when 3 then 1000 + c_custkey % 1000 + 0.5 when 5 then -(c_custkey % 100) end as double) as money,
+  case when minutes is null then 'Desconocida' when minutes < 90 then 'Corta' when minutes <= 150 then 'Media' else 'Larga' end
+    as duration_bucket,
+  case when score is null then 'Sin nota' when score >= 8 then 'Excelente' when score >= 7 then 'Buena'
+       when score >= 5 then 'Regular' else 'Baja' end as score_bucket,
+  coalesce(first, second) as preferred, case when first > 0 then first else second end as preferred_positive
+from (
+  select c_custkey, c_acctbal,
+    case c_custkey % 6 when 0 then concat('$', cast(cast(c_acctbal as decimal(12,2)) as varchar)) when 1 then 'n/a' when 2 then '1.2.3'
+      when 3 then concat('USD 1,', lpad(cast(c_custkey % 1000 as varchar), 3, '0'), '.5') when 4 then '5-3'
+      else concat('-$', cast(c_custkey % 100 as varchar)) end as said,
+    case when c_custkey % 6 <> 2 then cast(c_custkey % 200 as int) end as minutes,
+    case when c_custkey % 6 <> 3 then (c_custkey % 100) / 10.0 end as score,
+    case when c_custkey % 6 <> 4 then c_custkey % 3 - 1 end as first, c_custkey % 7 as second
+  from customer) t""",
     "kpi_one_key": f"""
 select l_returnflag, count(*) as total_rows,
   {AVG('l_quantity', 2)} as avg_qty, {SUM('l_quantity', 2)} as sum_qty,
@@ -339,7 +360,8 @@ select count(*) as "rows", count(*) filter (where l_orderkey is null) as null_ke
   count(l_orderkey) - count(distinct l_orderkey) as duplicate_keys,
   count(*) filter (where l_discount > cast(0.05 as double)) as discounted,
   count(*) filter (where l_returnflag = 'R') as returned,
-  count(distinct l_partkey) as distinct_parts
+  count(distinct l_partkey) as distinct_parts, count(distinct l_suppkey) as distinct_suppliers,
+  count(distinct l_extendedprice) as distinct_prices
 from lineitem""",
     "film_bronze_movies": _bronze(
         "movies",

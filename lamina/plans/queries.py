@@ -22,7 +22,7 @@ from lamina.contracts import BRONZE, INGEST_TS, LAYERS, RUN_TS, SOURCE_FILE, wit
 from lamina.functions import columns as C
 from lamina.operators import quality as Q
 from lamina.operators.ranking import asc, desc, global_rank
-from lamina.operators.relational import dedupe_first, enrich_left, explode_list, kpi, top_k
+from lamina.operators.relational import dedupe_first, enrich_left, explode_list, kpi, late_lookup, top_k
 from lamina.plans import catalogue as cat
 from lamina.plans.fixtures import movies_with_null_ids, raw_tables
 from lamina.session import scratch_path
@@ -378,6 +378,34 @@ def enrich_broadcast(spark, sf_dir):
     return out.select("c_custkey", "c_name", "c_nationkey", "n_name")
 
 
+def enrich_hot_key(spark, sf_dir):
+    """Half of the line items name one supplier, some name none: their rows are dealt over all tasks."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 2 == 0, 7).when(F.col("l_orderkey") % 11 != 5, F.col("l_suppkey")).alias("l_suppkey"))
+    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return enrich_left(li, supp, on="l_suppkey", dim_key="s_suppkey", spread_hot_keys=True)
+
+
+def opt_ins(spark, sf_dir):
+    """Amounts with sign and decimals, a label of their own for unknown values, and a
+    first source whose zero does not hide the second."""
+    cust = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 6
+    bal = F.col("c_acctbal").cast("decimal(12,2)").cast("string")
+    text = F.when(k == 0, F.concat(F.lit("$"), bal)).when(k == 1, F.lit("n/a")).when(k == 2, F.lit("1.2.3")) \
+        .when(k == 3, F.concat(F.lit("USD 1,"), F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0"), F.lit(".5"))) \
+        .when(k == 4, F.lit("5-3")).otherwise(F.concat(F.lit("-$"), (F.col("c_custkey") % 100).cast("string")))
+    x = cust.select("c_custkey", text.alias("said"), F.when(k != 2, F.col("c_custkey") % 200).cast("int").alias("minutes"),
+                    F.when(k != 3, (F.col("c_custkey") % 100) / 10.0).alias("score"),
+                    F.when(k != 4, F.col("c_custkey") % 3 - 1).alias("first"), (F.col("c_custkey") % 7).alias("second"))
+    return x.select(
+        "c_custkey", "said", C.parse_money("said").cast("double").alias("money"),
+        C.duration_bucket("minutes", null_label="Desconocida").alias("duration_bucket"),
+        C.score_bucket("score", null_label="Sin nota").alias("score_bucket"),
+        C.prefer("first", "second").alias("preferred"), C.prefer("first", "second", null_if_nonpositive=True).alias("preferred_positive"))
+
+
 # --- aggregation ----------------------------------------------------------
 
 def kpi_one_key(spark, sf_dir):
@@ -478,8 +506,7 @@ def top_k_per_group(spark, sf_dir):
         ev.filter(F.col("value") >= 100).select("event_id", "event_type", "user_id", "value"),
         ["event_type"], [F.col("value").desc(), F.col("event_id").asc()], 10, "ranking",
     ), "top_events")
-    props = ev.select("event_id", "props").join(top.select("event_id"), "event_id", "left_semi")
-    return enrich_left(top, props, on="event_id")
+    return late_lookup(top, ev, "event_id", ["props"])
 
 
 def explode_list_q(spark, sf_dir):
@@ -503,7 +530,7 @@ def quality_metrics(spark, sf_dir):
             "discounted": F.col("l_discount") > 0.05,
             "returned": F.col("l_returnflag") == "R",
         },
-        distinct={"distinct_parts": "l_partkey"},
+        distinct={"distinct_parts": "l_partkey", "distinct_suppliers": "l_suppkey", "distinct_prices": "l_extendedprice"},
     )
 
 
@@ -644,6 +671,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filters": filters,
     "enrich_left": enrich_left_q,
     "enrich_broadcast": enrich_broadcast,
+    "enrich_hot_key": enrich_hot_key,
+    "opt_ins": opt_ins,
     "kpi_one_key": kpi_one_key,
     "kpi_two_keys": kpi_two_keys,
     "kpi_min_rows": kpi_min_rows,

@@ -35,19 +35,27 @@ def test_window_group_limit_before_shuffle(spark, sf_small):
 def test_global_rank_has_no_single_partition_window_over_data(spark, sf_small):
     li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
     order = [desc("l_extendedprice"), asc("l_orderkey"), asc("l_linenumber")]
-    plan = physical(global_rank(li, order, "row_number", "r"))
-    # the only SinglePartition exchange is the one over the per-range counts
-    assert plan.split("== Initial Plan ==")[0].count("SinglePartition") <= 1
-    assert "SortMergeJoin" not in plan
-    for method in ("rank", "dense_rank"):
-        plan = physical(global_rank(li.select("l_orderkey", "l_quantity"), [desc("l_quantity")], method, "r"))
-        final = plan.split("== Initial Plan ==")[0]
-        # rows are windowed by range; nothing is joined on the sort key
-        assert "rangepartitioning(__lamina_range" in final
+    for method in ("row_number", "rank", "dense_rank"):
+        final = physical(global_rank(li, order, method, "r")).split("== Initial Plan ==")[0]
+        # what follows the one write: the summary of the ranges, broadcast; rows are not moved again
+        assert "SortMergeJoin" not in final and "rangepartitioning" not in final and "passthrough" not in final
         keys = re.findall(r"Join \[([^\]]*)\]", final)
         assert keys and all(k.startswith("__lamina_range") for k in keys)
 
 
+def test_ranges_are_written_once_and_bounds_read_keys_only(spark, sf_small, monkeypatch):
+    from lamina.operators import ranking
+
+    written = []
+    monkeypatch.setattr(ranking, "stage", lambda df, name: written.append(df) or df)
+    li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    ranking.ranged(li, [desc("l_quantity")], ties=True)
+    (df,) = written  # a scan is not staged first
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("passthrough") == 1 and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    assert "ReadSchema: struct<l_quantity:double>" in plan  # the sample
+
+
 def test_parquet_scans_are_pruned(spark, sf_small):
     q = E.queries()["kpi_one_key"](spark, sf_small)
     plan = q._jdf.queryExecution().executedPlan().toString()

@@ -1,25 +1,33 @@
 """Operator 1 -- substring de-duplication by MinHash banding of paragraphs.
 
-1. Paragraphs: every line is cut after sentences that a hash of their last two
-   words selects, so that a passage is cut alike wherever it stands. Pieces of
-   under ``min_words`` words (short lines, short sentences) take as many with
-   the words that follow (at the text's end, that precede); these overlap.
-2. Equal paragraphs are one class (combined map-side). Classes are banded by
-   MinHash values of their ``shingle``-word shingles, one row per band; classes
-   that share a band value, and at least half of a short MinHash sketch, are
-   candidates.
-3. Candidates are confirmed by exact Jaccard similarity on full shingle sets,
+Two kinds of paragraphs are cut from every text, in one pass:
+
+* Natural ones: lines of at least ``min_paragraph`` words. They may be similar
+  without being equal.
+* Content-cut ones, which find passages inside lines and over line ends: a cut
+  stands before every word whose two-word hash is the smallest of some ``window``
+  words in a row, so equal passages are cut alike wherever they stand; a
+  paragraph reaches from a cut to the next but one. So short a paragraph loses
+  its similarity with one changed word, and only equal ones are joined.
+
+1. Equal paragraphs are one class (combined map-side). Natural classes are banded
+   by MinHash values of their ``shingle``-word shingles, one row per band;
+   classes that share a band value, and at least half of a short MinHash sketch,
+   are candidates.
+2. Candidates are confirmed by exact Jaccard similarity on full shingle sets,
    and links are joined to components (see ``links``).
-4. Neighbouring paragraphs of a text that repeat make up a passage, over line
-   ends too. Passages of at least ``min_passage`` words count; each component
-   keeps its first paragraph (smallest id, then place), the others are to be
+3. Content-cut paragraphs that repeat, and overlap one another in their text, make
+   up a passage. Passages of at least ``min_passage`` words count: any 51 words
+   that repeat hold three cuts at least, ``min_passage`` words or more apart.
+4. Each class keeps its first place among passages that count (smallest id, then
+   place), each component of natural paragraphs likewise; the others are to be
    removed, except where they overlap that first one.
 
 With three bands of one value, a pair of similarity s shares a band with
 probability 1 - (1 - s)^3 (0.992 at s = 0.8), and then four of the eight sketch
 bytes with 0.995. Equal paragraphs always meet.
 
-Null, empty and short texts (under ``min_words`` words) have no paragraphs and stay as they are. Rows with
+Null, empty and short texts (under ``min_passage`` words) have no paragraphs and stay as they are. Rows with
 the same id and place are one place: none of them is removed in favour of the
 other. Null ids take part and sort first. Other input columns are not read.
 An empty table gives an empty result.
@@ -34,19 +42,19 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.common import batches, mix64, shingle_hashes, stage, table
+from lamina.llm.common import WordHashes, batches, join_on_hot_key, mix64, shingle_hashes, stage, table
 from lamina.llm.links import linked_components
 from lamina.llm.lsh_forest import Forest, _candidate_frame, _Tree
 
 
 @dataclass(frozen=True)
 class Paragraphs:
-    min_words: int = 8
-    min_passage: int = 16
+    window: int = 16
+    min_passage: int = 19  # 51 - 2 * window: what is sure to be found of 51 words
+    min_paragraph: int = 24
     shingle: int = 5
     num: int = 80  # a link: den * intersection >= num * union
     den: int = 100
@@ -56,67 +64,90 @@ class Paragraphs:
     near: int = 2
 
 
-class _Words(dict):
-    """64-bit hash of a word; its lowest bit tells whether the word ends a sentence."""
+_SHIFT = np.uint64(0x9E3779B97F4A7C15)
+CHUNK_WORDS = 150_000  # words that are cut at a time, unless one text has more
 
-    limit = 200_000
+PASSAGE, PARAGRAPH = 0, 1
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word) & ~1 | word.endswith((b".", b"!", b"?"))
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = h
-        return h
 
+@dataclass
+class Chunk:
+    """Some texts as one array of word hashes: the rows they came from, each text's first
+    word and end, and the natural paragraphs' rows (in the chunk), first words and ends."""
 
-_SHIFT = np.uint64(0x9E3779B97F4A7C15)
+    rows: np.ndarray
+    h: np.ndarray
+    first: np.ndarray
+    end: np.ndarray
+    line_row: np.ndarray
+    line_first: np.ndarray
+    line_end: np.ndarray
 
 
 class Cutter:
-    """Paragraphs of a text as arrays over its words."""
+    """Cuts texts into paragraphs, as arrays over their words."""
 
     def __init__(self, rules: Paragraphs):
-        self.rules, self.words = rules, _Words()
-
-    def cut(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word hashes, and each paragraph's place, first word and end word."""
-        none = np.empty(0, dtype=np.int64)
-        if not text:
-            return none.astype(np.uint64), none, none, none
-        lines = [line.split() for line in text.lower().encode("utf-8", "surrogatepass").split(b"\n")]
-        per_line = np.asarray([len(w) for w in lines], dtype=np.int64)
-        n = int(per_line.sum())
-        if n < self.rules.min_words:
-            return none.astype(np.uint64), none, none, none
-        h = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lines)), dtype=np.uint64, count=n)
-        before = np.concatenate([h[:1], h[:-1]])
-        ends = ((h & np.uint64(1)) == 1) & ((mix64(h + before * _SHIFT) & np.uint64(1)) == 0)
-        line_ends = np.cumsum(per_line)
-        ends[line_ends[per_line > 0] - 1] = True
-        stop = np.flatnonzero(ends) + 1
-        start = np.concatenate([[0], stop[:-1]])
-        # a short piece goes on to min_words, no further: so no paragraph is similar to one that it overlaps
-        least = self.rules.min_words
-        end = np.maximum(stop, start + least)
-        whole = np.flatnonzero(end <= n)
-        first, end = start[whole], end[whole]
-        if not len(end) or end[-1] < n:
-            whole, first, end = np.append(whole, len(stop) - 1), np.append(first, n - least), np.append(end, n)
-        return h, whole, first, end
+        self.rules, self.words = rules, WordHashes()
+
+    def chunks(self, texts) -> Iterator[Chunk]:
+        rows, words, per_line, lines_of, held = [], [], [], [], 0
+        for row, text in enumerate(texts):
+            if not text:
+                continue
+            lines = [line.split() for line in text.lower().encode("utf-8", "surrogatepass").split(b"\n")]
+            count = [len(w) for w in lines]
+            n = sum(count)
+            if n < self.rules.min_passage:
+                continue
+            if held and held + n > CHUNK_WORDS:
+                yield self._chunk(rows, words, per_line, lines_of)
+                rows, words, per_line, lines_of, held = [], [], [], [], 0
+            rows.append(row)
+            words.extend(chain.from_iterable(lines))
+            per_line += count
+            lines_of.append(len(count))
+            held += n
+        if rows:
+            yield self._chunk(rows, words, per_line, lines_of)
+
+    def _chunk(self, rows: list, words: list, per_line: list, lines_of: list) -> Chunk:
+        per_line, lines_of = np.asarray(per_line), np.asarray(lines_of)
+        line_end = np.cumsum(per_line)
+        end = line_end[np.cumsum(lines_of) - 1]
+        long = np.flatnonzero(per_line >= self.rules.min_paragraph)
+        return Chunk(np.asarray(rows), self.words.of(words), np.concatenate([[0], end[:-1]]), end,
+                     np.repeat(np.arange(len(rows)), lines_of)[long], (line_end - per_line)[long], line_end[long])
+
+    def content_paragraphs(self, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row (in the chunk), first word and end of the content-cut paragraphs."""
+        w, n = self.rules.window, len(c.h)
+        owner = np.repeat(np.arange(len(c.rows)), c.end - c.first)
+        v = mix64(c.h * _SHIFT + np.concatenate([c.h[:1], c.h[:-1]]))
+        v[c.first] = _LAST  # the word before it is another text's: never a cut, as far as that can be helped
+        if n < w:
+            none = np.empty(0, dtype=np.int64)
+            return none, none, none
+        seen = np.lib.stride_tricks.sliding_window_view(v, w)
+        at = np.arange(n - w + 1) + seen.argmin(axis=1)
+        cuts = np.unique(at[owner[: n - w + 1] == owner[w - 1 :]])  # windows within one text
+        whole = owner[cuts[:-2]] == owner[cuts[2:]]
+        return owner[cuts[:-2]][whole], cuts[:-2][whole], cuts[2:][whole]
 
     def classes(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """One order-sensitive 64-bit hash per paragraph."""
         size = stop - start
         at = np.cumsum(size) - size  # paragraphs may overlap
         place = np.arange(size.sum()) - np.repeat(at, size)
+        salt = mix64(np.arange(size.max(initial=0)).astype(np.uint64) + _SHIFT)
         words = h[place + np.repeat(start, size)]
-        return mix64(np.add.reduceat(mix64(words + mix64(place.astype(np.uint64) + _SHIFT)), at)).view(np.int64)
+        return mix64(np.add.reduceat(mix64(words + salt[place]), at) + size.astype(np.uint64)).view(np.int64)
 
     def minhashes(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Per band, the smallest shingle hash within each paragraph; and a sketch
         of ``SKETCH`` bytes, one of each MinHash value."""
         k, n = self.rules.shingle, len(h)
-        acc = np.zeros(n, dtype=np.uint64)
+        acc = np.zeros(n + 1, dtype=np.uint64)
         for j in range(k):
             acc[: n - j] = (acc[: n - j] ^ h[j:]) * _MULT[j]
         within = np.column_stack([start, stop - k + 1]).ravel()  # whole shingles; every second range counts
@@ -131,34 +162,39 @@ class Cutter:
 
 
 SKETCH = 8
+_LAST = np.uint64(2**64 - 1)
 _MULT = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                     0xC4CEB9FE1A85EC53, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
 def paragraphs(docs: DataFrame, rules: Paragraphs, id_col: str, text_col: str) -> DataFrame:
-    """``(id, text_hash, ord, start_word, n_words, class, band_0 .., sketch)`` of all paragraphs."""
-    names = ["ord", "start_word", "n_words", "class", *(f"band_{i}" for i in range(rules.bands)), "sketch"]
+    """``(id, text_hash, kind, start_word, n_words, class, band_0 .., sketch)`` of all
+    paragraphs; content-cut ones have no bands."""
+    names = [*(f"band_{i}" for i in range(rules.bands)), "sketch"]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter(rules)
         for pdf in batches(frames):
-            parts = []
-            for doc, key, text in zip(pdf["id"], pdf["text_hash"], pdf["text"]):
-                h, place, start, stop = cutter.cut(text)
-                if len(h):
-                    bands, sketch = cutter.minhashes(h, start, stop)
-                    parts.append((doc, key, len(place), place, start, stop - start, cutter.classes(h, start, stop),
-                                  *bands, sketch))
-            if parts:
-                doc, key, count, *cols = zip(*parts)
-                yield pd.DataFrame({
-                    "id": pd.Series(np.repeat(np.asarray(doc, dtype=object), count)),
-                    "text_hash": np.repeat(np.asarray(key, dtype=np.int64), count),
-                    **{name: np.concatenate(c) for name, c in zip(names, cols)},
-                })
+            ids, hashes = pdf["id"], pdf["text_hash"].to_numpy(dtype=np.int64)
+            for c in cutter.chunks(pdf["text"]):
+                cuts = cutter.content_paragraphs(c)
+                for kind, (row, start, stop) in ((PASSAGE, cuts), (PARAGRAPH, (c.line_row, c.line_first, c.line_end))):
+                    if not len(row):
+                        continue
+                    at = c.rows[row]
+                    out = pd.DataFrame({
+                        "id": ids.iloc[at].reset_index(drop=True), "text_hash": hashes[at], "kind": np.int8(kind),
+                        "start_word": (start - c.first[row]).astype(np.int32), "n_words": (stop - start).astype(np.int32),
+                        "class": cutter.classes(c.h, start, stop)})
+                    if kind == PARAGRAPH:
+                        bands, sketch = cutter.minhashes(c.h, start, stop)
+                        out = out.assign(**dict(zip(names, [*bands, sketch])))
+                    else:
+                        out = out.assign(**{n: pd.array([None] * len(out), dtype="Int64") for n in names})
+                    yield out
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    kinds = [f"{n} int" for n in names[:3]] + [f"{n} long" for n in names[3:]]
+    kinds = ["kind tinyint", "start_word int", "n_words int", "class long", *(f"{n} long" for n in names)]
     return docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")
     ).mapInPandas(cut, f"id {id_type}, text_hash long, " + ", ".join(kinds))
@@ -211,35 +247,30 @@ def class_sets(docs: DataFrame, wanted: DataFrame, rules: Paragraphs, id_col: st
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter(rules)
         for pdf in batches(frames):
-            out = []
-            for text, nodes in zip(pdf["text"], pdf["nodes"]):
-                h, _, start, stop = cutter.cut(text)
-                if len(h):
-                    cls, want = cutter.classes(h, start, stop), np.asarray(nodes, dtype=np.int64)
-                    for i in np.flatnonzero(np.isin(cls, want)):
-                        out.append((int(cls[i]), shingle_hashes(h[start[i]:stop[i]], rules.shingle).tobytes()))
-            if out:
-                yield pd.DataFrame(out, columns=["node", "items"])
+            for c in cutter.chunks(pdf["text"]):
+                if not len(c.line_row):
+                    continue
+                cls, out = cutter.classes(c.h, c.line_first, c.line_end), []
+                wanted = [set(np.asarray(pdf["nodes"].iloc[r], dtype=np.int64).tolist()) for r in c.rows]
+                for k, row, start, stop in zip(cls.tolist(), c.line_row.tolist(), c.line_first.tolist(), c.line_end.tolist()):
+                    if k in wanted[row]:
+                        out.append((k, shingle_hashes(c.h[start:stop], rules.shingle).tobytes()))
+                if out:
+                    yield pd.DataFrame(out, columns=["node", "items"])
 
     return texts.mapInPandas(build, "node long, items binary").dropDuplicates(["node"])
 
 
-def repeated_passages(docs: DataFrame, rules: Paragraphs = Paragraphs(), id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """One row per paragraph of a repeated passage.
-
-    ``(id_col, text_hash, start_word, n_words, passage_words, component_id, keeper_<id_col>, removed)``.
-    """
-    units = stage(paragraphs(docs, rules, id_col, text_col), "sub_units")
-    end = F.col("start_word") + F.col("n_words")
-    first = F.min(F.struct("id", "ord", end.alias("end"))).alias("keeper")
+def similar_paragraphs(docs: DataFrame, units: DataFrame, rules: Paragraphs, id_col: str, text_col: str) -> DataFrame:
+    """``(id, text_hash, start_word, n_words, passage_words, component_id, first)``: natural
+    paragraphs that repeat or are similar to another; ``first`` is their component's first place."""
+    first = F.min(F.struct("id", "start_word", (F.col("start_word") + F.col("n_words")).alias("end"))).alias("keeper")
     classes = units.groupBy(F.col("class").alias("node")).agg(first, F.count(F.lit(1)).alias("n"))
     found = stage(band_candidates(units, rules).distinct(), "sub_candidates")
     pairs = found.filter("b is not null").groupBy("a", "b").agg(F.lit(1).alias("score"))
     regions = found.filter("b is null").select("region", F.col("a").alias("node"))
-    near = stage(
-        found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node")))
-        .filter("node is not null").distinct().withColumn("near", F.lit(True)), "sub_near")
+    near = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).filter(
+        "node is not null").distinct().withColumn("near", F.lit(True))
     # classes that repeat, or that some other class comes near
     known = stage(classes.join(near, "node", "left").filter("n > 1 or near"), "sub_classes")
     sets = stage(class_sets(docs, known.filter("near").select("node", F.col("keeper.id").alias("id")),
@@ -247,22 +278,47 @@ def repeated_passages(docs: DataFrame, rules: Paragraphs = Paragraphs(), id_col:
     labels = linked_components(pairs, sets, rules.num, rules.den, regions)
     grouped = known.join(labels, "node", "left").filter("n > 1 or component is not null").withColumn(
         "component_id", F.coalesce("component", "node"))
-    keepers = grouped.groupBy("component_id").agg(F.min("keeper").alias("keeper"))
-    member = stage(grouped.join(keepers.withColumnRenamed("keeper", "first"), "component_id").select(
-        F.col("node").alias("class"), "component_id", "first"), "sub_members")
-    hits = units.join(member, "class")
-    text = Window.partitionBy("id", "text_hash").orderBy("ord", "start_word")
-    # one piece that does not repeat may stand between two that do: a gap of one is bridged
-    gap = F.coalesce((F.col("ord") - F.lag("ord").over(text) > 2).cast("int"), F.lit(1))
-    done = F.coalesce(F.max(end).over(text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    fresh = F.greatest(F.lit(0), end - F.greatest("start_word", done))  # words that no paragraph before holds
-    passages = hits.withColumn("run", F.sum(gap).over(text)).withColumn("fresh", fresh).withColumn(
-        "passage_words", F.sum("fresh").over(Window.partitionBy("id", "text_hash", "run")))
+    keepers = grouped.groupBy("component_id").agg(F.min("keeper").alias("first"), F.sum("n").alias("__n"))
+    member = stage(join_on_hot_key(grouped.select(F.col("node").alias("class"), "n", "component_id"), keepers, ["component_id"], "__n"),
+                   "sub_members").drop("__n")
+    return join_on_hot_key(units, member, ["class"], "n").select(
+        "id", "text_hash", "start_word", "n_words", F.col("n_words").cast("long").alias("passage_words"), "component_id", "first")
+
+
+def equal_passages(units: DataFrame, rules: Paragraphs) -> DataFrame:
+    """As ``similar_paragraphs``, of the content-cut paragraphs in passages that count."""
+    places = units.select("class", "id", "text_hash", "start_word", "n_words")
+    counts = stage(places.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sub_counts")
+    hits = join_on_hot_key(places, counts, ["class"], "n").drop("n")
+    text = Window.partitionBy("id", "text_hash").orderBy("start_word", "n_words")
+    end = F.col("start_word") + F.col("n_words")
+    done = F.max(end).over(text.rowsBetween(Window.unboundedPreceding, -1))
+    run = Window.partitionBy("id", "text_hash", "run")
+    runs = hits.withColumn("apart", F.coalesce((F.col("start_word") >= done).cast("int"), F.lit(1))).withColumn(
+        "run", F.sum("apart").over(text)).withColumn(
+        "passage_words", (F.max(end).over(run) - F.min("start_word").over(run)).cast("long"))
+    valid = stage(runs.filter(F.col("passage_words") >= rules.min_passage), "sub_passages")
+    # the first place among passages that count: a phrase of theirs elsewhere does not keep them
+    keepers = stage(valid.groupBy("class").agg(
+        F.min(F.struct("id", "start_word", end.alias("end"))).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "sub_keepers")
+    return join_on_hot_key(valid, keepers, ["class"], "n").select(
+        "id", "text_hash", "start_word", "n_words", "passage_words", F.col("class").alias("component_id"), "first")
+
+
+def repeated_passages(docs: DataFrame, rules: Paragraphs = Paragraphs(), id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """One row per paragraph, natural or content-cut, of what repeats.
+
+    ``(id_col, text_hash, start_word, n_words, passage_words, component_id, keeper_<id_col>, removed)``.
+    """
+    units = stage(paragraphs(docs, rules, id_col, text_col), "sub_units")
+    rows = similar_paragraphs(docs, units.filter(F.col("kind") == PARAGRAPH), rules, id_col, text_col).unionByName(
+        equal_passages(units.filter(F.col("kind") == PASSAGE), rules))
     same = F.col("id").eqNullSafe(F.col("first.id"))
-    return passages.filter(F.col("passage_words") >= rules.min_passage).select(
-        F.col("id").alias(id_col), "text_hash", "start_word", "n_words", F.col("passage_words").cast("long"), "component_id",
+    return rows.select(
+        F.col("id").alias(id_col), "text_hash", "start_word", "n_words", "passage_words", "component_id",
         F.col("first.id").alias(f"keeper_{id_col}"),
-        (~(same & ((F.col("ord") == F.col("first.ord")) | (F.col("start_word") < F.col("first.end"))))).alias("removed"),
+        (~(same & (F.col("start_word") < F.col("first.end")) & (F.col("start_word") + F.col("n_words") > F.col("first.start_word")))).alias("removed"),
     )
 
 

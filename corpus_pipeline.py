@@ -38,8 +38,8 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = pii.find_spans(docs, pii.learn(docs))
-    spans = F.array_sort(F.concat("base", "added"))
+    found = pii.find_spans(docs, pii.learn(docs), base="__base_spans", added="__added_spans")
+    spans = F.array_sort(F.concat("__base_spans", "__added_spans"))
     masked = found.withColumn("text", F.when(F.size(spans) > 0, pii.redact(F.col("text"), spans)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long"))

@@ -36,19 +36,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import batches, stage, table
+from lamina.llm.common import WordHashes, batches, mix64, shingle_hashes, stage, table, text_words
 
 
 @dataclass(frozen=True)
 class Learning:
     rows: int = 20_000  # labelled rows that the model may see
-    candidates: int = 20_000  # most frequent terms of toxic texts that are weighed
-    terms: int = 400  # lexicon size
-    innocent: int = 5_000  # innocent forms remembered
-    min_docs: int = 3
-    min_share: float = 0.03  # of the toxic sample; below, groups of copies look like terms
+    min_docs: int = 5
+    min_share: float = 0.01  # of the toxic sample
     min_log_odds: float = 2.3
-    min_evidence: float = 30.0  # log-likelihood ratio statistic of a term
+    min_evidence: float = 20.0  # log-likelihood ratio statistic of a term: 8e-6 by chance
     stems: tuple[int, int] = (3, 8)  # lengths of word beginnings
     window: int = 6
     ridge: float = 0.05
@@ -86,8 +83,8 @@ class Term:
 
     @property
     def errors(self) -> int:
-        """Allowed distance: none for stems and short words, so that they stay precise."""
-        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
+        """Allowed distance: none for stems, whose words are terms of their own, and for the shortest words."""
+        return 0 if self.stem or len(self.text) < 4 else 1 if len(self.text) < 9 else 2
 
 
 class FuzzyLexicon:
@@ -252,10 +249,10 @@ class Scorer:
         exact = sum(e == 0 and x >= 0 for (_, _, e), x in zip(hits, leaning))
         fuzzy = len(hits) - quoted - exact
         terms = {t for _, t, _ in hits}
-        evidence = min(12.0, sum(self.model.terms[t].weight for t in terms))
-        density = min(20.0, 100.0 * (exact + fuzzy) / len(tokens))
+        evidence = sum(self.model.terms[t].weight for t in terms)
+        density = 100.0 * (exact + fuzzy) / len(tokens)
         return [math.log1p(exact), math.log1p(fuzzy), math.log1p(quoted), math.log1p(len(terms)),
-                math.sqrt(density), evidence, math.log1p(len(tokens))]
+                math.log1p(density), math.log1p(evidence), math.log1p(len(tokens))]
 
     def scores(self, texts) -> np.ndarray:
         m = self.model
@@ -294,8 +291,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, learning: Learning, id_c
         .orderBy(F.xxhash64("__id"), "__id").limit(learning.rows)
     )
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    # bounded by learning.rows; equal texts count once
-    return texts.join(F.broadcast(chosen), "__id").groupBy("text").agg(F.max("y").alias("y"))
+    # bounded by learning.rows; near copies count once, or their words would look like terms
+    found = texts.join(F.broadcast(chosen), "__id").groupBy("text").agg(F.max("y").alias("y"))
+
+    def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for pdf in batches(frames):
+            items = [shingle_hashes(hashes.of(text_words(t)), 5) for t in pdf["text"]]
+            yield pdf.assign(sketch=[int(mix64(x).min().view(np.int64)) if len(x) else 0 for x in items])
+
+    return found.mapInPandas(sketch, "text string, y int, sketch long").groupBy("sketch", "y").agg(
+        F.min("text").alias("text")).select("text", "y")
 
 
 def _doc_terms(text: str | None, stems: tuple[int, int]) -> set[str]:
@@ -348,8 +354,8 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int,
             continue
         stems.append(t)
     keep = [Term(s, True, odds[s + "*"]) for s in stems]
-    keep += [Term(w, False, odds[w]) for w in words if not any(w.startswith(s) for s in stems)]
-    return sorted(keep, key=lambda t: (-toxic[t.text + "*" * t.stem], t.text))[: learning.terms]
+    keep += [Term(w, False, odds[w]) for w in words]  # those below a stem too: they stay fuzzy
+    return sorted(keep, key=lambda t: (-toxic[t.text + "*" * t.stem], t.text))
 
 
 def learn(docs: DataFrame, labels: DataFrame, learning: Learning = Learning(), id_col: str = "doc_id",
@@ -362,7 +368,7 @@ def learn(docs: DataFrame, labels: DataFrame, learning: Learning = Learning(), i
         return Model(constant=float(n1 > 0))
     floor = max(learning.min_docs, math.ceil(learning.min_share * n1))
     toxic = {r["term"]: r["n"] for r in _term_counts(sample.filter("y = 1"), learning.stems, None)
-             .filter(F.col("n") >= floor).orderBy(F.col("n").desc(), "term").limit(learning.candidates).collect()}
+             .filter(F.col("n") >= floor).collect()}  # 1 / min_share times the distinct terms of a text at most
     clean = {r["term"]: r["n"] for r in
              _term_counts(sample.filter("y = 0"), learning.stems, frozenset(toxic)).collect()}
     model = Model(terms=choose_terms(toxic, clean, n1, n0, learning), window=learning.window)
@@ -371,17 +377,17 @@ def learn(docs: DataFrame, labels: DataFrame, learning: Learning = Learning(), i
         scorer = Scorer(model)
         for pdf in batches(frames):
             seen: Counter = Counter()
-            for text in pdf["text"]:
+            for text, y in zip(pdf["text"], pdf["y"]):
                 tokens, hits = scorer.hits(text)
-                seen.update({plain(tokens[i]) for i, _, e in hits if e})
+                seen.update({(plain(tokens[i]), y) for i, _, e in hits if e})
             if seen:
-                yield pd.DataFrame({"form": list(seen), "n": list(seen.values())})
+                yield pd.DataFrame([(form, int(y), n) for (form, y), n in seen.items()], columns=["form", "y", "n"])
 
-    forms = (
-        sample.filter("y = 0").select("text").mapInPandas(near_forms, "form string, n long")
-        .groupBy("form").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "form").limit(learning.innocent)
-    )
-    model.innocent = frozenset(r["form"] for r in forms.collect())
+    # near forms that clean texts hold more often than toxic ones: other words, not misspelt terms
+    of = lambda y: F.coalesce(F.sum(F.when(F.col("y") == y, F.col("n"))), F.lit(0))
+    forms = sample.mapInPandas(near_forms, "form string, y int, n long").groupBy("form").agg(
+        of(0).alias("n0"), of(1).alias("n1")).filter(F.col("n0") * n1 > F.col("n1") * n0)
+    model.innocent = frozenset(r["form"] for r in forms.collect())  # words of learning.rows texts
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)

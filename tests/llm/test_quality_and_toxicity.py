@@ -147,3 +147,42 @@ def test_sample_leaves_the_held_out_fold(labelled):
     assert sample.count() == 100
     held = {r["text"] for r in docs.filter(toxicity.held_out("doc_id")).collect()}
     assert not held & {r["text"] for r in sample.collect()}
+
+
+def test_words_below_a_stem_and_short_words_stay_fuzzy():
+    toxic = {"idiot": 60, "idiots": 40, "idiotic": 40, "idiot*": 130, "scum": 50}
+    terms = toxicity.choose_terms(toxic, {}, 300, 900, Learning())
+    assert {(t.text, t.stem) for t in terms} >= {("idiot", True), ("idiots", False), ("idiotic", False), ("scum", False)}
+    lexicon = FuzzyLexicon(terms)
+    for word in ("idoit", "iidiot", "idito", "idiotc", "idiotss", "skum", "scumm", "sucm"):
+        assert lexicon.match(word), word
+    assert lexicon.match("scarce") is None and lexicon.match("sun") is None
+
+
+def test_a_long_tail_of_rare_terms_is_learned(spark, make_docs):
+    """100 terms, each in 2 % of the toxic documents, some misspelt; copies of one clean text do not make terms."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    bad = ["".join(rng.choice(letters) for _ in range(rng.randint(5, 10))) for _ in range(100)]
+    texts, rows = [], []
+    copied = prose(rng, 60).split(" ")
+    for n in range(2400):
+        toxic = n % 4 == 0
+        words = prose(rng, 60).split(" ")
+        if toxic:
+            for term in rng.sample(bad, 3):
+                if rng.random() < 0.3:
+                    i = rng.randrange(len(term) - 1)
+                    term = term[:i] + term[i + 1] + term[i] + term[i + 2 :]
+                words.insert(rng.randrange(len(words)), term)
+            if n % 20 == 0:  # near copies among the toxic ones
+                words = [*copied, *words[-6:], *[rng.choice(bad) for _ in range(2)]]
+        texts.append(" ".join(words))
+        rows.append((n, 1, int(toxic)))
+    docs, labels = make_docs(texts), spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, labels)
+    learned = {t.text for t in model.terms if not t.stem}
+    assert len(learned & set(bad)) >= 65 and len(learned - set(bad)) <= 15
+    out = toxicity.score(docs, model, keep=["doc_id"]).join(labels, "doc_id").filter(toxicity.held_out("doc_id")).collect()
+    right = sum((r["score"] >= 0.5) == (r["toxic"] == 1) for r in out)
+    assert len(out) > 350 and right >= 0.95 * len(out)

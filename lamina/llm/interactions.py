@@ -109,7 +109,7 @@ class Diagram:
 
     def __init__(self, k: int, counts: dict[int, tuple[int, ...]]):
         self.order = list(range(k))
-        self.width = len(next(iter(counts.values()))) if counts else 1
+        self.width = len(next(iter(counts.values()))) if counts else 3
         self.nodes: list[tuple[int, int] | None] = [None]
         self.weight: list[tuple[int, ...]] = [(0,) * self.width]
         self.unique: list[dict] = [{} for _ in range(k + 1)]  # the last: leaves by their counts

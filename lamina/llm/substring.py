@@ -19,6 +19,7 @@ Two kinds of paragraphs are cut from every text, in one pass:
 3. Content-cut paragraphs that repeat, and overlap one another in their text, make
    up a passage. Passages of at least ``min_passage`` words count: any 51 words
    that repeat hold three cuts at least, ``min_passage`` words or more apart.
+   What repeats within one text alone is no repetition.
 4. Each class keeps its first place among passages that count (smallest id, then
    place), each component of natural paragraphs likewise; the others are to be
    removed, except where they overlap that first one.
@@ -261,11 +262,17 @@ def class_sets(docs: DataFrame, wanted: DataFrame, rules: Paragraphs, id_col: st
     return texts.mapInPandas(build, "node long, items binary").dropDuplicates(["node"])
 
 
+def _spread() -> list:
+    """Equal for a group whose places lie in one text: what repeats within it alone is no repetition."""
+    text = F.xxhash64("id", "text_hash")
+    return [F.min(text).alias("low"), F.max(text).alias("high")]
+
+
 def similar_paragraphs(docs: DataFrame, units: DataFrame, rules: Paragraphs, id_col: str, text_col: str) -> DataFrame:
     """``(id, text_hash, start_word, n_words, passage_words, component_id, first)``: natural
     paragraphs that repeat or are similar to another; ``first`` is their component's first place."""
     first = F.min(F.struct("id", "start_word", (F.col("start_word") + F.col("n_words")).alias("end"))).alias("keeper")
-    classes = units.groupBy(F.col("class").alias("node")).agg(first, F.count(F.lit(1)).alias("n"))
+    classes = units.groupBy(F.col("class").alias("node")).agg(first, *_spread(), F.count(F.lit(1)).alias("n"))
     found = stage(band_candidates(units, rules).distinct(), "sub_candidates")
     pairs = found.filter("b is not null").groupBy("a", "b").agg(F.lit(1).alias("score"))
     regions = found.filter("b is null").select("region", F.col("a").alias("node"))
@@ -278,7 +285,9 @@ def similar_paragraphs(docs: DataFrame, units: DataFrame, rules: Paragraphs, id_
     labels = linked_components(pairs, sets, rules.num, rules.den, regions)
     grouped = known.join(labels, "node", "left").filter("n > 1 or component is not null").withColumn(
         "component_id", F.coalesce("component", "node"))
-    keepers = grouped.groupBy("component_id").agg(F.min("keeper").alias("first"), F.sum("n").alias("__n"))
+    keepers = grouped.groupBy("component_id").agg(
+        F.min("keeper").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("__n")).filter(
+        "low <> high").drop("low", "high")
     member = stage(join_on_hot_key(grouped.select(F.col("node").alias("class"), "n", "component_id"), keepers, ["component_id"], "__n"),
                    "sub_members").drop("__n")
     return join_on_hot_key(units, member, ["class"], "n").select(
@@ -288,8 +297,8 @@ def similar_paragraphs(docs: DataFrame, units: DataFrame, rules: Paragraphs, id_
 def equal_passages(units: DataFrame, rules: Paragraphs) -> DataFrame:
     """As ``similar_paragraphs``, of the content-cut paragraphs in passages that count."""
     places = units.select("class", "id", "text_hash", "start_word", "n_words")
-    counts = stage(places.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sub_counts")
-    hits = join_on_hot_key(places, counts, ["class"], "n").drop("n")
+    counts = places.groupBy("class").agg(*_spread(), F.count(F.lit(1)).alias("n")).filter("low <> high")
+    hits = join_on_hot_key(places, stage(counts.select("class", "n"), "sub_counts"), ["class"], "n").drop("n")
     text = Window.partitionBy("id", "text_hash").orderBy("start_word", "n_words")
     end = F.col("start_word") + F.col("n_words")
     done = F.max(end).over(text.rowsBetween(Window.unboundedPreceding, -1))
@@ -300,7 +309,8 @@ def equal_passages(units: DataFrame, rules: Paragraphs) -> DataFrame:
     valid = stage(runs.filter(F.col("passage_words") >= rules.min_passage), "sub_passages")
     # the first place among passages that count: a phrase of theirs elsewhere does not keep them
     keepers = stage(valid.groupBy("class").agg(
-        F.min(F.struct("id", "start_word", end.alias("end"))).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "sub_keepers")
+        F.min(F.struct("id", "start_word", end.alias("end"))).alias("first"), *_spread(), F.count(F.lit(1)).alias("n")).filter(
+        "low <> high").drop("low", "high"), "sub_keepers")
     return join_on_hot_key(valid, keepers, ["class"], "n").select(
         "id", "text_hash", "start_word", "n_words", "passage_words", F.col("class").alias("component_id"), "first")
 

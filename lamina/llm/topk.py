@@ -16,9 +16,10 @@ bounded piece of work:
 The k best of each pair meet in a top-k per query. All arithmetic is on whole
 numbers; bounds are widened by more than their rounding error.
 
-Rows without id, and vectors that are null or hold null or non-finite
-components, take no part. A query meets every other row of equal dimension,
-also rows of the same id; scores beyond a long are held to its range, ties go to the smaller id, then to the earlier row.
+Vectors that are null or hold null or non-finite components take no part. A
+query meets every other row of equal dimension, also rows of the same id and rows
+without one (which are no queries); scores beyond a long are held to its range,
+ties go to the smaller id, then to the earlier row, and last to rows without id.
 Other input columns are not read. An empty table gives an empty result.
 """
 
@@ -138,9 +139,12 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = TOP, id_col: str
     rows = stage(
         vectors.select(F.col(id_col).cast("long").alias("id"), quantise(F.col(vector_col), scale).alias("v"),
                        is_query.alias("is_query"))
-        .withColumn("uid", F.monotonically_increasing_id()).filter("id is not null and v is not null"), "topk_rows")
+        .withColumn("uid", F.monotonically_increasing_id()).filter("v is not null")
+        # a negative number marks a row without id, which sorts as the largest
+        .withColumn("uid", F.when(F.col("id").isNull(), -1 - F.col("uid")).otherwise(F.col("uid")))
+        .withColumn("id", F.coalesce("id", F.lit(LIMIT))), "topk_rows")
     candidates = stage(_blocks(rows.select("uid", "id", "v"), per_block), "topk_candidates")
-    queries = stage(_blocks(rows.filter("is_query").select("uid", "id", "v"), per_query_block), "topk_queries")
+    queries = stage(_blocks(rows.filter("is_query and uid >= 0").select("uid", "id", "v"), per_query_block), "topk_queries")
     # one row per pair of blocks on either side; equal keys meet in one task
     turns = lambda t: t.groupBy("dims").agg(F.max("blocks").alias("others"))  # noqa: E731  one row per dimension
     each = lambda t, other, mine, theirs: t.join(F.broadcast(turns(other)), "dims").select(
@@ -166,15 +170,15 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = TOP, id_col: str
                         keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
                         alive, scores = alive[keep], scores[keep]
                     # most first; ~ turns the order of whole numbers without overflow
-                    for j in np.lexsort((c_uids[alive], c_ids[alive], ~scores))[:k].tolist():
+                    for j in np.lexsort((c_uids[alive], c_ids[alive], c_uids[alive] < 0, ~scores))[:k].tolist():
                         out.append((int(uid), int(qid), int(c_ids[alive[j]]), int(c_uids[alive[j]]), int(scores[j])))
         return pd.DataFrame(out, columns=["query_uid", "query_id", "id", "uid", "score"])
 
     found = left.cogroup(right).applyInPandas(
         search, "query_uid long, query_id long, id long, uid long, score long")
-    best = Window.partitionBy("query_uid").orderBy(F.col("score").desc(), "id", "uid")
+    best = Window.partitionBy("query_uid").orderBy(F.col("score").desc(), F.col("uid") < 0, "id", "uid")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", F.col("id").alias(id_col), "score")
+        "query_id", "rank", F.when(F.col("uid") >= 0, F.col("id")).alias(id_col), "score")
 
 
 def op7_branch_and_bound(spark, sf_dir: str) -> DataFrame:
@@ -185,12 +189,12 @@ def op7_branch_and_bound(spark, sf_dir: str) -> DataFrame:
 OP7_SQL = f"""
 with v as (select row_number() over () as r, vec_id,
     list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as q
-  from embeddings where vec_id is not null and embedding is not null
+  from embeddings where embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 dims as (select r, vec_id, unnest(q) as x, generate_subscripts(q, 1) as d, len(q) as n from v),
 s as (select a.r as qr, a.vec_id as query_id, b.r as r, b.vec_id as vec_id, sum(a.x * b.x)::bigint as score
   from dims a join dims b on a.d = b.d and a.n = b.n and a.r <> b.r
   where a.vec_id % {QUERY_EVERY} = 0 group by all)
-select query_id, (row_number() over (partition by qr order by score desc, vec_id, r))::int as rank, vec_id, score
+select query_id, (row_number() over (partition by qr order by score desc, vec_id nulls last, r))::int as rank, vec_id, score
 from s qualify rank <= {TOP}
 """

@@ -104,5 +104,5 @@ def test_stages_on_an_empty_table(spark, make_docs, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "substring_dedup", "pii", "packing"]

@@ -205,3 +205,23 @@ def test_a_cluster_needs_a_shared_warehouse(spark, monkeypatch):
 
     with pytest.raises(NoSharedFolder):
         warehouse_root(Session())
+
+
+def test_a_cluster_without_a_warehouse_publishes_in_its_shared_folder(spark, name, monkeypatch, tmp_path):
+    import lamina.session as S
+
+    monkeypatch.setattr(S, "_one_machine", lambda _: False)
+    settings = {"spark.sql.warehouse.dir": f"file:{spark._jvm.java.lang.System.getProperty('user.dir')}/spark-warehouse",
+                "spark.checkpoint.dir": f"file://{tmp_path}/shared"}
+    get = type(spark.conf).get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *a: settings.get(key) or get(self, key, *a))
+    write_layer(tagged(spark, 0), name)
+    write_layer(read_layer(spark, name), name)
+    assert read_layer(spark, name).count() == spark.table(name).count() == tagged(spark, 0).count()
+    assert table_log(spark, name).root.startswith(f"file://{tmp_path}/shared/")
+    drop_table(spark, name)
+    prefix = f"nowhere_{uuid.uuid4().hex[:8]}"
+    cat.record_run_metrics(spark, prefix, "golden", {"t": {"row_count": 1}}, dt.datetime(2024, 1, 1))
+    assert spark.table(f"{prefix}_ops.run_metrics").count() == 1
+    assert list((tmp_path / "shared").rglob("*.parquet"))  # what the executors wrote
+    drop_layers(spark, prefix, "ops")

@@ -1,5 +1,6 @@
 """Records with newlines inside quotes, read by many tasks, against Spark's one-task reader; the reject path."""
 
+import hashlib
 import random
 import uuid
 
@@ -138,3 +139,17 @@ def test_bronze_reports_malformed_records_without_a_second_parse(spark, tmp_path
     row = cat.run_bronze(spark, str(tmp_path), "poster_path", "rej", malformed="reject", multiline=True)
     assert (row["rows"], row["malformed"]) == (2, 1)
     assert len(RAW["poster_path"]) == 3
+
+
+def test_documents_become_csv_by_many_tasks(spark, small_splits, tmp_path, monkeypatch):
+    from lamina.plans import queries as plans
+
+    rows = [(i, f'text {i}, with "quotes"\nand lines' * (i % 4), "s", "en", 9 * i) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    docs.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    paths, write = [], plans.write_test_csv
+    monkeypatch.setattr(plans, "write_test_csv", lambda *a: paths.append(write(*a)) or paths[-1])
+    got = {r["doc_id"]: tuple(r)[1:] for r in plans.csv_records(spark, str(tmp_path)).collect()}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest() if t else None
+    assert got == {i: (md5(t), s, lang, n) for i, t, s, lang, n in rows}
+    assert spark.read.text(paths[0]).select("_metadata.file_path").distinct().count() > 1  # no task holds them all

@@ -7,11 +7,11 @@ runs whose row counts differ by at most one (the ``rows`` law), so every shard
 covers a compact region of all dimensions and a filter on any of them can skip
 most files by their min/max statistics.
 
-Quantising: every dimension is cut at quantiles of a bounded sample of its values
-(``SAMPLE`` per cell, by hash), so that cells hold alike many rows however skewed
+Quantising: every dimension is cut at the exact quantiles of all its values (see
+``ranking.quantiles``), so that cells hold alike many rows however skewed
 the values are, and one extreme value moves no other. Numbers, dates, times and
 booleans are ordered as such, everything else as text by its bytes; nulls take
-cell 0. The sample decides which rows lie near one another, never the law. Ties on the
+cell 0. Ties on the
 curve are ordered by text checksum (equal texts of a cell sit together), then
 id, then input row. Null texts have no bytes. Repeated rows are placed one by
 one. Columns of the input that are called ``hilbert``, ``shard`` or ``slot`` are
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.llm.common import stage, table
-from lamina.operators.ranking import asc, global_rank
+from lamina.operators.ranking import asc, global_rank, quantiles
 
 SHARDS = 24
 BITS = 6
@@ -88,9 +88,6 @@ def hilbert_index(coords: Sequence[Column], bits: int) -> Column:
     return let(x, weave)
 
 
-SAMPLE = 100  # sampled values per cell
-
-
 def _ordered(df: DataFrame, name: str) -> Column:
     """The dimension as a number or as text, in its own order."""
     kind = df.schema[name].dataType
@@ -105,19 +102,12 @@ def _ordered(df: DataFrame, name: str) -> Column:
 
 
 def quantised(df: DataFrame, dims: Sequence[str], bits: int = BITS) -> list[Column]:
-    """One cell coordinate per dimension, by its quantiles (2^bits - 1 values each, from a
-    sample of at most some ``SAMPLE`` * 2^bits rows, reach the driver)."""
-    cells = 1 << bits
-    values = [_ordered(df, d) for d in dims]
-    rows = df.count()
-    share = min(1.0, SAMPLE * cells / max(rows, 1))
-    picked = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).filter(
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = picked.collect()
+    """One cell coordinate per dimension, by its quantiles (at most 2^bits - 1 values each, which
+    reach the driver)."""
     out = []
-    for i, v in enumerate(values):
-        seen = sorted((r[i] for r in sample if r[i] is not None), key=lambda x: x.encode() if isinstance(x, str) else (x != x, x))
-        bounds = list(dict.fromkeys(seen[len(seen) * k // cells] for k in range(1, cells))) if seen else []
+    for d in dims:
+        v = _ordered(df, d)
+        bounds = quantiles(df, v, 1 << bits)
         cell = reduce(lambda a, b: a + b, [(v > F.lit(b)).cast("int") for b in bounds], F.lit(0))
         out.append(F.coalesce(cell.cast("long"), F.lit(0).cast("long")))
     return out

@@ -169,3 +169,10 @@ def test_cells_follow_quantiles_and_take_any_column(spark):
         assert all(a[2] < b[1] or b[1] != b[1] for a, b in zip(spans, spans[1:]))
     out = sharding.hilbert_shards(df, ["x", "s", "d", "b"], shards=5)
     assert out.columns.count("slot") == 1 and out.schema["slot"].dataType.typeName() == "long" and out.count() == 3003
+
+
+def test_cells_are_cut_at_exact_quantiles(spark, rng):
+    values = [rng.gauss(0, 1) for _ in range(6000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    sizes = df.select(sharding.quantised(df, ["x"], 4)[0].alias("c")).groupBy("c").count().collect()
+    assert len(sizes) == 16 and all(abs(r["count"] - 6000 / 16) <= 1 for r in sizes)  # from all rows, not from some

@@ -184,3 +184,23 @@ def test_global_rank_is_bigint_and_keeps_columns(spark):
     for method in ("row_number", "rank", "dense_rank"):
         got = global_rank(df, [asc("s")], method, "r")
         assert got.columns == ["id", "s", "r"] and got.schema["r"].dataType.simpleString() == "bigint"
+
+
+def test_quantiles_are_those_of_all_values(spark):
+    from lamina.operators import ranking
+
+    rng = random.Random(3)
+    for values in ([rng.gauss(0, 1) for _ in range(9000)], [7.0] * 5000 + [float(i) for i in range(500)], [1.0], []):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(5)
+        ordered = sorted(values)
+        want = list(dict.fromkeys(ordered[len(ordered) * k // 8] for k in range(1, 8))) if ordered else []
+        assert ranking.quantiles(df, F.col("v"), 8) == want
+
+
+def test_quantiles_over_many_ranges(spark, monkeypatch):
+    from lamina.operators import ranking
+
+    monkeypatch.setattr(ranking, "QUANTILE_VALUES", 50)
+    texts = ["%05d" % (i * 7919 % 1000) for i in range(4000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert ranking.quantiles(df, F.col("t"), 16) == [sorted(texts)[4000 * k // 16] for k in range(1, 16)]

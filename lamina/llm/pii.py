@@ -7,10 +7,11 @@ Method: high-recall generators propose further spans (spaced, bracketed and
 spelled-out forms), which may overlap. Boosted trees score each candidate by
 format and context features; a threshold per kind, calibrated for precision on
 a held-back fold, selects; overlaps go to the better score, base spans always
-stay. The trees learn from base spans of the corpus (a bounded number per kind,
-by hash order), from rewritten forms of them, and from spoilt forms that break
-their checks. They are applied as plain CASE expressions, so the whole scan is
-one projection without shuffle or Python.
+stay. The trees learn from all base spans of the corpus (each once per context it
+stands in), from rewritten forms of them, and from spoilt forms that break
+their checks; forms of equal features count as one row of their number. They are
+applied as plain CASE expressions, so the whole scan is one projection without
+shuffle or Python.
 
 Positions count code points, end exclusive. Null and empty texts have no spans.
 Repeated rows are scanned one by one. Other input columns are not read. With
@@ -20,13 +21,14 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import stage, table
+from lamina.llm.common import stage_counted, table
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -71,9 +73,9 @@ _FULL = "struct<start:int,kind:int,end:int,score:double>"
 
 @dataclass(frozen=True)
 class Boosting:
-    per_kind: int = 3_000  # base spans of each kind that the trees may learn from
     least: int = 20  # learn only from this many base spans
     trees: int = 20
+    part: int = 100_000  # distinct rows of features that one task holds, on average
     depth: int = 4
     precision: float = 0.95  # that each kind's threshold must keep on the held-back fold
     context: int = 40  # code points looked at on either side
@@ -319,7 +321,8 @@ def _rewritten(kind: str, s: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, boosting: Boosting, text_col: str) -> DataFrame:
-    """``(kind, y, x, fold)`` of base spans, rewritten and spoilt forms, in the contexts they stand in."""
+    """``(kind, y, x, fold, n)`` of base spans, rewritten and spoilt forms, in the contexts they
+    stand in: ``n`` forms are alike in these."""
     text = F.col(text_col)
     some = reduce(Column.__or__, [text.rlike(NEEDS[kind]) for kind in KINDS])
     pieces = F.col("pieces")
@@ -328,14 +331,13 @@ def training_rows(docs: DataFrame, boosting: Boosting, text_col: str) -> DataFra
     every = F.concat(*[F.transform(base_spans(F.col("t"), kind), said(i)) for i, kind in enumerate(KINDS)])
     near = docs.filter(some).select(text.alias("t"), pieces_of(text).alias("pieces")).select(F.explode(every).alias("m")).select(
         "m.kind", "m.s", "m.before", "m.after").distinct()
-    first = Window.partitionBy("kind").orderBy(F.xxhash64("s", "before", "after"), "s", "before", "after")
-    chosen = near.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= boosting.per_kind)
     variants = reduce(lambda rest, i: F.when(F.col("kind") == i, _rewritten(KINDS[i], F.col("s"))).otherwise(rest),
                       range(len(KINDS)), F.lit(None))
-    rows = chosen.select("kind", "before", "after", F.explode(variants).alias("v")).select(
+    rows = near.select("kind", "before", "after", F.explode(variants).alias("v")).select(
         "kind", "before", "after", "v.y", "v.s").filter("s is not null")
     return rows.select("kind", "y", F.array(*features(F.col("kind"), F.col("s"), F.col("before"), F.col("after"))).alias("x"),
-                       F.pmod(F.xxhash64("before", "s"), F.lit(4)).alias("fold"))
+                       F.pmod(F.xxhash64("before", "s"), F.lit(4)).alias("fold")).groupBy("kind", "y", "x", "fold").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def _context(pieces: Column, m: Column, width: int) -> list[Column]:
@@ -356,11 +358,17 @@ def learn(docs: DataFrame, boosting: Boosting = Boosting(), text_col: str = "tex
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = stage(training_rows(docs, boosting, text_col), "pii_rows").repartition(1).sortWithinPartitions("kind", "y", "x")
-    if rows.filter("y = 1").count() < boosting.least:
+    staged, distinct = stage_counted(training_rows(docs, boosting, text_col), "pii_rows")
+    if (staged.filter("y = 1").agg(F.sum("n")).first()[0] or 0) < boosting.least:
         return Model()
-    fit = rows.filter("fold <> 0").select(F.col("y").cast("double").alias("label"), array_to_vector("x").alias("features"))
-    fitted = GBTClassifier(maxIter=boosting.trees, maxDepth=boosting.depth, stepSize=0.3, seed=boosting.seed).fit(fit)
+    order = ["kind", "y", "x", "fold"]  # sums of doubles in the same order each time
+    rows = staged.repartition(-(-distinct // boosting.part), *order).sortWithinPartitions(*order)
+    fit = rows.filter("fold <> 0").select(
+        F.col("y").cast("double").alias("label"), F.col("n").cast("double").alias("n"), array_to_vector("x").alias("features"))
+    # splits are proposed from maxBins ** 2 rows, 10,000 at least: here from all
+    bins = 32 if distinct <= 10_000 else max(32, math.isqrt(distinct) + 1)
+    fitted = GBTClassifier(maxIter=boosting.trees, maxDepth=boosting.depth, stepSize=0.3, seed=boosting.seed,
+                           maxBins=bins, weightCol="n").fit(fit)
     roots = [(w, t._call_java("rootNode")) for w, t in zip(fitted.treeWeights, fitted.trees)]
 
     def probability(x: Column) -> Column:
@@ -368,8 +376,8 @@ def learn(docs: DataFrame, boosting: Boosting = Boosting(), text_col: str = "tex
         return 1 / (1 + F.exp(-2 * margin))
 
     # thresholds: the lowest score step from which on the held-back fold keeps the precision
-    steps = rows.filter("fold = 0").select("kind", "y", F.floor(probability(F.col("x")) * 20).alias("step")).groupBy(
-        "kind", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")).collect()  # at most 4 x 21 rows
+    steps = rows.filter("fold = 0").select("kind", "y", "n", F.floor(probability(F.col("x")) * 20).alias("step")).groupBy(
+        "kind", "step").agg(F.sum("n").alias("n"), F.sum(F.col("y") * F.col("n")).alias("good")).collect()  # at most 4 x 21 rows
     thresholds = {}
     for i, kind in enumerate(KINDS):
         n = good = 0

@@ -172,3 +172,11 @@ def test_overlaps_are_settled_as_by_brute_force(spark):
             if not any(s[0] < b[2] and b[0] < s[2] for b in best):
                 best.append(s)
         assert [tuple(s) for s in got[n]["clear"]] == clear and [tuple(s) for s in got[n]["best"]] == sorted(best)
+
+
+def test_the_trees_learn_from_every_base_span(spark, make_docs):
+    docs = make_docs([f"number {i}: write to user{i}@host{i}.example today" for i in range(3500)])
+    rows = pii.training_rows(docs, pii.Boosting(), "text")
+    seen = {r["y"]: (r["forms"], r["rows"]) for r in rows.groupBy("y").agg(F.sum("n").alias("forms"), F.count("x").alias("rows")).collect()}
+    assert seen[1][0] == 10 * 3500 and seen[0][0] == 5 * 3500  # ten right and five spoilt forms of each
+    assert seen[1][1] < 3500  # forms of equal features are one row

@@ -81,8 +81,9 @@ def linked_components(pairs: DataFrame, sets: DataFrame, num: int, den: int,
             "link_pairs")
     if regions is None:
         return labels
-    more = stage(_links_across(regions, labels, sets, num, den), "link_region_edges")
-    if not more.isEmpty():
+    across = _links_across(regions, labels, sets, num, den)
+    more = None if across is None else stage(across, "link_region_edges")
+    if more is not None and not more.isEmpty():
         edges = edges.unionByName(more)
         labels = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
     return labels
@@ -134,17 +135,20 @@ def _block_links(x: list[tuple], y: list[tuple], num: int, den: int) -> list[tup
     return out
 
 
-def _links_across(regions: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _links_across(regions: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
     """Links ``(a, b)`` between components within dense regions, one at least for every
-    two components that any link joins.
+    two components that any link joins; None where no region holds two components.
 
     The nodes of a region outside its largest component are compared with all of
     it, block by block; pairs are not written out, only links are. Regions that
     share nodes are taken as one where that is less work.
     """
     weight = sets.select("node", F.length("items").alias("bytes"))
-    member = regions.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct()
+    member = stage(regions.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct(),
+                   "link_regions")
     mixed = member.groupBy("region").agg(F.count_distinct("component").alias("n")).filter("n > 1").select("region")
+    if mixed.isEmpty():
+        return None
     member = stage(
         member.join(mixed, "region").join(weight, "node").select(
             "node", "component", "bytes", F.concat(F.lit("n"), F.hex("node")).alias("name"),

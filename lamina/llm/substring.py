@@ -356,6 +356,7 @@ def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
     """
     spans = passages.filter("removed").groupBy(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).agg(
         F.sort_array(F.collect_set(F.struct("start_word", "n_words"))).alias("__spans"))
+    spans = stage(spans, "sub_spans")  # both sides of the union below read it
     joined = docs.withColumn("__own", F.xxhash64(text_col)).join(
         spans, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left")
     names, schema = docs.columns, docs.schema

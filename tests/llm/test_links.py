@@ -66,3 +66,15 @@ def test_linked_components_lose_no_link(spark):
     regions = spark.createDataFrame([(b"r", n) for n in sets], "region binary, node long")
     got = linked_components(spark.createDataFrame(some, "a long, b long, score int"), frame, 85, 100, regions)
     assert {r["node"]: r["component"] for r in got.collect()} == union_find(linked)
+
+
+def test_regions_of_one_component_each_are_not_compared(spark):
+    import numpy as np
+    from lamina.llm import links
+
+    sets = spark.createDataFrame([(i, bytearray(np.asarray([i], dtype=np.uint64).tobytes())) for i in range(4)], "node long, items binary")
+    regions = spark.createDataFrame([(bytearray(b"r"), 0), (bytearray(b"r"), 1), (bytearray(b"s"), 2)], "region binary, node long")
+    labels = spark.createDataFrame([(0, 0), (1, 0)], "node long, component long")
+    assert links._links_across(regions, labels, sets, 80, 100) is None
+    apart = spark.createDataFrame([(0, 0)], "node long, component long")
+    assert links._links_across(regions, apart, sets, 80, 100).count() == 0

@@ -11,11 +11,14 @@ document from the near-duplicate stage on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import bpe, lsh_forest, packing, pii, substring, toxicity
-from lamina.llm.common import stage, table
+from lamina.llm.common import small_batches, stage, table
 
 # No SQL oracle: a learned score, MinHash candidates and tokens are beyond SQL.
 # tests/llm checks the stages against brute force instead.
@@ -52,13 +55,24 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(packing.token_pieces(docs, spec))
 
 
-STAGES = [
+def in_small_batches(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``step``, whose result may be computed later, with Arrow batches of bounded size."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return step(spark, docs, sf_dir)
+
+    return run_step
+
+
+STAGES = [(name, in_small_batches(step)) for name, step in (
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
     ("substring_dedup", cut_repeated_passages),
     ("pii", mask_personal_data),
     ("packing", pack_sequences),
-]
+)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

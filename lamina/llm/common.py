@@ -186,6 +186,23 @@ def _same_edges(a: DataFrame, b: DataFrame) -> bool:
     return tuple(sums(a)) == tuple(sums(b))
 
 
+# Rows of an Arrow batch where rows are whole texts or sets of them.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Python tasks of this session get at most ``BATCH_ROWS`` rows at a time from now on.
+
+    Spark's default of 10,000 texts, or pairs of sets, is held by the executor's
+    JVM and its Python worker at once, and neither gives that memory back. A
+    smaller setting stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key))
+    if rows <= 0 or rows > BATCH_ROWS:  # 0 or less: no limit
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def worker_state(key: tuple, make: Callable):
     """What ``make()`` gave in this Python worker for ``key``, kept between its tasks.
 

@@ -106,3 +106,26 @@ def test_stages_on_an_empty_table(spark, make_docs, tmp_path):
 def test_one_query_for_each_operator():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "substring_dedup", "pii", "packing"]
+
+
+def test_stages_get_bounded_arrow_batches(spark, make_docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(rows):
+        def count(frames):
+            for pdf in frames:
+                yield pdf.iloc[:1].assign(n=len(pdf))[["n"]]
+
+        return [r["n"] for r in rows.coalesce(1).mapInPandas(count, "n long").collect()]
+
+    docs = make_docs([(n, f"text {n}") for n in range(2500)])
+    step = dict(corpus_pipeline.STAGES)["packing"]
+    try:
+        for given, most in (("10000", 1000), ("0", 1000), ("300", 300)):
+            spark.conf.set(key, given)
+            assert step(spark, docs, "").count() == 2500
+            found = sizes(docs)
+            assert max(found) <= most and sum(found) == 2500
+    finally:
+        spark.conf.set(key, before)

@@ -64,3 +64,7 @@ def duck_files(data):
 
 def test_csv_rejects(spark, data, shared):
     equals_its_sql(spark, data, shared, "csv_rejects")
+
+
+def test_ordered_files(spark, data, shared):
+    equals_its_sql(spark, data, shared, "ordered_files")

@@ -68,3 +68,7 @@ def test_csv_rejects(spark, data, shared):
 
 def test_ordered_files(spark, data, shared):
     equals_its_sql(spark, data, shared, "ordered_files")
+
+
+def test_publish_conflict(spark, data, shared):
+    equals_its_sql(spark, data, shared, "publish_conflict")

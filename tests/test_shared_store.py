@@ -72,3 +72,7 @@ def test_ordered_files(spark, data, shared):
 
 def test_publish_conflict(spark, data, shared):
     equals_its_sql(spark, data, shared, "publish_conflict")
+
+
+def test_published_films(spark, data, shared):
+    equals_its_sql(spark, data, shared, "published_films")

@@ -76,3 +76,7 @@ def test_publish_conflict(spark, data, shared):
 
 def test_published_films(spark, data, shared):
     equals_its_sql(spark, data, shared, "published_films")
+
+
+def test_published_golden(spark, data, shared):
+    equals_its_sql(spark, data, shared, "published_golden")

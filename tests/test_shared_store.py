@@ -80,3 +80,7 @@ def test_published_films(spark, data, shared):
 
 def test_published_golden(spark, data, shared):
     equals_its_sql(spark, data, shared, "published_golden")
+
+
+def test_published_metrics(spark, data, shared):
+    equals_its_sql(spark, data, shared, "published_metrics")

@@ -84,3 +84,7 @@ def test_published_golden(spark, data, shared):
 
 def test_published_metrics(spark, data, shared):
     equals_its_sql(spark, data, shared, "published_metrics")
+
+
+def test_sink_replace(spark, data, shared):
+    equals_its_sql(spark, data, shared, "sink_replace")

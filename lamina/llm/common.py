@@ -160,7 +160,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, local_links: in
     until nothing changes. One task's stars need no such step. Every step is
     written to the shared folder; no link or label reaches the driver.
     """
-    links, n = stage_counted(edges.select("u", "v").filter("u <> v").distinct(), "cc_edges")
+    links, n = stage_counted(edges.select("u", "v").filter("u <> v"), "cc_edges")  # the stars hold no link twice
     parts = max(1, -(-n // local_links))
     e, _ = _contracted(links, parts)
     for _ in range(max_rounds if parts > 1 else 0):

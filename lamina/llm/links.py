@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import batches, connected_components, jaccard_counts, stage
+from lamina.llm.common import batches, connected_components, jaccard_counts, stage, stage_counted
 
 BEST_FIRST_ROUNDS = 2
 
@@ -57,11 +57,11 @@ def linked_components(pairs: DataFrame, sets: DataFrame, num: int, den: int,
     """
     spark = pairs.sparkSession
     node = sets.schema["node"].dataType.simpleString()
-    left = stage(pairs, "link_pairs")
+    left, n = stage_counted(pairs, "link_pairs")
     edges = spark.createDataFrame([], f"a {node}, b {node}")
     labels = spark.createDataFrame([], f"node {node}, component {node}")
     for turn in range(BEST_FIRST_ROUNDS + 1):
-        if left.isEmpty():
+        if n == 0:
             break
         if turn < BEST_FIRST_ROUNDS:
             best = F.max(F.struct("score", "a", "b")).alias("best")
@@ -70,15 +70,16 @@ def linked_components(pairs: DataFrame, sets: DataFrame, num: int, den: int,
                 .unionByName(left.groupBy(F.col("b").alias("n")).agg(best))
                 .select("best.a", "best.b").distinct()
             )
+            chosen = stage(chosen, "link_chosen")
         else:
             chosen = left.select("a", "b")
-        chosen = stage(chosen, "link_chosen")
         found = stage(edges.unionByName(confirm(chosen, sets, num, den)), "link_edges")
         edges = found
         labels = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        left = stage(
-            _labelled(left.join(chosen, ["a", "b"], "left_anti"), labels).filter("ca <> cb").select(*pairs.columns),
-            "link_pairs")
+        if turn < BEST_FIRST_ROUNDS:  # the last round leaves none
+            left, n = stage_counted(
+                _labelled(left.join(chosen, ["a", "b"], "left_anti"), labels).filter("ca <> cb").select(*pairs.columns),
+                "link_pairs")
     if regions is None:
         return labels
     across = _links_across(regions, labels, sets, num, den)
@@ -141,7 +142,9 @@ def _links_across(regions: DataFrame, labels: DataFrame, sets: DataFrame, num: i
 
     The nodes of a region outside its largest component are compared with all of
     it, block by block; pairs are not written out, only links are. Regions that
-    share nodes are taken as one where that is less work.
+    share nodes are taken as one where that is less work. What several steps read
+    is staged: one plan over all of them is planned again, whole, at each of its
+    exchanges, and that takes the driver's memory.
     """
     weight = sets.select("node", F.length("items").alias("bytes"))
     member = stage(regions.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct(),
@@ -157,14 +160,15 @@ def _links_across(regions: DataFrame, labels: DataFrame, sets: DataFrame, num: i
     grouped = stage(member.join(groups.select(F.col("node").alias("name"), F.col("component").alias("group")), "name")
                     .drop("name"), "link_groups")
     whole = grouped.select("group", "node", "component", "bytes").distinct()
-    apart = _sizes(grouped, "region").join(grouped.select("region", "group").distinct(), "region")
-    merged = _sizes(whole, "group").join(
-        apart.groupBy("group").agg(F.sum("cost").alias("apart")), "group").filter("cost <= apart").drop("apart")
+    apart = stage(_sizes(grouped, "region").join(grouped.select("region", "group").distinct(), "region"), "link_sizes")
+    merged = stage(_sizes(whole, "group").join(
+        apart.groupBy("group").agg(F.sum("cost").alias("apart")), "group").filter("cost <= apart").drop("apart"), "link_sizes")
     sizes = merged.withColumnRenamed("group", "unit").unionByName(
         apart.join(merged.select("group"), "group", "left_anti").drop("group").withColumnRenamed("region", "unit"))
     nodes = whole.withColumnRenamed("group", "unit").unionByName(
         grouped.select(F.col("region").alias("unit"), "node", "component", "bytes"))
-    nodes = nodes.join(sizes, "unit").withColumn("outside", F.col("component") != F.col("main"))
+    nodes = stage(nodes.join(sizes, "unit").select(
+        "unit", "node", "component", "blocks", "others", (F.col("component") != F.col("main")).alias("outside")), "link_nodes")
     own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = nodes.filter("outside").select(

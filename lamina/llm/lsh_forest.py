@@ -225,8 +225,9 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest(), id_col: str = "d
     labels = linked_components(pairs, sets, forest.num, forest.den, regions)
     named = labels.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("component_id"))
     of_node = nodes.select("node", F.col("id").alias("own")).join(labels, "node", "left").join(named, "component", "left")
-    out = signed.drop("sig").join(
-        of_node.select("node", F.coalesce("component_id", "own").alias("component_id")), "node", "left")
+    # staged, so that a plan over the result need not hold these joins too
+    of_node = stage(of_node.select("node", F.coalesce("component_id", "own").alias("component_id")), "forest_components")
+    out = signed.drop("sig").join(of_node, "node", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
         F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"),

@@ -78,3 +78,22 @@ def test_regions_of_one_component_each_are_not_compared(spark):
     assert links._links_across(regions, labels, sets, 80, 100) is None
     apart = spark.createDataFrame([(0, 0)], "node long, component long")
     assert links._links_across(regions, apart, sets, 80, 100).count() == 0
+
+
+def test_regions_are_compared_by_small_plans(spark, monkeypatch):
+    """The driver plans all of a plan again at each of its exchanges: no step may hold very many."""
+    from lamina.llm import links
+
+    exchanges = []
+
+    def staged(df, name="stage", stage=links.stage):
+        exchanges.append((df._jdf.queryExecution().executedPlan().toString().count("Exchange "), name))
+        return stage(df, name)
+
+    monkeypatch.setattr(links, "stage", staged)
+    held = {n: np.arange(n % 2 * 1000, n % 2 * 1000 + 50 + n % 3, dtype=np.uint64) for n in range(20)}
+    sets = spark.createDataFrame([(n, bytearray(s.tobytes())) for n, s in held.items()], "node long, items binary")
+    regions = spark.createDataFrame([(bytearray(r), n) for r in (b"r", b"s") for n in held], "region binary, node long")
+    got = linked_components(spark.createDataFrame([(0, 2, 1)], "a long, b long, score int"), sets, 80, 100, regions)
+    assert {r["node"]: r["component"] for r in got.collect()} == {n: n % 2 for n in held}
+    assert "link_region_edges" in [name for _, name in exchanges] and max(exchanges)[0] <= 14, sorted(exchanges)
